@@ -74,7 +74,8 @@ def dq_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             aggs.append(F.count_if(F.coalesce(F.expr(r.fails()), F.lit(False))).alias(f"f{i}"))
     wide = df.agg(*aggs)
     stack_args = ", ".join(
-        f"'{r.name}', '{r.action}', p{i}, f{i}" for i, r in enumerate(rules))
+        f"'{r.name}', '{r.action if SILVER in r.applies_to else QUARANTINE}', p{i}, f{i}"
+        for i, r in enumerate(rules))
     return wide.selectExpr(
         f"stack({len(rules)}, {stack_args}) AS (rule, action, n_pass, n_fail)")
 
