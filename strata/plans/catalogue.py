@@ -68,30 +68,36 @@ def _latest_sql(source: str, columns, ties) -> str:
 
 def order_documents(spark: SparkSession, d: str, drop_lost: bool = False) -> DataFrame:
     """One envelope per page of 50 orders (key ranges), ``TotalCount`` = all
-    orders (a scalar subquery), ``ingested_at`` = the newest order date of the
+    orders (a scalar subquery), ``ingested_at`` = the page's fetch time in the sweep,
     page, folder by day (an ops feed)."""
     o = _t(spark, d, "orders")
     total = o.select(F.count(F.lit(1))).scalar()
     page = pages_by_key_range(o, "o_orderkey", tf.OPS_PAGE).alias("page_offset")
     pages = to_pages(o.select("*", page), ["page_offset"], tf.order_record(o), F.col("o_orderkey"))
     firsts = o.groupBy(page).agg(
-        F.max("o_orderdate").alias("newest"),
         F.min_by(F.struct("o_orderpriority", "o_orderstatus"), F.col("o_orderkey")).alias("first"))
-    pages = pages.join(firsts, "page_offset")
+    pages = pages.join(firsts, "page_offset").withColumn("fetched", fetch_time(F.col("page_offset")))
     if drop_lost:
         pages = pages.filter(~((F.col("first.o_orderpriority") == tf.LOST_PRIORITY)
                                & (F.col("first.o_orderstatus") == tf.LOST_STATUS)))
     spec = tf.ORDERS_FEED
     _, resource, plural, singular = spec.array_path.split(".")
-    meta = ingestion_metadata("ops", spec.name, F.col("newest"), tf.SCRIPT,
+    meta = ingestion_metadata("ops", spec.name, F.col("fetched"), tf.SCRIPT,
                               offset=F.col("page_offset"), limit=spec.page_size,
                               endpoint="orders")
     return pages.select(
         envelope_json(F.col("records"), resource, plural, singular, meta, total).alias("document"),
-        partition_folder("ops", F.col("newest")).alias("folder"),
+        partition_folder("ops", F.col("fetched")).alias("folder"),
     )
 
 
+def fetch_time(offset, page_size: int = tf.OPS_PAGE):
+    """When a sweep fetched the page at ``offset``: pages follow each other
+    every 0.4 s from the sweep start (second resolution, like the feed)."""
+    seconds = F.floor(F.floor(offset / F.lit(page_size)) * F.lit(2) / F.lit(5)).cast("bigint")
+    return F.timestamp_seconds(F.unix_timestamp(F.lit(tf.SWEEP_TS)) + seconds)
+
+
 def _parsed(docs: DataFrame, spec: FeedSpec) -> DataFrame:
     return docs.select(F.from_json("document", envelope_schema(spec, with_corrupt=False)).alias("e")) \
                .select("e.*")
@@ -121,14 +127,15 @@ def q01_landing_envelope(spark, d):
     return _page_summary(_parsed(docs, tf.ORDERS_FEED), tf.ORDERS_FEED).select(*_PAGES_OUT)
 
 
-_ORDER_PAGES_SQL = """WITH p AS (
-  SELECT o_orderkey // 50 AS pg, count(*) AS n, max(o_orderdate) AS newest,
+_ORDER_PAGES_SQL = f"""WITH p AS (
+  SELECT o_orderkey // 50 AS pg, count(*) AS n,
+         TIMESTAMP '{tf.SWEEP_TS}' + to_seconds(CAST((o_orderkey // 50) * 2 // 5 AS BIGINT)) AS fetched,
          arg_min(o_orderpriority, o_orderkey) AS pri, arg_min(o_orderstatus, o_orderkey) AS st
   FROM orders GROUP BY o_orderkey // 50)"""
 
 Q01_SQL = _ORDER_PAGES_SQL + """
 SELECT CAST(pg * 50 AS BIGINT) AS page_offset, CAST(50 AS INTEGER) AS page_limit,
-  strftime(newest, '%Y-%m-%d') AS folder, CAST(n AS BIGINT) AS n_records,
+  strftime(fetched, '%Y-%m-%d') AS folder, CAST(n AS BIGINT) AS n_records,
   (SELECT count(*) FROM orders) AS total_count,
   sha256('ops|orders||' || CAST(pg * 50 AS VARCHAR)) AS batch_id,
   n = 1 AS single_object
