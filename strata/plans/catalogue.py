@@ -69,7 +69,7 @@ def _latest_sql(source: str, columns, ties) -> str:
 def order_documents(spark: SparkSession, d: str, drop_lost: bool = False) -> DataFrame:
     """One envelope per page of 50 orders (key ranges), ``TotalCount`` = all
     orders (a scalar subquery), ``ingested_at`` = the page's fetch time in the sweep,
-    page, folder by day (an ops feed)."""
+    folder by day (an ops feed)."""
     o = _t(spark, d, "orders")
     total = o.select(F.count(F.lit(1))).scalar()
     page = pages_by_key_range(o, "o_orderkey", tf.OPS_PAGE).alias("page_offset")
@@ -631,8 +631,7 @@ def _lines_drop_documents(li: DataFrame, drop_no: int) -> DataFrame:
     spec = tf.LINES_FEED
     _, resource, plural, singular = spec.array_path.split(".")
     ts = F.to_timestamp(F.lit(tf.SWEEP_TS)) + F.expr(f"INTERVAL {drop_no - 1} DAYS")
-    meta = ingestion_metadata("ops", spec.name, ts, tf.SCRIPT,
-                              batch_seed=F.concat_ws("|", *[F.col(c).cast("string") for c in tf.LINE_COLUMNS]))
+    meta = ingestion_metadata("ops", spec.name, ts, tf.SCRIPT, batch_seed=F.lit(f"drop{drop_no}"))
     return li.select(envelope_json(F.array(tf.line_record(li)), resource, plural, singular, meta)
                      .alias("document"), partition_folder("ops", ts).alias("folder"))
 
