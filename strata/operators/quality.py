@@ -109,7 +109,8 @@ def failed_rules(rules: Sequence[Rule]):
 
 
 def partition_split(staged: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    rules: Sequence[Rule], tie_break: Sequence[str] | None = None) -> DataFrame:
+                    rules: Sequence[Rule], tie_break: Sequence[str] | None = None,
+                    label_col: str = "label", rules_col: str = "failed_rules") -> DataFrame:
     """Label each staged row: ``quarantine`` if it fails a silver drop rule,
     else ``silver`` if it is the newest version of its key, else
     ``superseded``.  Silver rows equal ``dedup_then_check``'s output; the three
@@ -120,5 +121,5 @@ def partition_split(staged: DataFrame, keys: Sequence[str], order: Sequence[str]
     label = (F.when(any_fail(drop), F.lit("quarantine"))
              .when(F.col("_v") == 1, F.lit("silver"))
              .otherwise(F.lit("superseded")))
-    return ranked.select(*staged.columns, label.alias("label"),
-                         failed_rules(drop).alias("failed_rules"))
+    return ranked.select(*staged.columns, label.alias(label_col),
+                         failed_rules(drop).alias(rules_col))
