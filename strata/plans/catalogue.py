@@ -73,10 +73,9 @@ def order_documents(spark: SparkSession, d: str, drop_lost: bool = False) -> Dat
     o = _t(spark, d, "orders")
     total = o.select(F.count(F.lit(1))).scalar()
     page = pages_by_key_range(o, "o_orderkey", tf.OPS_PAGE).alias("page_offset")
-    pages = to_pages(o.select("*", page), ["page_offset"], tf.order_record(o), F.col("o_orderkey"))
-    firsts = o.groupBy(page).agg(
-        F.min_by(F.struct("o_orderpriority", "o_orderstatus"), F.col("o_orderkey")).alias("first"))
-    pages = pages.join(firsts, "page_offset").withColumn("fetched", fetch_time(F.col("page_offset")))
+    first = F.min_by(F.struct("o_orderpriority", "o_orderstatus"), F.col("o_orderkey")).alias("first")
+    pages = to_pages(o.select("*", page), ["page_offset"], tf.order_record(o), F.col("o_orderkey"),
+                     extra=[first]).withColumn("fetched", fetch_time(F.col("page_offset")))
     if drop_lost:
         pages = pages.filter(~((F.col("first.o_orderpriority") == tf.LOST_PRIORITY)
                                & (F.col("first.o_orderstatus") == tf.LOST_STATUS)))
@@ -150,19 +149,20 @@ def q02_bronze_stream(spark, d):
     return _page_summary(read_bronze(spark, paths[spec.name]), spec).select(*_PAGES_OUT)
 
 
-def _table_feed_documents(spark, d, table_name, spec, key):
+def _table_feed_documents(spark, d, table_name, spec, key, extra=()):
     t = _t(spark, d, table_name)
     cols = {f.path: f.name for f in spec.fields if not f.path.startswith("@")}
     record = F.struct(*[F.col(c).cast("string").alias(f) for f, c in cols.items()])
     page = pages_by_key_range(t, key, spec.page_size).alias("page_offset")
-    pages = to_pages(t.select("*", page), ["page_offset"], record, F.col(key))
+    pages = to_pages(t.select("*", page), ["page_offset"], record, F.col(key), extra=extra)
     _, resource, plural, singular = spec.array_path.split(".")
     ts = F.to_timestamp(F.lit(tf.SWEEP_TS))
     meta = ingestion_metadata("ref", spec.name, ts, tf.SCRIPT, offset=F.col("page_offset"),
                               limit=spec.page_size, endpoint=spec.name)
     return pages.select(
         envelope_json(F.col("records"), resource, plural, singular, meta).alias("document"),
-        partition_folder("ref", ts).alias("folder"), "page_offset")
+        partition_folder("ref", ts).alias("folder"), "page_offset",
+        *[c for c in pages.columns if c not in ("page_offset", "records")])
 
 
 def q03_ref_factory(spark, d):
@@ -691,11 +691,9 @@ def q27_bad_record_isolation(spark, d):
     isolates the bad ones instead of failing the batch."""
     root = scratch_path(spark, "q27")
     name, spec, key = next(x for x in tf.REF_TABLE_FEEDS if x[0] == "customer")
-    docs = _table_feed_documents(spark, d, name, spec, key)
-    c = _t(spark, d, "customer")
-    first_seg = c.groupBy(pages_by_key_range(c, key, spec.page_size).alias("page_offset")).agg(
-        F.min_by("c_mktsegment", key).alias("seg"))
-    docs = docs.join(first_seg, "page_offset").select(
+    docs = _table_feed_documents(spark, d, name, spec, key,
+                                 extra=[F.min_by("c_mktsegment", key).alias("seg")])
+    docs = docs.select(
         F.when(F.col("seg") == tf.CORRUPT_SEGMENT,
                F.expr("substring(document, 1, length(document) div 2)"))
         .otherwise(F.col("document")).alias("document"), "folder")

@@ -27,11 +27,13 @@ def pages_by_key_range(df: DataFrame, key: str, page_size: int) -> Column:
 
 
 def to_pages(df: DataFrame, page_cols: Sequence[Column | str], record: Column,
-             sort_key: Column) -> DataFrame:
+             sort_key: Column, extra: Sequence[Column] = ()) -> DataFrame:
     """Group records into pages; records inside a page are sorted by
-    ``sort_key`` so a page's text is deterministic."""
+    ``sort_key`` so a page's text is deterministic.  ``extra`` aggregates
+    (page attributes) are computed in the same pass."""
     grouped = df.groupBy(*page_cols).agg(
-        F.array_sort(F.collect_list(F.struct(sort_key.alias("k"), record.alias("r")))).alias("_items"))
+        F.array_sort(F.collect_list(F.struct(sort_key.alias("k"), record.alias("r")))).alias("_items"),
+        *extra)
     return grouped.withColumn("records", F.transform("_items", lambda x: x["r"])).drop("_items")
 
 
