@@ -27,13 +27,16 @@ def pages_by_key_range(df: DataFrame, key: str, page_size: int) -> Column:
 
 
 def to_pages(df: DataFrame, page_cols: Sequence[Column | str], record: Column,
-             sort_key: Column, extra: Sequence[Column] = ()) -> DataFrame:
+             sort_key: Column, extra: Sequence[Column] = (), distinct: bool = False) -> DataFrame:
     """Group records into pages; records inside a page are sorted by
     ``sort_key`` so a page's text is deterministic.  ``extra`` aggregates
-    (page attributes) are computed in the same pass."""
-    grouped = df.groupBy(*page_cols).agg(
-        F.array_sort(F.collect_list(F.struct(sort_key.alias("k"), record.alias("r")))).alias("_items"),
-        *extra)
+    (page attributes) are computed in the same pass.  ``distinct`` drops
+    repeated records inside the aggregation buffer (map-side too), so a page
+    holds at most its number of distinct records.  NULL records are skipped,
+    so a page key without records gets an empty list."""
+    item = F.when(record.isNotNull(), F.struct(sort_key.alias("k"), record.alias("r")))
+    collect = F.collect_set if distinct else F.collect_list
+    grouped = df.groupBy(*page_cols).agg(F.array_sort(collect(item)).alias("_items"), *extra)
     return grouped.withColumn("records", F.transform("_items", lambda x: x["r"])).drop("_items")
 
 
