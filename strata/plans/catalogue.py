@@ -26,7 +26,7 @@ from strata.operators.quality import (dq_metrics, expect_flags, partition_split,
 from strata.plans import tablefeeds as tf
 from strata.session import scratch_path
 from strata.sources.bronze import envelope_schema, read_bronze, read_landing
-from strata.sources.landing import (envelope_json, ingestion_metadata, pages_by_key_range,
+from strata.sources.landing import (document_name, envelope_json, ingestion_metadata, pages_by_key_range,
                                     partition_folder, to_pages, write_landing)
 from strata.sources.tables import table, write_table
 from strata.spec import Dim, FeedSpec, Rule
@@ -114,11 +114,14 @@ def _page_summary(bronze: DataFrame, spec: FeedSpec) -> DataFrame:
         F.col(f"payload.{resource}.Meta.TotalCount").alias("total_count"),
         F.col("ingestion_metadata.batch_id").alias("batch_id"),
         F.col(spec.array_path).startswith("{").alias("single_object"),
+        document_name(F.col("ingestion_metadata.entity"),
+                      F.date_format(F.to_timestamp(F.col("ingestion_metadata.ingested_at")), "HHmmss"),
+                      F.col("ingestion_metadata.offset")).alias("doc_name"),
     )
 
 
 _PAGES_OUT = ["page_offset", "page_limit", "folder", "n_records", "total_count", "batch_id",
-              "single_object"]
+              "single_object", "doc_name"]
 
 
 def q01_landing_envelope(spark, d):
@@ -137,7 +140,8 @@ SELECT CAST(pg * 50 AS BIGINT) AS page_offset, CAST(50 AS INTEGER) AS page_limit
   strftime(fetched, '%Y-%m-%d') AS folder, CAST(n AS BIGINT) AS n_records,
   (SELECT count(*) FROM orders) AS total_count,
   sha256('ops|orders||' || CAST(pg * 50 AS VARCHAR)) AS batch_id,
-  n = 1 AS single_object
+  n = 1 AS single_object,
+  'orders_' || strftime(fetched, '%H%M%S') || '_' || CAST(pg * 50 AS VARCHAR) AS doc_name
 FROM p"""
 
 

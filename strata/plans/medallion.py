@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.flatten import flatten
-from strata.operators.quality import quarantine, silver
+from strata.operators.quality import observe_rules, quarantine, silver
 from strata.plans.feeds import ALL_FEEDS, gold_flights
 from strata.sources.bronze import read_bronze
 from strata.sources.tables import write_table
@@ -29,12 +29,20 @@ class Layers:
     silver: dict = field(default_factory=dict)
     quarantine: dict = field(default_factory=dict)
     gold: dict = field(default_factory=dict)
+    metrics: dict = field(default_factory=dict)
 
 
 def staged(spark: SparkSession, spec: FeedSpec, bronze_dir: str) -> DataFrame:
     return flatten(read_bronze(spark, bronze_dir), spec)
 
 
+def rule_counts(observed: dict, spec: FeedSpec) -> dict:
+    """{rule: (action, n_pass, n_fail)} from an observation of the staged rows."""
+    rows = observed.get("rows", 0)
+    return {r.name: (r.action, observed[f"{r.name}_pass"], rows - observed[f"{r.name}_pass"])
+            for r in spec.rules if r.sql}
+
+
 def refresh(spark: SparkSession, landing_root: str, out_root: str,
             feeds: Sequence[FeedSpec] = ALL_FEEDS, mode: str = "dedup_then_check",
             with_gold: bool = True) -> Layers:
@@ -46,10 +54,13 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
         stg = staged(spark, spec, layers.bronze[spec.name])
         s_path = f"{out_root}/silver/{spec.category}_{spec.name}"
         q_path = f"{out_root}/silver/{spec.category}_{spec.name}_quarantine"
-        write_table(silver(stg, spec, mode=mode), s_path)
+        # Rule pass counts ride along the silver job (no extra scan).
+        observed, obs = observe_rules(stg, [r for r in spec.rules if r.sql], f"dq_{spec.name}")
+        write_table(silver(observed, spec, mode=mode), s_path)
         write_table(quarantine(stg, spec.rules), q_path)
         layers.silver[spec.name] = s_path
         layers.quarantine[spec.name] = q_path
+        layers.metrics[spec.name] = rule_counts(obs.get, spec)
     needed = {"flights", "airports", "airlines", "aircraft", "countries"}
     if with_gold and needed <= set(layers.silver):
         t = {n: spark.read.parquet(layers.silver[n]) for n in needed}

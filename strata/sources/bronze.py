@@ -91,6 +91,18 @@ def start_bronze(spark: SparkSession, spec: FeedSpec, landing: str, bronze: str,
             .start(bronze))
 
 
+def infer_schema(spark: SparkSession, path: str, multiline: bool = True,
+                 sampling_ratio: float = 1.0) -> StructType:
+    """Schema inferred from landed documents, to draft a declared schema.
+
+    Inference is a development aid only: over files that mix an object and an
+    array for one field it yields ``string``, and it cannot know fields no
+    file contains yet (SURVEY 1.4), so feeds run on declared schemas.
+    """
+    return (spark.read.option("multiLine", multiline).option("recursiveFileLookup", True)
+            .option("samplingRatio", sampling_ratio).json(path).schema)
+
+
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Bronze parquet, merging the schemas of older and newer files (S6)."""
     return spark.read.option("mergeSchema", True).parquet(path)

@@ -53,6 +53,12 @@ def test_refresh_end_to_end(spark, tmp):
     aq = _rows(spark, layers.quarantine["airports"], "airport_code", "airport_name")
     assert ("XX", "Too short") in aq and (None, "No code") in aq and ("BER", None) in aq
 
+    # Rule counts observed during the silver job, over all staged rows.
+    m = layers.metrics["flights"]
+    assert m["valid_flight_number"] == ("drop", 7, 2)   # "4O2" and the empty page fail
+    assert m["valid_arrival_airport"][2] == 2           # newest 500 and the empty page
+    assert layers.metrics["airports"]["valid_coords"][0] == "warn"
+
     gold = spark.read.parquet(layers.gold["fact_flights_master"])
     assert gold.count() == silver.count()
     assert gold.columns == ["flight_id", "airline_name", "flight_number", "origin_hub",
@@ -92,3 +98,10 @@ def test_rerun_adds_only_new_files(spark, tmp):
           flights_doc("2024-03-03 12:00:00", "f", [flight(number="900")]))
     third = refresh(spark, landing, out, (FLIGHTS,), with_gold=False)
     assert read_bronze(spark, third.bronze["flights"]).count() == n1 + 1
+
+
+def test_infer_schema_drafts_from_landed_files(spark, tmp):
+    from strata.sources.bronze import infer_schema
+    build_landing(f"{tmp}/landing")
+    schema = infer_schema(spark, f"{tmp}/landing/ref/countries")
+    assert "payload" in schema.fieldNames() and "ingestion_metadata" in schema.fieldNames()
