@@ -1,5 +1,5 @@
 from strata.operators.audit import completeness, offset_gaps
-from strata.operators.dedupe import latest, latest_by_aggregate, version_rank
+from strata.operators.dedupe import latest, latest_by_aggregate
 from strata.operators.enrich import bounded_broadcast, star_left_join
 from strata.operators.flatten import explode_records, flatten
 from strata.operators.lookup import departures_from_hubs, route_frame, routes_on
@@ -10,5 +10,5 @@ __all__ = [
     "bounded_broadcast", "completeness", "departures_from_hubs", "dq_metrics", "expect_flags",
     "expect_or_drop", "explode_records", "flatten", "latest", "latest_by_aggregate",
     "observe_rules", "offset_gaps", "partition_split", "quarantine", "route_frame", "routes_on",
-    "silver", "star_left_join", "version_rank",
+    "silver", "star_left_join",
 ]

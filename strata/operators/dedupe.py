@@ -49,12 +49,3 @@ def latest_by_aggregate(df: DataFrame, keys: Sequence[str], ordering: Sequence[s
     )
     return picked.select(*[F.col(c) for c in df.columns if c in keys],
                          *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
-
-
-def version_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 tie_break: Sequence[str] | None = None, name: str = "version_rank") -> DataFrame:
-    """Every version with its recency rank (1 = newest); used by the split
-    variant, which needs all versions rather than the winner only."""
-    cols = ordering_columns(df, keys, order, tie_break)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in cols])
-    return df.withColumn(name, F.row_number().over(w))

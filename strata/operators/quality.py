@@ -19,7 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from strata.operators.dedupe import latest, ordering_columns, version_rank
+from strata.operators.dedupe import latest, ordering_columns
 from strata.spec import QUARANTINE, SILVER, FeedSpec, Rule
 
 
@@ -114,12 +114,22 @@ def partition_split(staged: DataFrame, keys: Sequence[str], order: Sequence[str]
     """Label each staged row: ``quarantine`` if it fails a silver drop rule,
     else ``silver`` if it is the newest version of its key, else
     ``superseded``.  Silver rows equal ``dedup_then_check``'s output; the three
-    labels partition the input."""
+    labels partition the input.
+
+    Ranking every version with a window would send all versions of a hot key
+    to one task.  Instead each key's newest version is picked by ``latest``
+    (limited before the shuffle) and joined back on a row id, which is unique
+    and so spreads evenly.  The id is assigned directly over the input, and
+    Spark keeps filters from moving below it, so both uses see the same ids.
+    """
     drop = _silver_drop_rules(rules)
     cols = ordering_columns(staged, keys, order, tie_break)
-    ranked = version_rank(staged, keys, order, cols[len(order):], name="_v")
+    with_id = staged.withColumn("_rid", F.monotonically_increasing_id())
+    winners = latest(with_id.select(*keys, *cols, "_rid"), keys, order,
+                     cols[len(order):] + ["_rid"]).select("_rid", F.lit(True).alias("_newest"))
+    ranked = with_id.join(winners, "_rid", "left")
     label = (F.when(any_fail(drop), F.lit("quarantine"))
-             .when(F.col("_v") == 1, F.lit("silver"))
+             .when(F.col("_newest"), F.lit("silver"))
              .otherwise(F.lit("superseded")))
     return ranked.select(*staged.columns, label.alias(label_col),
                          failed_rules(drop).alias(rules_col))

@@ -159,3 +159,15 @@ def test_routes_on_semi_join(spark):
                                "o string, d string, id int")
     routes = route_frame(spark, [("FRA", "JFK"), ("MUC", "JFK")], ["o", "d"])
     assert sorted(r.id for r in routes_on(df, routes, ["o", "d"]).collect()) == [1, 3]
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    # 3000 rows, 1000 of them on one key: results stay exact.
+    rows = [("hot", i, i % 7) for i in range(1000)] + [(f"k{i}", i, 0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, v long, w long").repartition(8)
+    for method in ("window", "aggregate"):
+        out = {r.k: r.v for r in latest(df, ["k"], ["v"], ["w"], method).collect()}
+        assert out["hot"] == 999 and len(out) == 2001
+    split = partition_split(df, ["k"], ["v"], (Rule("pos", "v >= 0"),), ["w"])
+    counts = {r.label: r["count"] for r in split.groupBy("label").count().collect()}
+    assert counts == {"silver": 2001, "superseded": 999}
