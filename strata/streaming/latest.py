@@ -1,10 +1,16 @@
 """Latest-wins on a stream (ST4).
 
 Re-deliveries are resolved by recency, not event time, so the stream keeps a
-``max_by`` aggregate per key.  ``complete`` mode re-emits every key each
-trigger and the sink rewrites the silver snapshot; state grows with the
-number of keys, which is bounded by the key space rather than by time (a
-watermark can only be added when the key carries a date).
+``max_by`` aggregate per key; state grows with the number of keys, bounded by
+the key space rather than by time (a watermark can only be added when the key
+carries a date).  Two sinks:
+
+* ``complete``: every key is re-emitted each trigger and the snapshot is
+  rewritten - simple, O(keys) per trigger.
+* ``update``: only keys that received rows in the trigger are emitted (with
+  their current newest row) and appended to a change log tagged with the trigger epoch; readers resolve
+  the log with ``read_latest`` (a partial/final ``max_by``), and the log can
+  be compacted by rewriting that result.  Work per trigger is O(changes).
 """
 
 from __future__ import annotations
@@ -22,18 +28,40 @@ def latest_aggregate(stream: DataFrame, keys: Sequence[str], ordering: Sequence[
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
+EPOCH = "_epoch"
+
+
 def start_latest(spark: SparkSession, stream: DataFrame, keys: Sequence[str],
                  ordering: Sequence[str], out: str, checkpoint: str,
-                 transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
-    """Maintain ``out`` as the newest row per key, rewritten per trigger."""
+                 transform: Callable[[DataFrame], DataFrame] | None = None,
+                 mode: str = "complete") -> StreamingQuery:
+    """Maintain the newest row per key at ``out`` (see the module doc)."""
     agg = latest_aggregate(stream, keys, ordering)
 
     def write_snapshot(batch: DataFrame, _epoch: int) -> None:
         snap = transform(batch) if transform else batch
         snap.write.mode("overwrite").parquet(out)
 
-    return (agg.writeStream.outputMode("complete")
+    def append_changes(batch: DataFrame, epoch: int) -> None:
+        changes = transform(batch) if transform else batch
+        # Re-running an epoch after a failure overwrites its own partition.
+        (changes.withColumn(EPOCH, F.lit(epoch).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(EPOCH).parquet(out))
+
+    if mode not in ("complete", "update"):
+        raise ValueError(f"unknown mode {mode!r}")
+    return (agg.writeStream.outputMode(mode)
             .option("checkpointLocation", checkpoint)
-            .foreachBatch(write_snapshot)
+            .foreachBatch(write_snapshot if mode == "complete" else append_changes)
             .trigger(availableNow=True)
             .start())
+
+
+def read_latest(spark: SparkSession, changes: str, keys: Sequence[str]) -> DataFrame:
+    """The newest row per key from an ``update``-mode change log: the row of
+    the highest epoch (each epoch holds at most one row per key)."""
+    log = spark.read.parquet(changes)
+    rest = [c for c in log.columns if c not in keys and c != EPOCH]
+    picked = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(EPOCH)).alias("_row"))
+    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
