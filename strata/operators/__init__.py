@@ -1,4 +1,4 @@
-from strata.operators.audit import completeness, offset_gaps
+from strata.operators.audit import completeness, landed_pages, offset_gaps
 from strata.operators.dedupe import latest, latest_by_aggregate
 from strata.operators.enrich import bounded_broadcast, star_left_join
 from strata.operators.flatten import explode_records, flatten
@@ -8,7 +8,7 @@ from strata.operators.quality import (dq_metrics, expect_flags, expect_or_drop,
 
 __all__ = [
     "bounded_broadcast", "completeness", "departures_from_hubs", "dq_metrics", "expect_flags",
-    "expect_or_drop", "explode_records", "flatten", "latest", "latest_by_aggregate",
+    "expect_or_drop", "explode_records", "flatten", "landed_pages", "latest", "latest_by_aggregate",
     "observe_rules", "offset_gaps", "partition_split", "quarantine", "route_frame", "routes_on",
     "silver", "star_left_join",
 ]

@@ -9,6 +9,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from strata.functions.records import record_count
+from strata.spec import FeedSpec
+
+
+def landed_pages(bronze: DataFrame, spec: FeedSpec, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per landed document with its page metadata: the input of both
+    audits.  The record count comes from the declared array path (N5) and
+    the announced total from ``Meta.TotalCount`` (N6)."""
+    resource = spec.array_path.split(".")[1]
+    docs = bronze.filter(F.col("_corrupt_record").isNull()) if "_corrupt_record" in bronze.columns else bronze
+    return docs.select(
+        F.col("ingestion_metadata.category").alias("category"),
+        F.col("ingestion_metadata.entity").alias("entity"),
+        F.col("ingestion_metadata.batch_id").alias("batch_id"),
+        F.col("ingestion_metadata.ingested_at").alias("ingested_at"),
+        F.col("ingestion_metadata.offset").alias("page_offset"),
+        F.col("ingestion_metadata.limit").alias("page_limit"),
+        F.coalesce(F.col("ingestion_metadata.poison_pill_recovered"), F.lit(False)).alias("recovered"),
+        record_count(F.col(spec.array_path), spec.node_schema).alias("n_records"),
+        F.col(f"payload.{resource}.Meta.TotalCount").alias("total_count"),
+        *[F.col(k) for k in keep],
+    )
+
 
 def completeness(pages: DataFrame, sweep: Sequence[str], records: str = "n_records",
                  total: str = "total_count", limit: str = "page_limit",

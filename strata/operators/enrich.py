@@ -39,13 +39,18 @@ def star_left_join(fact: DataFrame, dims: Sequence[Dim], fact_alias: str = "f")
     columns (with ``defaults`` applied by ``coalesce``, which covers both
     unmatched rows and matched rows holding NULL: SURVEY G14)."""
     out = fact.alias(fact_alias)
+    within_bound: dict[int, bool] = {}  # one check per source frame (role-playing dims)
     for d in dims:
         needed = list(dict.fromkeys(
             _referenced(d.on, d.alias) + list(d.keep) + list(d.cols.values())
             + [c for other in dims for c in _referenced(other.on, d.alias)]))
         side = d.df.select(*needed)
         if d.max_rows is not None:
-            side = bounded_broadcast(side, d.max_rows)
+            key = id(d.df)
+            if key not in within_bound:
+                within_bound[key] = d.df.limit(d.max_rows + 1).count() <= d.max_rows
+            if within_bound[key]:
+                side = F.broadcast(side)
         out = out.join(side.alias(d.alias), F.expr(d.on), "left")
     extra = []
     for d in dims:

@@ -16,7 +16,7 @@ from strata.functions.keys import surrogate_key
 from strata.functions.records import record_count
 from strata.functions.status import ordered_case
 from strata.functions.typed import parse_local, parse_utc, try_double, try_int, wall_clock
-from strata.operators.audit import completeness, offset_gaps
+from strata.operators.audit import completeness, landed_pages, offset_gaps
 from strata.operators.dedupe import latest
 from strata.operators.enrich import star_left_join
 from strata.operators.flatten import flatten
@@ -103,20 +103,14 @@ def _parsed(docs: DataFrame, spec: FeedSpec) -> DataFrame:
 
 
 def _page_summary(bronze: DataFrame, spec: FeedSpec) -> DataFrame:
-    resource = spec.array_path.split(".")[1]
-    return bronze.select(
-        F.col("ingestion_metadata.category").alias("category"),
-        F.col("ingestion_metadata.entity").alias("entity"),
-        F.col("ingestion_metadata.offset").alias("page_offset"),
-        F.col("ingestion_metadata.limit").alias("page_limit"),
-        partition_folder("ops", F.to_timestamp(F.col("ingestion_metadata.ingested_at"))).alias("folder"),
-        record_count(F.col(spec.array_path), spec.node_schema).alias("n_records"),
-        F.col(f"payload.{resource}.Meta.TotalCount").alias("total_count"),
-        F.col("ingestion_metadata.batch_id").alias("batch_id"),
-        F.col(spec.array_path).startswith("{").alias("single_object"),
-        document_name(F.col("ingestion_metadata.entity"),
-                      F.date_format(F.to_timestamp(F.col("ingestion_metadata.ingested_at")), "HHmmss"),
-                      F.col("ingestion_metadata.offset")).alias("doc_name"),
+    flagged = bronze.withColumn("single_object", F.col(spec.array_path).startswith("{"))
+    pages = landed_pages(flagged, spec, keep=("single_object",))
+    return pages.select(
+        "category", "entity", "page_offset", "page_limit",
+        partition_folder("ops", F.to_timestamp("ingested_at")).alias("folder"),
+        "n_records", "total_count", "batch_id", "single_object",
+        document_name("entity", F.date_format(F.to_timestamp("ingested_at"), "HHmmss"),
+                      "page_offset").alias("doc_name"),
     )
 
 

@@ -12,8 +12,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strata.operators.audit import completeness, landed_pages, offset_gaps
 from strata.operators.flatten import flatten
 from strata.operators.quality import observe_rules, quarantine, silver
 from strata.plans.feeds import ALL_FEEDS, gold_flights
@@ -30,6 +31,7 @@ class Layers:
     quarantine: dict = field(default_factory=dict)
     gold: dict = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
+    audits: dict = field(default_factory=dict)
 
 
 def staged(spark: SparkSession, spec: FeedSpec, bronze_dir: str) -> DataFrame:
@@ -61,6 +63,16 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
         layers.silver[spec.name] = s_path
         layers.quarantine[spec.name] = q_path
         layers.metrics[spec.name] = rule_counts(obs.get, spec)
+        # Landing audits: sweeps are one landing batch of one entity.
+        pages = landed_pages(read_bronze(spark, layers.bronze[spec.name]), spec)
+        sweep = ["category", "entity", "ingest_day"]
+        pages = pages.withColumn("ingest_day", F.substring("ingested_at", 1, 10))
+        a_path = f"{out_root}/audit/{spec.category}_{spec.name}"
+        write_table(completeness(pages.filter(F.col("page_offset").isNotNull()), sweep,
+                                 recovered="recovered"), f"{a_path}_completeness")
+        write_table(offset_gaps(pages.filter(F.col("page_offset").isNotNull()), sweep),
+                    f"{a_path}_gaps")
+        layers.audits[spec.name] = a_path
     needed = {"flights", "airports", "airlines", "aircraft", "countries"}
     if with_gold and needed <= set(layers.silver):
         t = {n: spark.read.parquet(layers.silver[n]) for n in needed}
