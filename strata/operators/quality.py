@@ -85,21 +85,28 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.filter(any_fail(q))
 
 
-def silver(staged: DataFrame, spec: FeedSpec, mode: str = "dedup_then_check",
-           method: str = "window") -> DataFrame:
+def silver_by(staged: DataFrame, keys: Sequence[str], order: Sequence[str], rules: Sequence[Rule],
+              tie_break: Sequence[str] | None = None, mode: str = "dedup_then_check",
+              method: str = "window", null_key_prefilter: bool = False) -> DataFrame:
     df = staged
-    if spec.null_key_prefilter:
+    if null_key_prefilter:
         # All NULL keys form one group whose survivor a drop rule removes
         # anyway; filtering first removes that (skewed) group from the shuffle.
-        for k in spec.key:
+        for k in keys:
             df = df.filter(F.col(k).isNotNull())
     if mode == "dedup_then_check":
-        return expect_or_drop(latest(df, spec.key, spec.order, spec.tie_break, method), spec.rules)
+        return expect_or_drop(latest(df, keys, order, tie_break, method), rules)
     if mode == "check_then_dedup":
-        return latest(expect_or_drop(df, spec.rules), spec.key, spec.order, spec.tie_break, method)
+        return latest(expect_or_drop(df, rules), keys, order, tie_break, method)
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def silver(staged: DataFrame, spec: FeedSpec, mode: str = "dedup_then_check",
+           method: str = "window") -> DataFrame:
+    return silver_by(staged, spec.key, spec.order, spec.rules, spec.tie_break, mode, method,
+                     spec.null_key_prefilter)
+
+
 def failed_rules(rules: Sequence[Rule]):
     """array<string> of the names of the rules a row fails."""
     return F.filter(

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from strata.functions.keys import surrogate_key
 from strata.functions.records import record_count
@@ -22,14 +23,14 @@ from strata.operators.enrich import star_left_join
 from strata.operators.flatten import flatten
 from strata.operators.lookup import departures_from_hubs, route_frame, routes_on
 from strata.operators.quality import (dq_metrics, expect_flags, partition_split, quarantine,
-                                      silver)
+                                      silver_by)
 from strata.plans import tablefeeds as tf
 from strata.session import scratch_path
 from strata.sources.bronze import envelope_schema, read_bronze, read_landing
 from strata.sources.landing import (document_name, envelope_json, ingestion_metadata, pages_by_key_range,
                                     partition_folder, to_pages, write_landing)
 from strata.sources.tables import table, write_table
-from strata.spec import Dim, FeedSpec, Rule
+from strata.spec import Dim, FeedSpec, Field, Rule
 from strata.streaming.ingest import bronze_path, ingest_feeds, landing_path
 from strata.streaming.latest import read_latest, start_latest
 
@@ -44,13 +45,6 @@ def _order_sql(cols) -> str:
     return ", ".join(f"{c} DESC NULLS LAST" for c in cols)
 
 
-def _line_spec(columns=tf.STAGED_LINE_COLUMNS) -> FeedSpec:
-    return FeedSpec(name="lines_staged", category="ops", array_path="payload.R.P.S",
-                    node_schema=tf.LINE_NODE, fields=(), key=tf.LINE_KEY, order=tf.LINE_ORDER,
-                    tie_break=tuple(c for c in columns if c not in tf.LINE_KEY + tf.LINE_ORDER),
-                    rules=tf.LINE_RULES)
-
-
 _LINE_TIES = [c for c in tf.LINE_COLUMNS if c not in tf.LINE_KEY + tf.LINE_ORDER]
 _STAGED_TIES = [c for c in tf.STAGED_LINE_COLUMNS if c not in tf.LINE_KEY + tf.LINE_ORDER]
 
@@ -215,13 +209,13 @@ def _line_pages(lines: DataFrame, order_key: str = "l_orderkey", distinct: bool
                     distinct=distinct)
 
 
-_LINE_REF_NODE = tf.StructType([tf.StructField("OrderKey", tf.StringType()),
-                                tf.StructField("LineNumber", tf.StringType())])
+_LINE_REF_NODE = StructType([StructField("OrderKey", StringType()),
+                                StructField("LineNumber", StringType())])
 _LINE_REF_FEED = FeedSpec(name="order_lines", category="ops",
                           array_path="payload.OrderLineResource.OrderLines.OrderLine",
                           node_schema=_LINE_REF_NODE,
-                          fields=(tf.Field("l_orderkey", "OrderKey", "long"),
-                                  tf.Field("l_linenumber", "LineNumber", "int")),
+                          fields=(Field("l_orderkey", "OrderKey", "long"),
+                                  Field("l_linenumber", "LineNumber", "int")),
                           key=("l_orderkey",))
 
 
@@ -281,15 +275,15 @@ Q07_SQL = """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderd
   o_orderdate AS order_date_local, o_orderpriority FROM orders"""
 
 
-_NATION_NODE = tf.StructType([
-    tf.StructField("NationCode", tf.StringType()), tf.StructField("RegionCode", tf.StringType()),
-    tf.StructField("Names", tf.StructType([tf.StructField("Name", tf.StructType([
-        tf.StructField("@LanguageCode", tf.StringType()), tf.StructField("$", tf.StringType())]))]))])
+_NATION_NODE = StructType([
+    StructField("NationCode", StringType()), StructField("RegionCode", StringType()),
+    StructField("Names", StructType([StructField("Name", StructType([
+        StructField("@LanguageCode", StringType()), StructField("$", StringType())]))]))])
 _NATION_FEED = FeedSpec(name="nations", category="ref",
                         array_path="payload.NationResource.Nations.Nation", node_schema=_NATION_NODE,
-                        fields=(tf.Field("n_nationkey", "NationCode", "int"),
-                                tf.Field("n_name", "Names", "name"),
-                                tf.Field("n_regionkey", "RegionCode", "int")),
+                        fields=(Field("n_nationkey", "NationCode", "int"),
+                                Field("n_name", "Names", "name"),
+                                Field("n_regionkey", "RegionCode", "int")),
                         key=("n_nationkey",))
 
 
@@ -366,7 +360,7 @@ _LINE_FAIL_SQL = " OR ".join(f"({r.fails()})" for r in tf.LINE_RULES)
 
 def _silver_lines(spark, d):
     staged = tf.staged_lines(_t(spark, d, "lineitem"))
-    return silver(staged, _line_spec(), mode="dedup_then_check")
+    return silver_by(staged, tf.LINE_KEY, tf.LINE_ORDER, tf.LINE_RULES, _STAGED_TIES)
 
 
 def q12_ops_silver(spark, d):
@@ -385,12 +379,6 @@ def q13_ops_quarantine(spark, d):
 Q13_SQL = _STAGED_CTE + f"SELECT * FROM staged WHERE {_LINE_FAIL_SQL}"
 
 
-def _part_spec() -> FeedSpec:
-    return FeedSpec(name="parts", category="ref", array_path="payload.R.P.S",
-                    node_schema=tf.LINE_NODE, fields=(), key=tf.PART_KEY, order=tf.PART_ORDER,
-                    tie_break=None, rules=tf.PART_RULES, null_key_prefilter=True)
-
-
 def q14_ref_quarantine(spark, d):
     return quarantine(tf.staged_parts(_t(spark, d, "part")), tf.PART_RULES)
 
@@ -400,7 +388,8 @@ Q14_SQL = (f"WITH staged AS ({tf.STAGED_PARTS_SQL})\nSELECT * FROM staged WHERE
 
 
 def q15_ref_silver(spark, d):
-    return silver(tf.staged_parts(_t(spark, d, "part")), _part_spec())
+    return silver_by(tf.staged_parts(_t(spark, d, "part")), tf.PART_KEY, tf.PART_ORDER,
+                     tf.PART_RULES, null_key_prefilter=True)
 
 
 _PART_COLS = ["part_code", "part_name", "p_partkey", "p_type", "p_size", "p_retailprice"]
