@@ -28,6 +28,7 @@ from strata.plans import tablefeeds as tf
 from strata.session import scratch_path
 from strata.sources.bronze import envelope_schema, read_bronze, read_landing
 from strata.sources.landing import (document_name, envelope_json, ingestion_metadata, pages_by_key_range,
+                                    with_position_pages,
                                     partition_folder, to_pages, write_landing)
 from strata.sources.tables import table, write_table
 from strata.spec import Dim, FeedSpec, Field, Rule
@@ -617,13 +618,16 @@ WHERE l_shipdate >= TIMESTAMP '{tf.ROUTES_FROM}' AND EXISTS (
 
 
 def _lines_drop_documents(li: DataFrame, drop_no: int) -> DataFrame:
-    """One document per line (a one-record page, so a lone object)."""
+    """A drop's lines in pages of at most 50, paged by position."""
     spec = tf.LINES_FEED
     _, resource, plural, singular = spec.array_path.split(".")
     ts = F.to_timestamp(F.lit(tf.SWEEP_TS)) + F.expr(f"INTERVAL {drop_no - 1} DAYS")
-    meta = ingestion_metadata("ops", spec.name, ts, tf.SCRIPT, batch_seed=F.lit(f"drop{drop_no}"))
-    return li.select(envelope_json(F.array(tf.line_record(li)), resource, plural, singular, meta)
-                     .alias("document"), partition_folder("ops", ts).alias("folder"))
+    pages = to_pages(with_position_pages(li, spec.page_size), ["page_id"], tf.line_record(li),
+                     F.col("_pos"))
+    meta = ingestion_metadata("ops", spec.name, ts, tf.SCRIPT, offset=F.col("page_id"),
+                              batch_seed=F.lit(f"drop{drop_no}"))
+    return pages.select(envelope_json(F.col("records"), resource, plural, singular, meta)
+                        .alias("document"), partition_folder("ops", ts).alias("folder"))
 
 
 def q25_incremental_rerun(spark, d):

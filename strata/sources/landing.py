@@ -26,6 +26,17 @@ def pages_by_key_range(df: DataFrame, key: str, page_size: int) -> Column:
     return (F.floor(F.col(key) / F.lit(page_size)) * F.lit(page_size)).cast("bigint")
 
 
+def with_position_pages(df: DataFrame, page_size: int, page_col: str = "page_id",
+                        pos_col: str = "_pos") -> DataFrame:
+    """Add a row position and a page id from it.  Positions are consecutive
+    inside an input partition, so each page holds at most ``page_size`` rows
+    however the keys are distributed, and the position is a cheap sort key
+    inside the page.  Apply it directly over a scan (deterministic input
+    splits) so a recomputed task produces the same pages."""
+    pos = df.select("*", F.monotonically_increasing_id().alias(pos_col))
+    return pos.withColumn(page_col, F.floor(F.col(pos_col) / F.lit(page_size)).cast("bigint"))
+
+
 def to_pages(df: DataFrame, page_cols: Sequence[Column | str], record: Column,
              sort_key: Column, extra: Sequence[Column] = (), distinct: bool = False) -> DataFrame:
     """Group records into pages; records inside a page are sorted by
