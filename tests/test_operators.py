@@ -104,13 +104,19 @@ def test_star_left_join_defaults_and_row_count(spark):
     assert (rows[3].equip, rows[3].aname) == ("N/A", "Unknown")  # unmatched -> default
 
 
-def test_bounded_broadcast_respects_bound(spark):
-    big = spark.range(50).withColumnRenamed("id", "k")
-    fact = spark.range(1000).select((F.col("id") % 50).alias("k"))
-    plan_small = fact.join(bounded_broadcast(big, 100), "k")._jdf.queryExecution().analyzed().toString()
-    plan_over = fact.join(bounded_broadcast(big, 10), "k")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan_small.lower()
-    assert "broadcast" not in plan_over.lower()
+def test_bounded_broadcast_respects_bound(spark, capsys):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only hints may broadcast
+    try:
+        dim = spark.range(50).withColumnRenamed("id", "k")
+        fact = spark.range(1000).select((F.col("id") % 50).alias("k"))
+        fact.join(bounded_broadcast(dim, 100), "k").explain()
+        within = capsys.readouterr().out
+        fact.join(bounded_broadcast(dim, 10), "k").explain()
+        over = capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in within
+    assert "BroadcastHashJoin" not in over and "SortMergeJoin" in over
 
 
 def _gaps_brute(pages, total):
