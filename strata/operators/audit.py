@@ -61,14 +61,18 @@ def offset_gaps(pages: DataFrame, sweep: Sequence[str], offset: str = "page_offs
                 limit: str = "page_limit", total: str | None = "total_count",
                 bucket_span: int = 1 << 20) -> DataFrame:
     """Record ranges ``[gap_start, gap_end)`` of a sweep covered by no landed
-    page (SURVEY R2).  Pages are ``[offset, offset + limit)`` and do not
-    overlap; re-delivered pages (same offset) count once.
+    page (SURVEY R2).  A page covers ``[offset, offset + limit)``.  Pages may
+    overlap: after a bad record the feed lands bisected sub-batches and then
+    resumes one past the bad offset with a full page, so coverage is tracked
+    as the running maximum of page ends, not the previous page's end.
 
-    A sweep may hold most of the pages, so the ordering is two-level: ``lead``
-    inside buckets of ``bucket_span`` offsets finds gaps between neighbours in
-    one bucket, then ``lead`` over one summary row per bucket finds gaps that
-    cross bucket borders.  No task sees more than one bucket's pages, and the
-    second level holds ``range / bucket_span`` rows per sweep.
+    A sweep may hold most of the pages, so the ordering is two-level: inside
+    buckets of ``bucket_span`` offsets a running maximum and ``lead`` find
+    gaps between neighbours; one summary row per bucket (its first offset and
+    furthest end) then carries the reach of all earlier buckets forward, which
+    both finds gaps across bucket borders and trims inner gaps that an
+    earlier, longer page already covers.  No task sees more than one bucket's
+    pages; the second level holds ``range / bucket_span`` rows per sweep.
     """
     keys = list(sweep)
     base = pages.groupBy(*keys, offset).agg(
@@ -77,9 +81,11 @@ def offset_gaps(pages: DataFrame, sweep: Sequence[str], offset: str = "page_offs
     ).withColumn("_b", F.floor(F.col(offset) / F.lit(bucket_span)))
 
     w1 = Window.partitionBy(*keys, "_b").orderBy(offset)
-    inner = (base.withColumn("_next", F.lead(offset).over(w1))
-             .filter(F.col("_next") > F.col("_end"))
-             .select(*keys, F.col("_end").alias("gap_start"), F.col("_next").alias("gap_end")))
+    inner = (base.withColumn("_reach", F.max("_end").over(
+                 w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+             .withColumn("_next", F.lead(offset).over(w1))
+             .filter(F.col("_next") > F.col("_reach"))
+             .select(*keys, "_b", F.col("_reach").alias("gap_start"), F.col("_next").alias("gap_end")))
 
     buckets = base.groupBy(*keys, "_b").agg(
         F.min(offset).alias("_first"),
@@ -87,21 +93,29 @@ def offset_gaps(pages: DataFrame, sweep: Sequence[str], offset: str = "page_offs
         *([F.max("_total").alias("_total")] if total else []),
     )
     w2 = Window.partitionBy(*keys).orderBy("_b")
-    b2 = (buckets.withColumn("_next_first", F.lead("_first").over(w2))
-          .withColumn("_prev", F.lag("_b").over(w2)))
+    b2 = (buckets
+          .withColumn("_cum_end", F.max("_last_end").over(
+              w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+          .withColumn("_prev_cum", F.lag("_cum_end").over(w2))
+          .withColumn("_next_first", F.lead("_first").over(w2)))
     if total:
         b2 = b2.withColumn("_sweep_total", F.max("_total").over(Window.partitionBy(*keys)))
-    cross = (b2.filter(F.col("_next_first") > F.col("_last_end"))
-             .select(*keys, F.col("_last_end").alias("gap_start"),
-                     F.col("_next_first").alias("gap_end")))
-    leading = (b2.filter(F.col("_prev").isNull() & (F.col("_first") > 0))
+
+    # An inner gap starts no earlier than the reach of earlier buckets.
+    trimmed = (inner.join(b2.select(*keys, "_b", "_prev_cum"), [*keys, "_b"])
+               .select(*keys, F.greatest("gap_start", F.coalesce("_prev_cum", "gap_start")).alias("gap_start"),
+                       "gap_end")
+               .filter(F.col("gap_start") < F.col("gap_end")))
+    cross = (b2.filter(F.col("_next_first") > F.col("_cum_end"))
+             .select(*keys, F.col("_cum_end").alias("gap_start"), F.col("_next_first").alias("gap_end")))
+    leading = (b2.filter(F.col("_prev_cum").isNull() & (F.col("_first") > 0))
                .select(*keys, F.lit(0).cast("bigint").alias("gap_start"),
                        F.col("_first").cast("bigint").alias("gap_end")))
-    parts = [inner, cross, leading]
+    parts = [trimmed, cross, leading]
     if total:
         trailing = (b2.filter(F.col("_next_first").isNull()
-                              & (F.col("_last_end") < F.col("_sweep_total")))
-                    .select(*keys, F.col("_last_end").alias("gap_start"),
+                              & (F.col("_cum_end") < F.col("_sweep_total")))
+                    .select(*keys, F.col("_cum_end").alias("gap_start"),
                             F.col("_sweep_total").alias("gap_end")))
         parts.append(trailing)
     out = parts[0]

@@ -134,21 +134,51 @@ def _gaps_brute(pages, total):
     return gaps
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+def _sweep_like_the_feed(rnd, limit, total):
+    """Pages as the fetch loop lands them: full pages, and on a bad record at
+    p bisected clean sub-batches of [offset, offset + limit) without p, then
+    a resume at p + 1 with a full page (so pages overlap); some pages are
+    lost in transit."""
+    pages, offset = [], 0
+    while offset < total:
+        if rnd.random() < 0.15:
+            bad = offset + rnd.randrange(limit)
+            cuts = sorted({offset, bad, bad + 1, offset + limit} | {rnd.randrange(offset, offset + limit) for _ in range(2)})
+            for a, b in zip(cuts, cuts[1:]):
+                if not (a <= bad < b):
+                    pages.append((a, b - a))
+            offset = bad + 1
+        else:
+            pages.append((offset, limit))
+            offset += limit
+    return [p for p in pages if rnd.random() > 0.1]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_offset_gaps_match_brute_force(spark, seed):
     rnd = random.Random(seed)
-    limit, n_pages = 10, 200
-    total = limit * n_pages - rnd.randint(0, 9)
-    pages = [(i * limit, limit) for i in range(n_pages) if rnd.random() > 0.2]
+    limit = 10
+    total = 2000 - rnd.randint(0, 9)
+    pages = _sweep_like_the_feed(rnd, limit, total)
     pages += pages[:5]  # re-delivered pages count once
     df = spark.createDataFrame([("s", o, l, total) for o, l in pages],
                                "sweep string, page_offset long, page_limit int, total_count long")
+    want = _gaps_brute(pages, total)
+    assert want  # the sweep really has holes
     for span in (35, 1000, 1 << 20):  # buckets smaller than, around and beyond the sweep
         got = sorted((r.gap_start, r.gap_end) for r in offset_gaps(df, ["sweep"], bucket_span=span).collect())
-        want = [(s, e) for s, e in _gaps_brute(pages, total)]
         assert got == want, span
 
 
+def test_offset_gaps_long_page_covers_later_buckets(spark):
+    # A page reaching over several buckets hides what lies under it.
+    pages = [(0, 100), (10, 5), (120, 10), (200, 10)]
+    df = spark.createDataFrame([("s", o, l, 215) for o, l in pages],
+                               "sweep string, page_offset long, page_limit int, total_count long")
+    got = sorted((r.gap_start, r.gap_end) for r in offset_gaps(df, ["sweep"], bucket_span=7).collect())
+    assert got == _gaps_brute(pages, 215) == [(100, 120), (130, 200), (210, 215)]
+
+
 def test_completeness_flags_short_sweeps(spark):
     df = spark.createDataFrame([("a", 0, 50, 50, 120, False), ("a", 50, 50, 50, 120, True),
                                 ("b", 0, 50, 30, 30, None)],
