@@ -22,11 +22,24 @@ from pyspark.sql import DataFrame, Window, functions as F
 RANK = "_rank"
 
 
+REST = "*"
+
+
 def ordering_columns(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                      tie_break: Sequence[str] | None = None) -> list[str]:
+    """Recency columns followed by tie-break columns.  ``None`` means every
+    other column; a ``"*"`` entry stands for every column not named before
+    it (so ``("batch_id", "*")`` is batch id, then the rest)."""
     if tie_break is None:
-        tie_break = [c for c in df.columns if c not in set(keys) | set(order)]
-    return list(order) + [c for c in tie_break if c not in order]
+        tie_break = [REST]
+    out = list(order)
+    for c in tie_break:
+        if c == REST:
+            named = set(keys) | set(out) | {t for t in tie_break if t != REST}
+            out += [x for x in df.columns if x not in named]
+        elif c not in out:
+            out.append(c)
+    return out
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -83,7 +83,8 @@ FLIGHTS = FeedSpec(
     key=("flight_id",),
     key_expr=flight_key,
     order=("ingested_at",),
-    tie_break=None,
+    # Rows of one file share ingested_at and batch_id.
+    tie_break=("batch_id", "*"),
     rules=(
         Rule("valid_flight_number", "flight_number IS NOT NULL"),
         Rule("valid_departure_airport", "origin_iata IS NOT NULL"),
@@ -102,7 +103,7 @@ def _ref(name: str, array_path: str, node: StructType, fields: tuple[Field, ...]
              Rule("has_name", f"{name_col} IS NOT NULL")) + extra_rules
     return FeedSpec(name=name, category="ref", array_path=array_path, node_schema=node,
                     fields=fields + LINEAGE, key=(key,), order=("ingested_at",),
-                    tie_break=None, rules=rules, enabled=enabled, page_size=100,
+                    tie_break=("batch_id", "*"), rules=rules, enabled=enabled, page_size=100,
                     null_key_prefilter=True)
 
 
