@@ -64,15 +64,17 @@ def offset_gaps(pages: DataFrame, sweep: Sequence[str], offset: str = "page_offs
     page (SURVEY R2).  A page covers ``[offset, offset + limit)``.  Pages may
     overlap: after a bad record the feed lands bisected sub-batches and then
     resumes one past the bad offset with a full page, so coverage is tracked
-    as the running maximum of page ends, not the previous page's end.
-
-    A sweep may hold most of the pages, so the ordering is two-level: inside
-    buckets of ``bucket_span`` offsets a running maximum and ``lead`` find
-    gaps between neighbours; one summary row per bucket (its first offset and
-    furthest end) then carries the reach of all earlier buckets forward, which
-    both finds gaps across bucket borders and trims inner gaps that an
-    earlier, longer page already covers.  No task sees more than one bucket's
-    pages; the second level holds ``range / bucket_span`` rows per sweep.
+    as the running maximum of page ends (the reach), not the previous page's
+    end.
+
+    A sweep may hold most of the pages, so the ordering is two-level.  Offsets
+    fall into buckets of ``bucket_span``; one summary row per bucket gives the
+    reach of all earlier buckets and the first offset of the next one (a
+    window over ``range / bucket_span`` rows per sweep).  Joined back, a
+    single window per bucket then finds every gap in one pass: after each
+    page, the next offset (or the next bucket's first) beyond the reach, plus
+    the leading gap before the first page and the trailing gap up to the
+    announced total.  No task orders more than one bucket's pages.
     """
     keys = list(sweep)
     base = pages.groupBy(*keys, offset).agg(
@@ -80,47 +82,39 @@ def offset_gaps(pages: DataFrame, sweep: Sequence[str], offset: str = "page_offs
         *([F.max(total).alias("_total")] if total else []),
     ).withColumn("_b", F.floor(F.col(offset) / F.lit(bucket_span)))
 
-    w1 = Window.partitionBy(*keys, "_b").orderBy(offset)
-    inner = (base.withColumn("_reach", F.max("_end").over(
-                 w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-             .withColumn("_next", F.lead(offset).over(w1))
-             .filter(F.col("_next") > F.col("_reach"))
-             .select(*keys, "_b", F.col("_reach").alias("gap_start"), F.col("_next").alias("gap_end")))
-
     buckets = base.groupBy(*keys, "_b").agg(
         F.min(offset).alias("_first"),
         F.max("_end").alias("_last_end"),
-        *([F.max("_total").alias("_total")] if total else []),
+        *([F.max("_total").alias("_btotal")] if total else []),
     )
     w2 = Window.partitionBy(*keys).orderBy("_b")
-    b2 = (buckets
-          .withColumn("_cum_end", F.max("_last_end").over(
-              w2.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-          .withColumn("_prev_cum", F.lag("_cum_end").over(w2))
-          .withColumn("_next_first", F.lead("_first").over(w2)))
-    if total:
-        b2 = b2.withColumn("_sweep_total", F.max("_total").over(Window.partitionBy(*keys)))
-
-    # An inner gap starts no earlier than the reach of earlier buckets.
-    trimmed = (inner.join(b2.select(*keys, "_b", "_prev_cum"), [*keys, "_b"])
-               .select(*keys, F.greatest("gap_start", F.coalesce("_prev_cum", "gap_start")).alias("gap_start"),
-                       "gap_end")
-               .filter(F.col("gap_start") < F.col("gap_end")))
-    cross = (b2.filter(F.col("_next_first") > F.col("_cum_end"))
-             .select(*keys, F.col("_cum_end").alias("gap_start"), F.col("_next_first").alias("gap_end")))
-    leading = (b2.filter(F.col("_prev_cum").isNull() & (F.col("_first") > 0))
-               .select(*keys, F.lit(0).cast("bigint").alias("gap_start"),
-                       F.col("_first").cast("bigint").alias("gap_end")))
-    parts = [trimmed, cross, leading]
+    summary = buckets.select(
+        *keys, "_b",
+        F.max("_last_end").over(w2.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev_reach"),
+        F.lead("_first").over(w2).alias("_next_first"),
+        *([F.max("_btotal").over(Window.partitionBy(*keys)).alias("_sweep_total")] if total else []),
+    )
+
+    w1 = Window.partitionBy(*keys, "_b").orderBy(offset)
+    reach = F.greatest(F.col("_prev_reach"),
+                       F.max("_end").over(w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    nxt = F.coalesce(F.lead(offset).over(w1), F.col("_next_first"))
+    first = F.col("_prev_reach").isNull() & F.lag(offset).over(w1).isNull()
+    walked = base.join(summary, [*keys, "_b"]).select(
+        *keys, F.col(offset).alias("_off"), reach.alias("_reach"), nxt.alias("_next"),
+        first.alias("_first_page"), *([F.col("_sweep_total")] if total else []))
+
+    def gap(cond, start, end):
+        return F.when(cond, F.struct(start.cast("bigint").alias("gap_start"),
+                                     end.cast("bigint").alias("gap_end")))
+
+    found = [
+        gap(F.col("_first_page") & (F.col("_off") > 0), F.lit(0), F.col("_off")),
+        gap(F.col("_next") > F.col("_reach"), F.col("_reach"), F.col("_next")),
+    ]
     if total:
-        trailing = (b2.filter(F.col("_next_first").isNull()
-                              & (F.col("_cum_end") < F.col("_sweep_total")))
-                    .select(*keys, F.col("_cum_end").alias("gap_start"),
-                            F.col("_sweep_total").alias("gap_end")))
-        parts.append(trailing)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*keys, F.col("gap_start").cast("bigint").alias("gap_start"),
-                      F.col("gap_end").cast("bigint").alias("gap_end"),
-                      (F.col("gap_end") - F.col("gap_start")).cast("bigint").alias("missing_records"))
+        found.append(gap(F.col("_next").isNull() & (F.col("_reach") < F.col("_sweep_total")),
+                         F.col("_reach"), F.col("_sweep_total")))
+    gaps = walked.select(*keys, F.explode(F.filter(F.array(*found), lambda g: g.isNotNull())).alias("g"))
+    return gaps.select(*keys, "g.gap_start", "g.gap_end",
+                       (F.col("g.gap_end") - F.col("g.gap_start")).alias("missing_records"))
