@@ -201,13 +201,17 @@ Q04_SQL = f"""SELECT event_id, ts, user_id, event_type, value,
 def _line_pages(lines: DataFrame, order_key: str = "l_orderkey", distinct: bool = True) -> DataFrame:
     """Per order, pages of at most 50 distinct lines (line numbers 1-50 on
     page 0, 51-100 on page 1, ...): bounded whatever the order size, and
-    re-delivered versions of a line collapse inside the aggregation."""
+    re-delivered versions of a line collapse inside the aggregation.  Only
+    the line number varies inside a page, so the aggregation collects ints
+    and the records are built from them afterwards."""
     chunk = F.coalesce(F.floor((F.col("l_linenumber") - 1) / F.lit(tf.OPS_PAGE)), F.lit(0)).alias("chunk")
-    rec = F.when(F.col("l_linenumber").isNotNull(), F.struct(
-        F.col(order_key).cast("string").alias("OrderKey"),
-        F.col("l_linenumber").cast("string").alias("LineNumber")))
-    return to_pages(lines.select("*", chunk), [order_key, "chunk"], rec, F.col("l_linenumber"),
-                    distinct=distinct)
+    collect = F.collect_set if distinct else F.collect_list
+    pages = lines.select(order_key, "l_linenumber", chunk).groupBy(order_key, "chunk").agg(
+        F.array_sort(collect("l_linenumber")).alias("_lines"))
+    key = F.col(order_key).cast("string")
+    records = F.transform("_lines", lambda n: F.struct(key.alias("OrderKey"),
+                                                       n.cast("string").alias("LineNumber")))
+    return pages.select(order_key, "chunk", records.alias("records"))
 
 
 _LINE_REF_NODE = StructType([StructField("OrderKey", StringType()),
@@ -251,10 +255,16 @@ FROM lineitem GROUP BY l_orderkey"""
 def q06_explode_outer_empty(spark, d):
     orders = _t(spark, d, "orders").select("o_orderkey")
     lines = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
-    # An order without lines still gets its (empty) page, as the feed would;
-    # paging after the join reuses the join's partitioning on the order key.
-    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-    docs = _order_line_docs(_line_pages(joined, "o_orderkey"), single_as_object=False)
+    # Lines are paged first (per order and block of 50 line numbers, after a
+    # map-side distinct), so an order holding a third of all lines still
+    # yields a few bounded pages; the join then matches each order to its
+    # pages only.  An order without lines gets its (empty) page, as the feed
+    # would.
+    pages = _line_pages(lines).withColumnRenamed("l_orderkey", "o_orderkey")
+    empty = F.array().cast(pages.schema["records"].dataType)
+    paged = orders.join(pages, "o_orderkey", "left").select(
+        "o_orderkey", F.coalesce(F.col("records"), empty).alias("records"))
+    docs = _order_line_docs(paged, single_as_object=False)
     bronze = docs.select("o_orderkey", F.from_json("document", envelope_schema(_LINE_REF_FEED, False))
                          .alias("e")).select("o_orderkey", "e.*")
     return flatten(bronze, _LINE_REF_FEED, keep=("o_orderkey",)).select("o_orderkey", "l_linenumber")
