@@ -47,9 +47,10 @@ def rule_counts(observed: dict, spec: FeedSpec) -> dict:
 
 def refresh(spark: SparkSession, landing_root: str, out_root: str,
             feeds: Sequence[FeedSpec] = ALL_FEEDS, mode: str = "dedup_then_check",
-            with_gold: bool = True) -> Layers:
+            with_gold: bool = True, archive_root: str | None = None) -> Layers:
     out_root = out_root.rstrip("/")
-    layers = Layers(bronze=ingest_feeds(spark, feeds, landing_root, out_root))
+    layers = Layers(bronze=ingest_feeds(spark, feeds, landing_root, out_root,
+                                        archive_root=archive_root))
     for spec in feeds:
         if not spec.enabled or spec.name not in layers.bronze:
             continue

@@ -69,19 +69,31 @@ def read_landing(spark: SparkSession, spec: FeedSpec, path: str) -> DataFrame:
 
 
 def stream_landing(spark: SparkSession, spec: FeedSpec, path: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Incremental read: each file is consumed once per checkpoint (ST3)."""
+                   max_files_per_trigger: int | None = None,
+                   archive_dir: str | None = None) -> DataFrame:
+    """Incremental read: each file is consumed once per checkpoint (ST3).
+
+    The file source lists the whole landing tree on every trigger, and a feed
+    of small pages grows by thousands of files a day.  With ``archive_dir``
+    the source moves files of committed batches there (``cleanSource``; the
+    files of one run are moved when the next run commits), so each listing
+    covers about one run's files however long the feed has been running.
+    ``archive_dir`` must lie outside ``path``.
+    """
     r = _reader(spark.readStream, spec)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return _with_lineage(r.json(path))
 
 
 def start_bronze(spark: SparkSession, spec: FeedSpec, landing: str, bronze: str,
-                 checkpoint: str, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 checkpoint: str, max_files_per_trigger: int | None = None,
+                 archive_dir: str | None = None) -> StreamingQuery:
     """Append-only bronze table, triggered run: process what has landed, stop
     (``availableNow``), partitioned by ingestion day for pruning."""
-    return (stream_landing(spark, spec, landing, max_files_per_trigger)
+    return (stream_landing(spark, spec, landing, max_files_per_trigger, archive_dir)
             .writeStream.format("parquet")
             .outputMode("append")
             .option("checkpointLocation", checkpoint)

@@ -26,15 +26,19 @@ def bronze_path(root: str, spec: FeedSpec) -> str:
 
 
 def ingest_feeds(spark: SparkSession, specs: Sequence[FeedSpec], landing_root: str,
-                 out_root: str, max_files_per_trigger: int | None = None) -> dict[str, str]:
-    """Run one triggered stream per enabled feed; return bronze paths."""
+                 out_root: str, max_files_per_trigger: int | None = None,
+                 archive_root: str | None = None) -> dict[str, str]:
+    """Run one triggered stream per enabled feed; return bronze paths.
+    ``archive_root`` moves consumed landing files out of the listed tree
+    (one sub-folder per feed, see ``stream_landing``)."""
     started = {}
     for spec in specs:
         if not spec.enabled:
             continue
+        archive = landing_path(archive_root, spec) if archive_root else None
         q = start_bronze(spark, spec, landing_path(landing_root, spec), bronze_path(out_root, spec),
                          f"{out_root.rstrip('/')}/_checkpoints/bronze_{spec.category}_{spec.name}",
-                         max_files_per_trigger)
+                         max_files_per_trigger, archive)
         started[spec.name] = q
     for q in started.values():
         q.awaitTermination()

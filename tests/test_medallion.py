@@ -100,6 +100,24 @@ def test_rerun_adds_only_new_files(spark, tmp):
     assert read_bronze(spark, third.bronze["flights"]).count() == n1 + 1
 
 
+def test_archived_landing_keeps_listings_small(spark, tmp):
+    import glob
+    landing, out, archive = f"{tmp}/landing", f"{tmp}/out", f"{tmp}/archive"
+    build_landing(landing)
+    landed = set(glob.glob(f"{landing}/ops/flights/**/*.json", recursive=True))
+    first = refresh(spark, landing, out, (FLIGHTS,), with_gold=False, archive_root=archive)
+    n1 = read_bronze(spark, first.bronze["flights"]).count()
+    from tests.flight_fixtures import flight, flights_doc, write
+    write(landing, "ops", "flights", "2024-03-03", "FRA_1200_f.json",
+          flights_doc("2024-03-03 12:00:00", "f", [flight(number="900")]))
+    second = refresh(spark, landing, out, (FLIGHTS,), with_gold=False, archive_root=archive)
+    # Every document once; files of the first run left the listed tree.
+    assert read_bronze(spark, second.bronze["flights"]).count() == n1 + 1
+    left = set(glob.glob(f"{landing}/ops/flights/**/*.json", recursive=True))
+    assert not (left & landed)
+    assert len(glob.glob(f"{archive}/ops/flights/**/*.json", recursive=True)) == len(landed)
+
+
 def test_infer_schema_drafts_from_landed_files(spark, tmp):
     from strata.sources.bronze import infer_schema
     build_landing(f"{tmp}/landing")
