@@ -383,6 +383,18 @@ _SILVER_LINES_SQL = (f"SELECT * FROM ({_latest_sql('staged', tf.STAGED_LINE_COLU
 Q12_SQL = _STAGED_CTE + _SILVER_LINES_SQL
 
 
+def q12b_check_then_dedup(spark, d):
+    """The offered alternative to the feed's order: checks first,
+    so a key whose newest version is bad keeps its newest good version."""
+    staged = tf.staged_lines(_t(spark, d, "lineitem"))
+    return silver_by(staged, tf.LINE_KEY, tf.LINE_ORDER, tf.LINE_RULES, _STAGED_TIES,
+                     mode="check_then_dedup")
+
+
+Q12B_SQL = (_STAGED_CTE + f", good AS (SELECT * FROM staged WHERE {_LINE_DROP_SQL})\n"
+            + _latest_sql("good", tf.STAGED_LINE_COLUMNS, _STAGED_TIES))
+
+
 def q13_ops_quarantine(spark, d):
     return quarantine(tf.staged_lines(_t(spark, d, "lineitem")), tf.LINE_RULES)
 
@@ -750,6 +762,7 @@ QUERIES: dict[str, Query] = {
     "q11_latest_by_key": q11_latest_by_key,
     "q11b_max_by": q11b_max_by,
     "q12_ops_silver": q12_ops_silver,
+    "q12b_check_then_dedup": q12b_check_then_dedup,
     "q13_ops_quarantine": q13_ops_quarantine,
     "q14_ref_quarantine": q14_ref_quarantine,
     "q15_ref_silver": q15_ref_silver,
@@ -782,6 +795,7 @@ ORACLE_SQL: dict[str, str] = {
     "q11_latest_by_key": Q11_SQL,
     "q11b_max_by": Q11_SQL,
     "q12_ops_silver": Q12_SQL,
+    "q12b_check_then_dedup": Q12B_SQL,
     "q13_ops_quarantine": Q13_SQL,
     "q14_ref_quarantine": Q14_SQL,
     "q15_ref_silver": Q15_SQL,
