@@ -29,7 +29,7 @@ from strata.session import scratch_path
 from strata.sources.bronze import envelope_schema, read_bronze, read_landing
 from strata.sources.landing import (document_name, envelope_json, ingestion_metadata, pages_by_key_range,
                                     with_position_pages,
-                                    partition_folder, to_pages, write_landing)
+                                    partition_folder, to_pages, write_landing, write_landings)
 from strata.sources.tables import table, write_table
 from strata.spec import Dim, FeedSpec, Field, Rule
 from strata.streaming.ingest import bronze_path, ingest_feeds, landing_path
@@ -160,9 +160,9 @@ def _table_feed_documents(spark, d, table_name, spec, key, extra=()):
 
 def q03_ref_factory(spark, d):
     root = scratch_path(spark, "q03")
-    for table_name, spec, key in tf.REF_TABLE_FEEDS:
-        docs = _table_feed_documents(spark, d, table_name, spec, key)
-        write_landing(docs, landing_path(f"{root}/landing", spec))
+    write_landings([(_table_feed_documents(spark, d, table_name, spec, key),
+                     landing_path(f"{root}/landing", spec))
+                    for table_name, spec, key in tf.REF_TABLE_FEEDS])
     specs = [spec for _, spec, _ in tf.REF_TABLE_FEEDS]
     paths = ingest_feeds(spark, specs, f"{root}/landing", root)
     out = None

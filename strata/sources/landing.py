@@ -14,6 +14,7 @@ parent).  No group is ever the whole feed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -113,3 +114,15 @@ def write_landing(docs: DataFrame, path: str, text_col: str = "document",
     """
     (docs.select(F.col(text_col).alias("value"), F.col(folder_col))
          .write.mode(mode).partitionBy(folder_col).text(path))
+
+
+def write_landings(batches: Sequence[tuple[DataFrame, str]], **options) -> None:
+    """Write several feeds' documents at once: each write is its own Spark
+    job, submitted from its own driver thread, so the jobs share the cluster
+    instead of queueing (small reference feeds are dominated by per-job
+    overhead).  The first failure is raised."""
+    if not batches:
+        return
+    with ThreadPoolExecutor(max_workers=len(batches)) as pool:
+        for f in [pool.submit(write_landing, docs, path, **options) for docs, path in batches]:
+            f.result()
