@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,6 +31,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def _check_bounds(dims: Sequence[Dim]) -> dict[int, bool]:
+    """Whether each bounded dimension really is under its bound: one check
+    per source frame (role-playing dims share it), the small count jobs
+    submitted together from driver threads."""
+    frames = {id(d.df): d for d in dims if d.max_rows is not None}
+    if not frames:
+        return {}
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        futures = {k: pool.submit(lambda d: d.df.limit(d.max_rows + 1).count() <= d.max_rows, d)
+                   for k, d in frames.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def _referenced(on: str, alias: str) -> list[str]:
     return sorted(set(re.findall(rf"\b{re.escape(alias)}\.(\w+)", on)))
 
@@ -39,18 +53,14 @@ def star_left_join(fact: DataFrame, dims: Sequence[Dim], fact_alias: str = "f")
     columns (with ``defaults`` applied by ``coalesce``, which covers both
     unmatched rows and matched rows holding NULL: SURVEY G14)."""
     out = fact.alias(fact_alias)
-    within_bound: dict[int, bool] = {}  # one check per source frame (role-playing dims)
+    within_bound = _check_bounds(dims)
     for d in dims:
         needed = list(dict.fromkeys(
             _referenced(d.on, d.alias) + list(d.keep) + list(d.cols.values())
             + [c for other in dims for c in _referenced(other.on, d.alias)]))
         side = d.df.select(*needed)
-        if d.max_rows is not None:
-            key = id(d.df)
-            if key not in within_bound:
-                within_bound[key] = d.df.limit(d.max_rows + 1).count() <= d.max_rows
-            if within_bound[key]:
-                side = F.broadcast(side)
+        if d.max_rows is not None and within_bound[id(d.df)]:
+            side = F.broadcast(side)
         out = out.join(side.alias(d.alias), F.expr(d.on), "left")
     extra = []
     for d in dims:
