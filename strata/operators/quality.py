@@ -117,7 +117,8 @@ def failed_rules(rules: Sequence[Rule]):
 
 def partition_split(staged: DataFrame, keys: Sequence[str], order: Sequence[str],
                     rules: Sequence[Rule], tie_break: Sequence[str] | None = None,
-                    label_col: str = "label", rules_col: str = "failed_rules") -> DataFrame:
+                    label_col: str = "label", rules_col: str = "failed_rules",
+                    pin_ids: bool = False) -> DataFrame:
     """Label each staged row: ``quarantine`` if it fails a silver drop rule,
     else ``silver`` if it is the newest version of its key, else
     ``superseded``.  Silver rows equal ``dedup_then_check``'s output; the three
@@ -127,11 +128,18 @@ def partition_split(staged: DataFrame, keys: Sequence[str], order: Sequence[str]
     to one task.  Instead each key's newest version is picked by ``latest``
     (limited before the shuffle) and joined back on a row id, which is unique
     and so spreads evenly.  The id is assigned directly over the input, and
-    Spark keeps filters from moving below it, so both uses see the same ids.
+    Spark keeps filters from moving below it, so both uses see the same ids
+    as long as the input is deterministic (a scan and narrow steps, as staged
+    rows are).  For an input that comes out of a shuffle, whose row order a
+    recomputed task may change, ``pin_ids`` writes the numbered rows once to
+    the shared checkpoint folder (``checkpoint``), so both uses and any retry
+    read the same ids.
     """
     drop = _silver_drop_rules(rules)
     cols = ordering_columns(staged, keys, order, tie_break)
     with_id = staged.withColumn("_rid", F.monotonically_increasing_id())
+    if pin_ids:
+        with_id = with_id.checkpoint(eager=True)
     winners = latest(with_id.select(*keys, *cols, "_rid"), keys, order,
                      cols[len(order):] + ["_rid"]).select("_rid", F.lit(True).alias("_newest"))
     ranked = with_id.join(winners, "_rid", "left")
