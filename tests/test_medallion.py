@@ -53,12 +53,17 @@ def test_refresh_end_to_end(spark, tmp):
     aq = _rows(spark, layers.quarantine["airports"], "airport_code", "airport_name")
     assert ("XX", "Too short") in aq and (None, "No code") in aq and ("BER", None) in aq
 
-    # Rule counts observed during the silver job, over all staged rows.
+    # Rule counts observed while writing the staged rows, over all of them.
     m = layers.metrics["flights"]
     assert m["valid_flight_number"] == ("drop", 7, 2)   # "4O2" and the empty page fail
     assert m["valid_arrival_airport"][2] == 2           # newest 500 and the empty page
     assert layers.metrics["airports"]["valid_coords"][0] == "warn"
 
+    # Staged rows are stored once; silver and quarantine come from them.
+    stg = spark.read.parquet(layers.staged["flights"])
+    assert stg.count() == 9 == sum(m["valid_flight_number"][1:])
+    assert q.exceptAll(stg.select(*q.columns)).count() == 0
+
     gold = spark.read.parquet(layers.gold["fact_flights_master"])
     assert gold.count() == silver.count()
     assert gold.columns == ["flight_id", "airline_name", "flight_number", "origin_hub",
