@@ -78,3 +78,24 @@ def test_bronze_stream_interrupted_between_batches_lands_every_document_once(spa
     assert 1 <= first <= 6
     assert docs.count() == 6
     assert docs.select("ingestion_metadata.batch_id").distinct().count() == 6
+
+
+def test_latest_stream_restarted_mid_run_equals_batch_latest(spark, tmp):
+    import time
+
+    src, out, ck = f"{tmp}/src", f"{tmp}/changes", f"{tmp}/ck"
+    drops = [[("a", T(2024, 1, 1, h), h), ("b", T(2024, 1, 1, h), 10 + h)] for h in range(1, 7)]
+    for rows in drops:
+        _drop(spark, src, rows)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    q = start_latest(spark, stream, ["k"], ["ingested_at", "v"], out, ck, mode="update")
+    deadline = time.time() + 60
+    while q.isActive and q.lastProgress is None and time.time() < deadline:
+        time.sleep(0.05)
+    q.stop()
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(src)
+    q = start_latest(spark, stream, ["k"], ["ingested_at", "v"], out, ck, mode="update")
+    q.awaitTermination()
+    assert q.exception() is None
+    got = {r.k: r.v for r in read_latest(spark, out, ["k"]).collect()}
+    assert got == {"a": 6, "b": 16}
