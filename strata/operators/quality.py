@@ -108,10 +108,13 @@ def silver(staged: DataFrame, spec: FeedSpec, mode: str = "dedup_then_check",
 
 
 def failed_rules(rules: Sequence[Rule]):
-    """array<string> of the names of the rules a row fails."""
-    return F.filter(
+    """array<string> of the names of the rules a row fails, in rule order.
+    NULLs (passed rules) are removed by ``array_except`` against ``[NULL]``,
+    which runs in generated code, unlike a per-element lambda; rule names are
+    distinct, so its de-duplication changes nothing."""
+    return F.array_except(
         F.array(*[F.when(F.expr(r.fails()), F.lit(r.name)) for r in rules]),
-        lambda x: x.isNotNull(),
+        F.array(F.lit(None).cast("string")),
     )
 
 
