@@ -49,7 +49,8 @@ def to_pages(df: DataFrame, page_cols: Sequence[Column | str], record: Column,
     item = F.when(record.isNotNull(), F.struct(sort_key.alias("k"), record.alias("r")))
     collect = F.collect_set if distinct else F.collect_list
     grouped = df.groupBy(*page_cols).agg(F.array_sort(collect(item)).alias("_items"), *extra)
-    return grouped.withColumn("records", F.transform("_items", lambda x: x["r"])).drop("_items")
+    # Field access on an array of structs yields the array of that field.
+    return grouped.withColumn("records", F.col("_items.r")).drop("_items")
 
 
 def records_json(records: Column | str, single_as_object: bool = True) -> Column:
