@@ -8,15 +8,18 @@ carries a date).  Two sinks:
 * ``complete``: every key is re-emitted each trigger and the snapshot is
   rewritten - simple, O(keys) per trigger.
 * ``update``: only keys that received rows in the trigger are emitted (with
-  their current newest row) and appended to a change log tagged with the trigger epoch; readers resolve
-  the log with ``read_latest`` (a partial/final ``max_by``), and the log can
-  be compacted by rewriting that result.  Work per trigger is O(changes).
+  their current newest row) and appended to a change log tagged with the
+  trigger epoch; readers resolve the log with ``read_latest`` (a
+  partial/final ``max_by``).  Work per trigger is O(changes).
+  ``compact_latest`` writes the resolved log as a versioned base; reads then
+  combine the newest base with later epochs only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -58,10 +61,59 @@ def start_latest(spark: SparkSession, stream: DataFrame, keys: Sequence[str],
             .start())
 
 
-def read_latest(spark: SparkSession, changes: str, keys: Sequence[str]) -> DataFrame:
-    """The newest row per key from an ``update``-mode change log: the row of
-    the highest epoch (each epoch holds at most one row per key)."""
-    log = spark.read.parquet(changes)
+def _resolve(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in log.columns if c not in keys and c != EPOCH]
     picked = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(EPOCH)).alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+
+
+UPTO = "_upto"
+
+
+def _newest_base(spark: SparkSession, base: str) -> tuple[DataFrame, int] | None:
+    """The newest compacted version under ``base`` and the epoch it covers."""
+    try:
+        versions = spark.read.parquet(base)
+    except AnalysisException:
+        return None
+    upto = versions.agg(F.max(UPTO)).first()[0]
+    if upto is None:
+        return None
+    rows = spark.read.parquet(f"{base.rstrip('/')}/{UPTO}={upto}")
+    return rows.withColumn(EPOCH, F.lit(upto).cast("bigint")), upto
+
+
+def _on_base(spark: SparkSession, log: DataFrame, base: str | None) -> DataFrame:
+    """Log epochs after the newest compacted version, plus that version."""
+    found = _newest_base(spark, base) if base else None
+    if found is None:
+        return log
+    rows, upto = found
+    return log.filter(F.col(EPOCH) > F.lit(upto)).unionByName(rows.select(*log.columns))
+
+
+def read_latest(spark: SparkSession, changes: str, keys: Sequence[str],
+                base: str | None = None) -> DataFrame:
+    """The newest row per key from an ``update``-mode change log: the row of
+    the highest epoch (each epoch holds at most one row per key).  With a
+    compacted ``base`` (``compact_latest``), only epochs after the one it
+    covers are read (a partition filter on the epoch), so the cost of a read
+    follows the key count plus recent changes, not the whole history."""
+    return _resolve(_on_base(spark, spark.read.parquet(changes), base), keys)
+
+
+def compact_latest(spark: SparkSession, changes: str, keys: Sequence[str],
+                   base: str) -> int | None:
+    """Write the resolved change log, up to its newest committed epoch, as a
+    new version ``<base>/_upto=<epoch>``; return that epoch (None for an
+    empty log).  Versions are never rewritten with other rows (a retry
+    writes the same rows again), so readers and a running stream are not
+    disturbed; older versions and epochs can be removed by retention."""
+    log = spark.read.parquet(changes)
+    upto = log.agg(F.max(EPOCH)).first()[0]
+    if upto is None:
+        return None
+    committed = log.filter(F.col(EPOCH) <= F.lit(upto))
+    _resolve(_on_base(spark, committed, base), keys) \
+        .write.mode("overwrite").parquet(f"{base.rstrip('/')}/{UPTO}={upto}")
+    return upto
