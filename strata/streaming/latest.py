@@ -67,19 +67,29 @@ def _resolve(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-UPTO = "_upto"
+UPTO = "upto"
+
+
+def _version_path(base: str, upto: int) -> str:
+    return f"{base.rstrip('/')}/epoch_{upto}"
+
+
+def _marker_path(base: str) -> str:
+    return f"{base.rstrip('/')}/_committed"
 
 
 def _newest_base(spark: SparkSession, base: str) -> tuple[DataFrame, int] | None:
-    """The newest compacted version under ``base`` and the epoch it covers."""
+    """The newest compacted version whose commit marker exists, and the epoch
+    it covers.  A compaction that died while writing has no marker and is
+    never read."""
     try:
-        versions = spark.read.parquet(base)
+        markers = spark.read.parquet(_marker_path(base))
     except AnalysisException:
         return None
-    upto = versions.agg(F.max(UPTO)).first()[0]
+    upto = markers.agg(F.max(UPTO)).first()[0]
     if upto is None:
         return None
-    rows = spark.read.parquet(f"{base.rstrip('/')}/{UPTO}={upto}")
+    rows = spark.read.parquet(_version_path(base, upto))
     return rows.withColumn(EPOCH, F.lit(upto).cast("bigint")), upto
 
 
@@ -105,15 +115,18 @@ def read_latest(spark: SparkSession, changes: str, keys: Sequence[str],
 def compact_latest(spark: SparkSession, changes: str, keys: Sequence[str],
                    base: str) -> int | None:
     """Write the resolved change log, up to its newest committed epoch, as a
-    new version ``<base>/_upto=<epoch>``; return that epoch (None for an
-    empty log).  Versions are never rewritten with other rows (a retry
-    writes the same rows again), so readers and a running stream are not
-    disturbed; older versions and epochs can be removed by retention."""
+    new version ``<base>/epoch_<n>``, then append its commit marker (one row
+    in ``<base>/_committed``); return the epoch (None for an empty log).
+    Readers only take marked versions, so a compaction lost half-way is
+    invisible and is simply run again; versions are never rewritten with
+    other rows, and older versions and epochs can be removed by retention."""
     log = spark.read.parquet(changes)
     upto = log.agg(F.max(EPOCH)).first()[0]
     if upto is None:
         return None
     committed = log.filter(F.col(EPOCH) <= F.lit(upto))
     _resolve(_on_base(spark, committed, base), keys) \
-        .write.mode("overwrite").parquet(f"{base.rstrip('/')}/{UPTO}={upto}")
+        .write.mode("overwrite").parquet(_version_path(base, upto))
+    spark.range(1).select(F.lit(upto).cast("bigint").alias(UPTO)) \
+        .coalesce(1).write.mode("append").parquet(_marker_path(base))
     return upto

@@ -121,3 +121,7 @@ def test_compacted_base_plus_newer_epochs_equals_full_log(spark, tmp, capsys):
     # A second compaction builds on the first; reading it alone gives the same rows.
     assert compact_latest(spark, out, ["k"], base) == 2
     assert {r.k: r.v for r in read_latest(spark, out, ["k"], base=base).collect()} == full
+    # A version without its commit marker (a compaction lost half-way) is ignored.
+    spark.createDataFrame([("a", None, -1)], "k string, ingested_at timestamp, v long") \
+        .write.parquet(f"{base}/epoch_9")
+    assert {r.k: r.v for r in read_latest(spark, out, ["k"], base=base).collect()} == full
