@@ -124,6 +124,9 @@ def compact_latest(spark: SparkSession, changes: str, keys: Sequence[str],
     upto = log.agg(F.max(EPOCH)).first()[0]
     if upto is None:
         return None
+    # The marker table exists from the first compaction on (an empty append),
+    # so looking for the newest base never probes a missing folder.
+    spark.createDataFrame([], f"{UPTO} bigint").write.mode("append").parquet(_marker_path(base))
     committed = log.filter(F.col(EPOCH) <= F.lit(upto))
     _resolve(_on_base(spark, committed, base), keys) \
         .write.mode("overwrite").parquet(_version_path(base, upto))
