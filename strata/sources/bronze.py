@@ -121,7 +121,9 @@ def read_bronze(spark: SparkSession, path: str) -> DataFrame:
 
 
 def corrupt_documents(bronze: DataFrame) -> DataFrame:
-    """Documents that did not parse: the quarantine of the bronze layer."""
+    """Documents that did not parse: the quarantine of the bronze layer.
+    Apply it to stored bronze (``read_bronze``): Spark refuses to query a raw
+    JSON scan on the corrupt-record column alone."""
     return bronze.filter(F.col(CORRUPT).isNotNull()).select("source_file", CORRUPT)
 
 
