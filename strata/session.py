@@ -7,7 +7,6 @@ what makes the instant right).  ``ensure_utc`` enforces that once per job.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -77,8 +76,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for one run."""
-    path = f"{checkpoint_root(spark)}/strata/{label}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A fresh sub-folder of the shared checkpoint folder for one run; Spark
+    makes it on the first write."""
+    return f"{checkpoint_root(spark)}/strata/{label}-{uuid.uuid4().hex[:12]}"
