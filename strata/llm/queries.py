@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, pieces, token_count, url_filter
+from strata.llm import minhash, mixing, pieces, token_count, url_filter
 from strata.sources.tables import table
 
 # The rules the URL query is asked to apply.
@@ -31,6 +31,11 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all pages.  A page shows the document whose number its url
     carries; that document's labels are the page's outcome: good when of
@@ -45,6 +50,6 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "good_rate", "good_upper")
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op5_token_count, op6_sentencepiece, op9_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_mixing, op5_token_count, op6_sentencepiece, op7_minhash, op9_url_filter)}
 
 ORACLE_SQL: dict[str, str] = {}
