@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import minhash, mixing, pieces, token_count, url_filter
+from strata.llm import langid, minhash, mixing, neighbours, pieces, token_count, url_filter, vector_dedup
 from strata.sources.tables import table
 
 # The rules the URL query is asked to apply.
@@ -50,6 +50,26 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "good_rate", "good_upper")
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op5_token_count, op6_sentencepiece, op7_minhash, op9_url_filter)}
+def op10_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all embeddings."""
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every row whose vec_id is divisible by 20."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents; a quarter of them is held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, langid.learnable(F.col("doc_id")))
+    return langid.identify(docs, model).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("_language.lang_pred").alias("lang_pred"), F.col("_language.score").alias("score"))
+
+
+QUERIES = {f.__name__: f for f in (op2_mixing, op3_neighbours, op5_token_count, op6_sentencepiece, op7_minhash, op8_language, op9_url_filter,
+                                 op10_vector_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
