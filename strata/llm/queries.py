@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import langid, minhash, mixing, neighbours, pieces, token_count, url_filter, vector_dedup
+from strata.llm import (langid, minhash, mixing, neighbours, pieces, suffix_dedup, token_count, url_filter,
+                        vector_dedup)
 from strata.sources.tables import table
 
 # The rules the URL query is asked to apply.
@@ -14,6 +15,11 @@ URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example
              ("allow", "com/fr/"), ("block", "com/de/"))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of all documents without repeated 100-byte strings."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "_cut.*")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document so that sources reach their targets."""
     return mixing.mix(table(spark, sf_dir, "documents")).select(
@@ -69,7 +75,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_language.lang_pred").alias("lang_pred"), F.col("_language.score").alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mixing, op3_neighbours, op5_token_count, op6_sentencepiece, op7_minhash, op8_language, op9_url_filter,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_mixing, op3_neighbours, op5_token_count, op6_sentencepiece, op7_minhash, op8_language, op9_url_filter,
                                  op10_vector_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
