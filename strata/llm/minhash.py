@@ -183,8 +183,9 @@ def _across(bucketed: DataFrame, sets: DataFrame, num: int, den: int, block: int
 
 def near_duplicates(docs: DataFrame, num: int = 75, den: int = 100, gram: int = 5, bands: int = 32,
                     rows: int = 4, block: int = 256) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, text_key) for every row of ``docs``
-    (doc_id, text); links are sets with ``den * intersection >= num * union``."""
+    """(doc_id, n_shingles, component_id, kept, text_key, root) for every row of
+    ``docs`` (doc_id, text); links are sets with ``den * intersection >= num *
+    union``.  ``text_key`` hashes the text, ``root`` tells components apart."""
     spark = docs.sparkSession
     sig = stored(_signed(docs, gram, bands, rows), "minhash-signatures")
     cls = (sig.where("n > 0").groupBy("n", "f1", "f2")
@@ -218,9 +219,9 @@ def near_duplicates(docs: DataFrame, num: int = 75, den: int = 100, gram: int =
         roots = components(first.unionByName(more), "minhash-b")
     named = cls.join(roots, "node", "left").select("n", "f1", "f2", "min_id", F.coalesce("root", "node").alias("root"))
     linked = cls.join(roots, "node").groupBy("root").agg(F.min("min_id").alias("least"))
-    named = named.join(linked, "root", "left").select(
-        "n", "f1", "f2", F.coalesce("least", "min_id").alias("component_id"))
+    named = stored(named.join(linked, "root", "left").select(
+        "n", "f1", "f2", "root", F.coalesce("least", "min_id").alias("component_id")), "minhash-named")
     out = sig.drop("bands").join(named, ["n", "f1", "f2"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key")
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key", "root")

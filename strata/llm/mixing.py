@@ -108,10 +108,11 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, dp_budget:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, limit: float = 2.0,
-        seed: int = 17, buckets: int = 64) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken) per document."""
+        seed: int = 17, buckets: int = 64, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken) per document,
+    and the ``carry`` columns of ``docs``."""
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    sized = stored(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    sized = stored(docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size"))
                    .withColumn("order", order).withColumn("bucket", F.pmod("order", F.lit(buckets)).cast("int")),
                    "mix-sizes")
     hist = stored(sized.groupBy("source", "size", "bucket").agg(F.count("*").alias("n")), "mix-counts")
@@ -145,5 +146,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
            .join(q, F.col("source").eqNullSafe(F.col("qs")) & (F.col("size") == F.col("qz"))
                  & (F.col("bucket") == F.col("qb"))))
     copies = F.col("passes") + F.when(F.col("rank") <= F.col("room"), 1).otherwise(0)
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies"),
-                      (copies * F.col("size")).cast("long").alias("taken"))
+    return out.select("doc_id", "source", *carry, "size", "source_size", "target",
+                      copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))

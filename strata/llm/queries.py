@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (langid, minhash, mixing, neighbours, pieces, suffix_dedup, token_count, url_filter,
-                        vector_dedup)
+from strata.llm import (langid, minhash, mixing, neighbours, pieces, sharding, suffix_dedup, token_count,
+                        url_filter, vector_dedup)
 from strata.sources.tables import table
 
 # The rules the URL query is asked to apply.
@@ -26,6 +26,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards, equal texts together as far as counts stay even."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op5_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return token_count.count_tokens(table(spark, sf_dir, "documents"),
@@ -39,7 +44,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
-    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "root")
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +80,7 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_language.lang_pred").alias("lang_pred"), F.col("_language.score").alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_mixing, op3_neighbours, op5_token_count, op6_sentencepiece, op7_minhash, op8_language, op9_url_filter,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_mixing, op3_neighbours, op4_sharding, op5_token_count, op6_sentencepiece, op7_minhash, op8_language, op9_url_filter,
                                  op10_vector_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}

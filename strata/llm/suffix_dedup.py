@@ -262,26 +262,30 @@ def repeated_spans(placed: DataFrame, text_col: str = "text", length: int = 100)
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100,
                    with_kept: bool = False) -> DataFrame:
     """``docs`` with a struct column ``_cut``: n_bytes, n_removed, n_spans,
-    kept_sha256 and, ``with_kept``, ``kept`` (the remaining bytes)."""
+    kept_sha256 and, ``with_kept``, ``kept`` (the remaining bytes) and
+    ``kept_text`` (the remaining whole characters)."""
     placed = _with_place(docs, id_col, text_col)
     spans = repeated_spans(placed, text_col, length)
-    schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
+    schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, kept_text string" * with_kept
 
     @F.pandas_udf(schema)
     def cut(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.DataFrame:
         out = []
         for text, b, e in zip(texts, begins, ends):
             data = text.encode() if text else b""
-            kept, spans_n = data, 0
+            pieces, spans_n = [data], 0
             if b is not None and len(b):
                 b, e = np.asarray(b, dtype=np.int64), np.asarray(e, dtype=np.int64)
                 zero = np.zeros(len(b), dtype=np.int64)
                 _, _, b, e = joined_spans(zero, zero, b, e)
                 edges = [0, *np.stack([b, e], axis=1).ravel().tolist(), len(data)]
-                kept = b"".join(data[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2))
+                pieces = [data[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2)]
                 spans_n = len(b)
+            kept = b"".join(pieces)
             row = (len(data), len(data) - len(kept), spans_n, hashlib.sha256(kept).hexdigest())
-            out.append(row + ((kept,) if with_kept else ()))
+            if with_kept:
+                row += (kept, None if text is None else "".join(p.decode("utf-8", "ignore") for p in pieces))
+            out.append(row)
         return pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
 
     return (placed.join(spans, ["_doc", "_copy"], "left")
