@@ -17,9 +17,12 @@ def record_array(raw: Column | str, node_schema: StructType) -> Column:
     return F.from_json(c, ArrayType(node_schema))
 
 
-def record_count(raw: Column | str, node_schema: StructType) -> Column:
-    """Records in one document: 0 for an empty or missing list."""
-    return F.coalesce(F.size(record_array(raw, node_schema)), F.lit(0)).cast("bigint")
+def record_count(raw: Column | str) -> Column:
+    """Records in one document's raw list, without parsing their fields: the
+    length of an array, 1 for a lone object, 0 for an empty or missing list."""
+    c = F.col(raw) if isinstance(raw, str) else raw
+    lone = F.when(c.startswith("{"), F.lit(1))
+    return F.coalesce(F.json_array_length(c), lone, F.lit(0)).cast("bigint")
 
 
 def en_name(node: str, path: str = "Names") -> Column:

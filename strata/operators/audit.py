@@ -1,6 +1,9 @@
 """Audits over landed pages: sweep completeness and offset gaps.
 
 Both work on page metadata (one row per landed document), never on records.
+A sweep is one paging run over an endpoint: its key names the endpoint besides
+category, entity and period, as several hubs are swept a day.  A page that was
+delivered again replaces the earlier one (``newest_pages``).
 """
 
 from __future__ import annotations
@@ -24,20 +27,34 @@ def landed_pages(bronze: DataFrame, spec: FeedSpec, keep: tuple[str, ...] = ())
         F.col("ingestion_metadata.entity").alias("entity"),
         F.col("ingestion_metadata.batch_id").alias("batch_id"),
         F.col("ingestion_metadata.ingested_at").alias("ingested_at"),
-        F.col("ingestion_metadata.offset").alias("page_offset"),
-        F.col("ingestion_metadata.limit").alias("page_limit"),
-        F.coalesce(F.col("ingestion_metadata.poison_pill_recovered"), F.lit(False)).alias("recovered"),
-        record_count(F.col(spec.array_path), spec.node_schema).alias("n_records"),
-        F.col(f"payload.{resource}.Meta.TotalCount").alias("total_count"),
+        F.col("ingestion_metadata.endpoint").alias("endpoint"),
+        F.col("ingestion_metadata.offset").try_cast("bigint").alias("page_offset"),
+        F.col("ingestion_metadata.limit").try_cast("int").alias("page_limit"),
+        F.coalesce(F.col("ingestion_metadata.poison_pill_recovered").try_cast("boolean"),
+                   F.lit(False)).alias("recovered"),
+        record_count(F.col(spec.array_path)).alias("n_records"),
+        F.col(f"payload.{resource}.Meta.TotalCount").try_cast("bigint").alias("total_count"),
         *[F.col(k) for k in keep],
     )
 
 
+def newest_pages(pages: DataFrame, sweep: Sequence[str], offset: str = "page_offset",
+                 newest: Sequence[str] = ("ingested_at", "batch_id")) -> DataFrame:
+    """One page per (sweep, offset): the one delivered last.  Documents
+    without an offset are single pages that start at 0."""
+    rest = [c for c in pages.columns if c not in sweep and c != offset]
+    at = F.coalesce(F.col(offset), F.lit(0).cast("bigint")).alias(offset)
+    picked = pages.groupBy(*sweep, at).agg(
+        F.max_by(F.struct(*rest), F.struct(*newest)).alias("_page"))
+    return picked.select(*sweep, offset, *[F.col(f"_page.{c}").alias(c) for c in rest])
+
+
 def completeness(pages: DataFrame, sweep: Sequence[str], records: str = "n_records",
                  total: str = "total_count", limit: str = "page_limit",
                  recovered: str | None = None) -> DataFrame:
     """Per sweep: pages, records landed, the feed's announced total, how many
-    records are missing, and whether the sweep is complete (SURVEY R1)."""
+    records are missing (never below 0), and whether the sweep is complete
+    (SURVEY R1).  ``pages`` holds one row per offset; see ``newest_pages``."""
     aggs = [
         F.count(F.lit(1)).alias("n_pages"),
         F.sum(records).cast("bigint").alias("n_records"),
@@ -51,7 +68,7 @@ def completeness(pages: DataFrame, sweep: Sequence[str], records: str = "n_recor
         *sweep,
         "n_pages", "n_records", "total_count",
         F.ceil(F.col("total_count") / F.col("page_limit")).cast("bigint").alias("expected_pages"),
-        (F.col("total_count") - F.col("n_records")).alias("missing_records"),
+        F.greatest(F.col("total_count") - F.col("n_records"), F.lit(0).cast("bigint")).alias("missing_records"),
         (F.col("n_records") >= F.col("total_count")).alias("complete"),
         *(["n_recovered"] if recovered is not None else []),
     )
@@ -59,9 +76,10 @@ def completeness(pages: DataFrame, sweep: Sequence[str], records: str = "n_recor
 
 def offset_gaps(pages: DataFrame, sweep: Sequence[str], offset: str = "page_offset",
                 limit: str = "page_limit", total: str | None = "total_count",
-                bucket_span: int = 1 << 20) -> DataFrame:
+                bucket_span: int = 1 << 20, records: str = "n_records") -> DataFrame:
     """Record ranges ``[gap_start, gap_end)`` of a sweep covered by no landed
-    page (SURVEY R2).  A page covers ``[offset, offset + limit)``.  Pages may
+    page (SURVEY R2).  A page covers ``[offset, offset + limit)``; without a
+    known limit it covers the records it holds (``records``).  Pages may
     overlap: after a bad record the feed lands bisected sub-batches and then
     resumes one past the bad offset with a full page, so coverage is tracked
     as the running maximum of page ends (the reach), not the previous page's
@@ -77,8 +95,9 @@ def offset_gaps(pages: DataFrame, sweep: Sequence[str], offset: str = "page_offs
     announced total.  No task orders more than one bucket's pages.
     """
     keys = list(sweep)
+    held = [F.col(records)] if records in pages.columns else []
     base = pages.groupBy(*keys, offset).agg(
-        F.max(F.col(offset) + F.col(limit)).alias("_end"),
+        F.max(F.col(offset) + F.coalesce(F.col(limit), *held, F.lit(0))).alias("_end"),
         *([F.max(total).alias("_total")] if total else []),
     ).withColumn("_b", F.floor(F.col(offset) / F.lit(bucket_span)))
 

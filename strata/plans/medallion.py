@@ -14,11 +14,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strata.operators.audit import completeness, landed_pages, offset_gaps
+from strata.operators.audit import completeness, landed_pages, newest_pages, offset_gaps
 from strata.operators.flatten import flatten
 from strata.operators.quality import observe_rules, quarantine, silver
 from strata.plans.feeds import ALL_FEEDS, gold_flights
-from strata.sources.bronze import read_bronze
+from strata.sources.bronze import corrupt_documents, read_bronze
 from strata.sources.tables import write_table
 from strata.spec import FeedSpec
 from strata.streaming.ingest import ingest_feeds
@@ -30,17 +30,18 @@ class Layers:
     staged: dict = field(default_factory=dict)
     silver: dict = field(default_factory=dict)
     quarantine: dict = field(default_factory=dict)
+    corrupt: dict = field(default_factory=dict)
     gold: dict = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
     audits: dict = field(default_factory=dict)
 
 
 def staged(spark: SparkSession, spec: FeedSpec, bronze_dir: str) -> DataFrame:
-    return flatten(read_bronze(spark, bronze_dir), spec)
+    return flatten(read_bronze(spark, bronze_dir, spec), spec)
 
 
 def rule_counts(observed: dict, spec: FeedSpec) -> dict:
-    """{rule: (action, n_pass, n_fail)} from an observation of the staged rows."""
+    """{rule: (action, n_pass, n_fail)} from an observation of the checked rows."""
     rows = observed.get("rows", 0)
     return {r.name: (r.action, observed[f"{r.name}_pass"], rows - observed[f"{r.name}_pass"])
             for r in spec.rules if r.sql}
@@ -48,9 +49,11 @@ def rule_counts(observed: dict, spec: FeedSpec) -> dict:
 
 def refresh(spark: SparkSession, landing_root: str, out_root: str,
             feeds: Sequence[FeedSpec] = ALL_FEEDS, mode: str = "dedup_then_check",
-            with_gold: bool = True, archive_root: str | None = None) -> Layers:
+            with_gold: bool = True, archive_root: str | None = None,
+            max_files_per_trigger: int | None = None) -> Layers:
     out_root = out_root.rstrip("/")
     layers = Layers(bronze=ingest_feeds(spark, feeds, landing_root, out_root,
+                                        max_files_per_trigger=max_files_per_trigger,
                                         archive_root=archive_root))
     for spec in feeds:
         if not spec.enabled or spec.name not in layers.bronze:
@@ -61,26 +64,34 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
         # Staged rows are written once: the record JSON of bronze is parsed
         # by one job instead of by both silver and quarantine, and both read
         # columnar rows from a stored table (lineage cut).  Rule pass counts
-        # ride along that write (no extra scan).
-        observed, obs = observe_rules(staged(spark, spec, layers.bronze[spec.name]),
-                                      [r for r in spec.rules if r.sql], f"dq_{spec.name}")
-        write_table(observed, st_path)
+        # ride along the silver write, at the point where the rules apply.
+        write_table(staged(spark, spec, layers.bronze[spec.name]), st_path)
         stg = spark.read.parquet(st_path)
-        write_table(silver(stg, spec, mode=mode), s_path)
+        counted: list = []
+
+        def observe(checked: DataFrame) -> DataFrame:
+            out, obs = observe_rules(checked, [r for r in spec.rules if r.sql], f"dq_{spec.name}")
+            counted.append(obs)
+            return out
+
+        write_table(silver(stg, spec, mode=mode, on_checked=observe), s_path)
         write_table(quarantine(stg, spec.rules), q_path)
         layers.staged[spec.name] = st_path
         layers.silver[spec.name] = s_path
         layers.quarantine[spec.name] = q_path
-        layers.metrics[spec.name] = rule_counts(obs.get, spec)
-        # Landing audits: sweeps are one landing batch of one entity.
-        pages = landed_pages(read_bronze(spark, layers.bronze[spec.name]), spec)
-        sweep = ["category", "entity", "ingest_day"]
-        pages = pages.withColumn("ingest_day", F.substring("ingested_at", 1, 10))
+        layers.metrics[spec.name] = rule_counts(counted[0].get, spec)
+        bronze = read_bronze(spark, layers.bronze[spec.name], spec)
+        c_path = f"{out_root}/quarantine/{spec.category}_{spec.name}_documents"
+        write_table(corrupt_documents(bronze), c_path)
+        layers.corrupt[spec.name] = c_path
+        # Landing audits: a sweep is one endpoint's pages of a day, of a month
+        # for reference feeds (theirs may run past midnight).
+        sweep = ["category", "entity", "endpoint", "period"]
+        period = F.substring("ingested_at", 1, 7 if spec.category == "ref" else 10)
+        pages = newest_pages(landed_pages(bronze, spec).withColumn("period", period), sweep)
         a_path = f"{out_root}/audit/{spec.category}_{spec.name}"
-        write_table(completeness(pages.filter(F.col("page_offset").isNotNull()), sweep,
-                                 recovered="recovered"), f"{a_path}_completeness")
-        write_table(offset_gaps(pages.filter(F.col("page_offset").isNotNull()), sweep),
-                    f"{a_path}_gaps")
+        write_table(completeness(pages, sweep, recovered="recovered"), f"{a_path}_completeness")
+        write_table(offset_gaps(pages, sweep), f"{a_path}_gaps")
         layers.audits[spec.name] = a_path
     needed = {"flights", "airports", "airlines", "aircraft", "countries"}
     if with_gold and needed <= set(layers.silver):

@@ -5,14 +5,15 @@ whether it arrived as an array or as a lone object; staging parses it
 (``strata.functions.records``).  This also keeps fields the schema does not
 name, so new feed fields are never lost (SURVEY 1.4).  Unparsable documents
 are kept with ``_corrupt_record`` set, instead of failing the batch (R3).
+Side fields (offset, limit, total, recovery flag) are declared as text and cast
+where they are used, so a mistyped one never costs a page its records.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from strata.functions.typed import parse_ingest_ts
 from strata.spec import FeedSpec
@@ -25,10 +26,10 @@ METADATA_SCHEMA = StructType([
     StructField("category", StringType()),
     StructField("entity", StringType()),
     StructField("script_name", StringType()),
-    StructField("offset", LongType()),
-    StructField("limit", IntegerType()),
+    StructField("offset", StringType()),
+    StructField("limit", StringType()),
     StructField("endpoint", StringType()),
-    StructField("poison_pill_recovered", BooleanType()),
+    StructField("poison_pill_recovered", StringType()),
 ])
 
 
@@ -39,7 +40,7 @@ def envelope_schema(spec: FeedSpec, with_corrupt: bool = True) -> StructType:
     _, resource, plural, singular = parts
     payload = StructType([StructField(resource, StructType([
         StructField(plural, StructType([StructField(singular, StringType())])),
-        StructField("Meta", StructType([StructField("TotalCount", LongType())])),
+        StructField("Meta", StructType([StructField("TotalCount", StringType())])),
     ]))])
     fields = [StructField("ingestion_metadata", METADATA_SCHEMA), StructField("payload", payload)]
     if with_corrupt:
@@ -63,11 +64,6 @@ def _reader(reader, spec: FeedSpec):
             .option("columnNameOfCorruptRecord", CORRUPT))
 
 
-def read_landing(spark: SparkSession, spec: FeedSpec, path: str) -> DataFrame:
-    """Batch read of every landed document of a feed."""
-    return _with_lineage(_reader(spark.read, spec).json(path))
-
-
 def stream_landing(spark: SparkSession, spec: FeedSpec, path: str,
                    max_files_per_trigger: int | None = None,
                    archive_dir: str | None = None) -> DataFrame:
@@ -115,9 +111,15 @@ def infer_schema(spark: SparkSession, path: str, multiline: bool = True,
             .option("samplingRatio", sampling_ratio).json(path).schema)
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Bronze parquet, merging the schemas of older and newer files (S6)."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_bronze(spark: SparkSession, path: str, spec: FeedSpec | None = None) -> DataFrame:
+    """Bronze parquet.  With the feed's ``spec`` its declared schema is used
+    and no file footer is opened for it; without, the schemas of older and
+    newer files are merged (S6)."""
+    if spec is None:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    declared = StructType(envelope_schema(spec).fields + [
+        StructField("source_file", StringType()), StructField("ingest_date", DateType())])
+    return spark.read.schema(declared).parquet(path)
 
 
 def corrupt_documents(bronze: DataFrame) -> DataFrame:
@@ -126,10 +128,3 @@ def corrupt_documents(bronze: DataFrame) -> DataFrame:
     JSON scan on the corrupt-record column alone."""
     return bronze.filter(F.col(CORRUPT).isNotNull()).select("source_file", CORRUPT)
 
-
-def union_evolving(*frames: DataFrame) -> DataFrame:
-    """Union frames whose schemas grew over time; missing columns are NULL."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out

@@ -38,6 +38,49 @@ def test_completeness_and_gaps_from_bronze(spark, tmp):
     assert gaps == [(12, 15), (20, 22)]
 
 
+def _hub_page(root, hub, hour, offset, n, total, limit=50, **extra):
+    records = [flight(number=str(1000 + (offset or 0) + i)) for i in range(n)]
+    write(root, "ops", "flights", "2024-03-01", f"{hub}_{hour}_{offset}.json", envelope(
+        "ops", "flights", f"2024-03-01 {hour:02d}:00:00", f"{hub}{hour}{offset}", "FlightStatusResource", "Flights",
+        "Flight", records, total=total, offset=offset, limit=limit, extra_meta={"endpoint": f"departures/{hub}", "limit": limit} | extra))
+
+
+def test_sweeps_of_two_hubs_and_two_runs_are_audited_apart(spark, tmp):
+    landing, out = f"{tmp}/landing", f"{tmp}/out"
+    # Hub A loses [50, 100) of 150; its first page comes again in a second run.
+    for hour, offset in ((7, 0), (7, 100), (12, 0)):
+        _hub_page(landing, "AAA", hour, offset, 50, 150)
+    # Hub B is complete, one page of it without a usable limit.
+    _hub_page(landing, "BBB", 7, 0, 50, 100, limit="n/a")
+    _hub_page(landing, "BBB", 7, 50, 50, 100)
+    # A lookup without offsets, cut at its limit.
+    _hub_page(landing, "lookup", 7, None, 40, 60, limit=40)
+    layers = refresh(spark, landing, out, (FLIGHTS,), with_gold=False)
+    a = layers.audits["flights"]
+    got = {r.endpoint: (r.n_pages, r.n_records, r.total_count, r.missing_records, r.complete)
+           for r in spark.read.parquet(f"{a}_completeness").collect()}
+    assert got == {"departures/AAA": (2, 100, 150, 50, False), "departures/BBB": (2, 100, 100, 0, True),
+                   "departures/lookup": (1, 40, 60, 20, False)}
+    gaps = sorted((r.endpoint, r.gap_start, r.gap_end) for r in spark.read.parquet(f"{a}_gaps").collect())
+    assert gaps == [("departures/AAA", 50, 100), ("departures/lookup", 40, 60)]
+
+
+def test_mistyped_side_fields_keep_their_records(spark, tmp):
+    landing, out = f"{tmp}/landing", f"{tmp}/out"
+    for i, (total, offset, limit, extra) in enumerate([
+            ("n/a", 0, 50, {}), ("3", 50, 50, {}), (4, "100", 50, {}), (4, 150, 50.5, {}),
+            (4, 200, 50, {"poison_pill_recovered": "true"})]):
+        records = [flight(number=str(100 + i))]
+        write(landing, "ops", "flights", "2024-03-01", f"odd_{i}.json", envelope(
+            "ops", "flights", "2024-03-01 07:00:00", f"b{i}", "FlightStatusResource", "Flights", "Flight",
+            records, total=total, offset=offset, limit=limit, extra_meta=extra))
+    write(landing, "ops", "flights", "2024-03-01", "cut.json", None, raw='{"ingestion_metadata": {"ingested_at": "2024-03')
+    layers = refresh(spark, landing, out, (FLIGHTS,), with_gold=False)
+    assert spark.read.parquet(layers.staged["flights"]).count() == 5
+    bad = spark.read.parquet(layers.corrupt["flights"]).collect()
+    assert len(bad) == 1 and bad[0].source_file.endswith("cut.json")
+
+
 def test_new_record_field_is_readable_from_existing_bronze(spark, tmp):
     landing, out = f"{tmp}/landing", f"{tmp}/out"
     build_landing(landing)
