@@ -15,11 +15,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from strata.operators.dedupe import latest, ordering_columns
+from strata.session import scratch_path
+from strata.sources.tables import write_table
 from strata.spec import QUARANTINE, SILVER, FeedSpec, Rule
 
 
@@ -87,7 +89,11 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def silver_by(staged: DataFrame, keys: Sequence[str], order: Sequence[str], rules: Sequence[Rule],
               tie_break: Sequence[str] | None = None, mode: str = "dedup_then_check",
-              method: str = "window", null_key_prefilter: bool = False) -> DataFrame:
+              method: str = "window", null_key_prefilter: bool = False,
+              on_checked: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``on_checked`` is applied to the rows the rules are about to check: the
+    newest versions, or all staged rows in ``check_then_dedup`` (rows that the
+    NULL-key prefilter removes are in neither)."""
     df = staged
     if null_key_prefilter:
         # All NULL keys form one group whose survivor a drop rule removes
@@ -95,16 +101,16 @@ def silver_by(staged: DataFrame, keys: Sequence[str], order: Sequence[str], rule
         for k in keys:
             df = df.filter(F.col(k).isNotNull())
     if mode == "dedup_then_check":
-        return expect_or_drop(latest(df, keys, order, tie_break, method), rules)
+        return expect_or_drop(on_checked(latest(df, keys, order, tie_break, method)), rules)
     if mode == "check_then_dedup":
-        return latest(expect_or_drop(df, rules), keys, order, tie_break, method)
+        return latest(expect_or_drop(on_checked(df), rules), keys, order, tie_break, method)
     raise ValueError(f"unknown mode {mode!r}")
 
 
 def silver(staged: DataFrame, spec: FeedSpec, mode: str = "dedup_then_check",
-           method: str = "window") -> DataFrame:
+           method: str = "window", on_checked: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     return silver_by(staged, spec.key, spec.order, spec.rules, spec.tie_break, mode, method,
-                     spec.null_key_prefilter)
+                     spec.null_key_prefilter, on_checked)
 
 
 def failed_rules(rules: Sequence[Rule]):
@@ -120,31 +126,25 @@ def failed_rules(rules: Sequence[Rule]):
 
 def partition_split(staged: DataFrame, keys: Sequence[str], order: Sequence[str],
                     rules: Sequence[Rule], tie_break: Sequence[str] | None = None,
-                    label_col: str = "label", rules_col: str = "failed_rules",
-                    pin_ids: bool = False) -> DataFrame:
+                    label_col: str = "label", rules_col: str = "failed_rules") -> DataFrame:
     """Label each staged row: ``quarantine`` if it fails a silver drop rule,
     else ``silver`` if it is the newest version of its key, else
     ``superseded``.  Silver rows equal ``dedup_then_check``'s output; the three
     labels partition the input.
 
     Ranking every version with a window would send all versions of a hot key
-    to one task.  Instead each key's newest version is picked by ``latest``
-    (limited before the shuffle) and joined back on a row id, which is unique
-    and so spreads evenly.  The id is assigned directly over the input, and
-    Spark keeps filters from moving below it, so both uses see the same ids
-    as long as the input is deterministic (a scan and narrow steps, as staged
-    rows are).  For an input that comes out of a shuffle, whose row order a
-    recomputed task may change, ``pin_ids`` writes the numbered rows once to
-    the shared checkpoint folder (``checkpoint``), so both uses and any retry
-    read the same ids.
+    to one task.  Instead each key's newest version is picked by a partial and
+    final ``max_by`` and joined back on a row id, which is unique and so
+    spreads evenly.  The numbered rows are stored once in the shared scratch
+    folder, so both uses, and any retry, read the same ids whatever the input.
     """
     drop = _silver_drop_rules(rules)
     cols = ordering_columns(staged, keys, order, tie_break)
-    with_id = staged.withColumn("_rid", F.monotonically_increasing_id())
-    if pin_ids:
-        with_id = with_id.checkpoint(eager=True)
-    winners = latest(with_id.select(*keys, *cols, "_rid"), keys, order,
-                     cols[len(order):] + ["_rid"]).select("_rid", F.lit(True).alias("_newest"))
+    path = scratch_path(staged.sparkSession, "split")
+    write_table(staged.withColumn("_rid", F.monotonically_increasing_id()), path)
+    with_id = staged.sparkSession.read.parquet(path)
+    winners = with_id.groupBy(*keys).agg(
+        F.max_by("_rid", F.struct(*cols, "_rid")).alias("_rid")).select("_rid", F.lit(True).alias("_newest"))
     ranked = with_id.join(winners, "_rid", "left")
     label = (F.when(any_fail(drop), F.lit("quarantine"))
              .when(F.col("_newest"), F.lit("silver"))

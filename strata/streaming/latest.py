@@ -1,16 +1,14 @@
 """Latest-wins on a stream (ST4).
 
-Re-deliveries are resolved by recency, not event time, so the stream keeps a
-``max_by`` aggregate per key; state grows with the number of keys, bounded by
-the key space rather than by time (a watermark can only be added when the key
-carries a date).  Two sinks:
-
-* ``complete``: every key is re-emitted each trigger and the snapshot is
-  rewritten - simple, O(keys) per trigger.
-* ``update``: only keys that received rows in the trigger are emitted (with
-  their current newest row) and appended to a change log tagged with the
-  trigger epoch; readers resolve the log with ``read_latest`` (a
-  partial/final ``max_by``).  Work per trigger is O(changes).
+Re-deliveries are resolved by recency, not event time.  Two sinks:
+
+* ``complete``: a ``max_by`` aggregate per key is kept as state and the
+  snapshot is rewritten each trigger - simple, for small key spaces.
+* ``update``: no state.  Each trigger appends its own newest row per key, with
+  the ordering it won by, to a change log tagged with the trigger epoch;
+  readers resolve the log by that ordering (``read_latest``, a partial/final
+  ``max_by``), so a late, older re-delivery loses there.  Work per trigger
+  is O(changes), however many keys there are.
   ``compact_latest`` writes the resolved log as a versioned base; reads then
   combine the newest base with later epochs only.
 """
@@ -32,6 +30,7 @@ def latest_aggregate(stream: DataFrame, keys: Sequence[str], ordering: Sequence[
 
 
 EPOCH = "_epoch"
+WON_BY = "_won_by"
 
 
 def start_latest(spark: SparkSession, stream: DataFrame, keys: Sequence[str],
@@ -39,14 +38,14 @@ def start_latest(spark: SparkSession, stream: DataFrame, keys: Sequence[str],
                  transform: Callable[[DataFrame], DataFrame] | None = None,
                  mode: str = "complete") -> StreamingQuery:
     """Maintain the newest row per key at ``out`` (see the module doc)."""
-    agg = latest_aggregate(stream, keys, ordering)
-
     def write_snapshot(batch: DataFrame, _epoch: int) -> None:
         snap = transform(batch) if transform else batch
         snap.write.mode("overwrite").parquet(out)
 
     def append_changes(batch: DataFrame, epoch: int) -> None:
-        changes = transform(batch) if transform else batch
+        won_by = F.struct(*[F.col(c) for c in ordering]).alias(WON_BY)
+        newest = latest_aggregate(batch.select("*", won_by), keys, [WON_BY])
+        changes = transform(newest) if transform else newest
         # Re-running an epoch after a failure overwrites its own partition.
         (changes.withColumn(EPOCH, F.lit(epoch).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -54,7 +53,8 @@ def start_latest(spark: SparkSession, stream: DataFrame, keys: Sequence[str],
 
     if mode not in ("complete", "update"):
         raise ValueError(f"unknown mode {mode!r}")
-    return (agg.writeStream.outputMode(mode)
+    rows = latest_aggregate(stream, keys, ordering) if mode == "complete" else stream
+    return (rows.writeStream.outputMode("complete" if mode == "complete" else "append")
             .option("checkpointLocation", checkpoint)
             .foreachBatch(write_snapshot if mode == "complete" else append_changes)
             .trigger(availableNow=True)
@@ -63,7 +63,7 @@ def start_latest(spark: SparkSession, stream: DataFrame, keys: Sequence[str],
 
 def _resolve(log: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in log.columns if c not in keys and c != EPOCH]
-    picked = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(EPOCH)).alias("_row"))
+    picked = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(WON_BY, EPOCH)).alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
@@ -104,12 +104,12 @@ def _on_base(spark: SparkSession, log: DataFrame, base: str | None) -> DataFrame
 
 def read_latest(spark: SparkSession, changes: str, keys: Sequence[str],
                 base: str | None = None) -> DataFrame:
-    """The newest row per key from an ``update``-mode change log: the row of
-    the highest epoch (each epoch holds at most one row per key).  With a
+    """The newest row per key from an ``update``-mode change log: the row with
+    the highest ordering, then epoch (an epoch holds one row per key).  With a
     compacted ``base`` (``compact_latest``), only epochs after the one it
     covers are read (a partition filter on the epoch), so the cost of a read
     follows the key count plus recent changes, not the whole history."""
-    return _resolve(_on_base(spark, spark.read.parquet(changes), base), keys)
+    return _resolve(_on_base(spark, spark.read.parquet(changes), base), keys).drop(WON_BY)
 
 
 def compact_latest(spark: SparkSession, changes: str, keys: Sequence[str],

@@ -76,10 +76,10 @@ def test_partition_split_partitions_input(spark):
                    "null-key": ("quarantine", ["has_k"])}
 
 
-def test_split_with_pinned_ids_after_a_shuffle(spark):
-    # Input straight out of a shuffle: ids are pinned in the checkpoint folder.
+def test_split_of_an_input_after_a_shuffle(spark):
+    # Input straight out of a shuffle: the numbered rows are stored once.
     df = _versions(spark).repartition(3, "label")
-    pinned = partition_split(df, ["k"], ["ingested_at"], RULES, pin_ids=True, label_col="split")
+    pinned = partition_split(df, ["k"], ["ingested_at"], RULES, label_col="split")
     want = partition_split(_versions(spark), ["k"], ["ingested_at"], RULES, label_col="split")
     assert sorted((r.label, r.split) for r in pinned.collect()) == \
         sorted((r.label, r.split) for r in want.collect())

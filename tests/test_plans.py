@@ -38,7 +38,9 @@ def test_latest_limits_before_the_shuffle(plan):
 
 def test_split_has_no_window_over_all_versions(plan):
     p = plan("q22_partition_split", mode="simple")
-    assert "row_number" in p and "WindowGroupLimit" in p  # only the limited top-1
+    assert "row_number" not in p and "partial_max_by" in p
+    # Both uses read the stored, numbered rows; the table itself is not scanned again.
+    assert p.count("FileScan") == 2 and "lineitem.parquet" not in p and p.count("strata/split-") == 2
 
 
 def test_aggregate_variant_combines_map_side(plan):

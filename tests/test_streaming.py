@@ -33,12 +33,12 @@ def test_update_mode_change_log_equals_batch_latest(spark, tmp):
     want = {r.k: r.v for r in latest(spark.createDataFrame(first + second, SCHEMA), ["k"],
                                       ["ingested_at", "v"]).collect()}
     assert got == want == {"a": 3, "b": 5, "c": 4}
-    # The second trigger logged only the keys that received rows; "a"'s late,
-    # older version re-emits its unchanged newest row.
+    # The second trigger logged only the keys that received rows, each with the
+    # trigger's own newest row; "a"'s late, older version loses when read.
     log = spark.read.parquet(out)
     epochs = sorted({r._epoch for r in log.collect()})
     changed = {r.k: r.v for r in log.filter(log._epoch == epochs[-1]).collect()}
-    assert changed == {"a": 3, "b": 5, "c": 4}
+    assert changed == {"a": 9, "b": 5, "c": 4}
     assert log.count() == 2 + 3  # O(changes) per trigger, not O(keys)
 
 
