@@ -17,7 +17,7 @@ from strata.functions.keys import surrogate_key
 from strata.functions.records import record_count
 from strata.functions.status import ordered_case
 from strata.functions.typed import parse_local, parse_utc, try_double, try_int, wall_clock
-from strata.operators.audit import completeness, landed_pages, offset_gaps
+from strata.operators.audit import completeness, landed_pages, newest_pages, offset_gaps
 from strata.operators.dedupe import latest
 from strata.operators.enrich import star_left_join
 from strata.operators.flatten import flatten
@@ -26,7 +26,7 @@ from strata.operators.quality import (dq_metrics, expect_flags, partition_split,
                                       silver_by)
 from strata.plans import tablefeeds as tf
 from strata.session import scratch_path
-from strata.sources.bronze import envelope_schema, read_bronze, read_landing
+from strata.sources.bronze import envelope_schema, read_bronze
 from strata.sources.landing import (document_name, envelope_json, ingestion_metadata, pages_by_key_range,
                                     with_position_pages,
                                     partition_folder, to_pages, write_landing, write_landings)
@@ -61,19 +61,15 @@ def _latest_sql(source: str, columns, ties) -> str:
 # Landing documents built from orders (q01, q02, q07, q21, q26)
 # --------------------------------------------------------------------------
 
-def order_documents(spark: SparkSession, d: str, drop_lost: bool = False) -> DataFrame:
+def order_documents(spark: SparkSession, d: str) -> DataFrame:
     """One envelope per page of 50 orders (key ranges), ``TotalCount`` = all
-    orders (a scalar subquery), ``ingested_at`` = the page's fetch time in the sweep,
-    folder by day (an ops feed)."""
+    orders (a scalar subquery), ``ingested_at`` = the month of the page's newest
+    order, folder by day (an ops feed)."""
     o = _t(spark, d, "orders")
     total = o.select(F.count(F.lit(1))).scalar()
     page = pages_by_key_range(o, "o_orderkey", tf.OPS_PAGE).alias("page_offset")
-    first = F.min_by(F.struct("o_orderpriority", "o_orderstatus"), F.col("o_orderkey")).alias("first")
     pages = to_pages(o.select("*", page), ["page_offset"], tf.order_record(o), F.col("o_orderkey"),
-                     extra=[first]).withColumn("fetched", fetch_time(F.col("page_offset")))
-    if drop_lost:
-        pages = pages.filter(~((F.col("first.o_orderpriority") == tf.LOST_PRIORITY)
-                               & (F.col("first.o_orderstatus") == tf.LOST_STATUS)))
+                     extra=[F.date_trunc("month", F.max("o_orderdate")).alias("fetched")])
     spec = tf.ORDERS_FEED
     _, resource, plural, singular = spec.array_path.split(".")
     meta = ingestion_metadata("ops", spec.name, F.col("fetched"), tf.SCRIPT,
@@ -85,13 +81,6 @@ def order_documents(spark: SparkSession, d: str, drop_lost: bool = False) -> Dat
     )
 
 
-def fetch_time(offset, page_size: int = tf.OPS_PAGE):
-    """When a sweep fetched the page at ``offset``: pages follow each other
-    every 0.4 s from the sweep start (second resolution, like the feed)."""
-    seconds = F.floor(F.floor(offset / F.lit(page_size)) * F.lit(2) / F.lit(5)).cast("bigint")
-    return F.timestamp_seconds(F.unix_timestamp(F.lit(tf.SWEEP_TS)) + seconds)
-
-
 def _parsed(docs: DataFrame, spec: FeedSpec) -> DataFrame:
     return docs.select(F.from_json("document", envelope_schema(spec, with_corrupt=False)).alias("e")) \
                .select("e.*")
@@ -120,8 +109,7 @@ def q01_landing_envelope(spark, d):
 
 _ORDER_PAGES_SQL = f"""WITH p AS (
   SELECT o_orderkey // 50 AS pg, count(*) AS n,
-         TIMESTAMP '{tf.SWEEP_TS}' + to_seconds(CAST((o_orderkey // 50) * 2 // 5 AS BIGINT)) AS fetched,
-         arg_min(o_orderpriority, o_orderkey) AS pri, arg_min(o_orderstatus, o_orderkey) AS st
+         date_trunc('month', max(o_orderdate)) AS fetched
   FROM orders GROUP BY o_orderkey // 50)"""
 
 Q01_SQL = _ORDER_PAGES_SQL + """
@@ -139,7 +127,7 @@ def q02_bronze_stream(spark, d):
     spec = tf.ORDERS_FEED
     write_landing(order_documents(spark, d), landing_path(f"{root}/landing", spec))
     paths = ingest_feeds(spark, [spec], f"{root}/landing", root)
-    return _page_summary(read_bronze(spark, paths[spec.name]), spec).select(*_PAGES_OUT)
+    return _page_summary(read_bronze(spark, paths[spec.name], spec), spec).select(*_PAGES_OUT)
 
 
 def _table_feed_documents(spark, d, table_name, spec, key, extra=()):
@@ -169,9 +157,9 @@ def q03_ref_factory(spark, d):
     for spec in specs:
         if not spec.enabled:
             continue
-        b = read_bronze(spark, paths[spec.name])
+        b = read_bronze(spark, paths[spec.name], spec)
         counts = b.agg(F.count(F.lit(1)).alias("n_documents"),
-                       F.sum(record_count(F.col(spec.array_path), spec.node_schema)).alias("n_records"))
+                       F.sum(record_count(F.col(spec.array_path))).alias("n_records"))
         counts = counts.select(F.lit(spec.name).alias("feed"), "n_documents",
                                F.col("n_records").cast("bigint").alias("n_records"))
         out = counts if out is None else out.unionByName(counts)
@@ -243,7 +231,7 @@ def q05_normalize_single(spark, d):
     parsed = docs.select("o_orderkey", F.from_json("document", envelope_schema(spec, False)).alias("e"))
     raw = F.col(f"e.{spec.array_path}")
     return parsed.groupBy(F.col("o_orderkey").alias("l_orderkey")).agg(
-        F.sum(record_count(raw, spec.node_schema)).cast("bigint").alias("n_lines"),
+        F.sum(record_count(raw)).cast("bigint").alias("n_lines"),
         F.count_if(raw.startswith("{")).alias("n_object_pages"))
 
 
@@ -428,7 +416,8 @@ Q15_SQL = (f"WITH staged AS ({tf.STAGED_PARTS_SQL})\nSELECT {', '.join(_PART_COL
 
 
 def q16_dq_metrics(spark, d):
-    return dq_metrics(tf.staged_lines(_t(spark, d, "lineitem")), tf.LINE_RULES)
+    staged = tf.staged_lines(_t(spark, d, "lineitem"))
+    return dq_metrics(latest(staged, tf.LINE_KEY, tf.LINE_ORDER, _STAGED_TIES), tf.LINE_RULES)
 
 
 def _metric_sql(r: Rule) -> str:
@@ -439,10 +428,13 @@ def _metric_sql(r: Rule) -> str:
         p = f"NOT {f}"
     action = r.action if "silver" in r.applies_to else "quarantine"
     return (f"SELECT '{r.name}' AS rule, '{action}' AS action, count(*) FILTER (WHERE {p}) AS n_pass, "
-            f"count(*) FILTER (WHERE {f}) AS n_fail FROM staged")
+            f"count(*) FILTER (WHERE {f}) AS n_fail FROM checked")
 
 
-Q16_SQL = _STAGED_CTE + "\nUNION ALL\n".join(_metric_sql(r) for r in tf.LINE_RULES)
+Q16_SQL = _STAGED_CTE + f""", checked AS (SELECT * FROM (SELECT *, row_number() OVER (
+  PARTITION BY {', '.join(tf.LINE_KEY)} ORDER BY {_order_sql(list(tf.LINE_ORDER) + _STAGED_TIES)}) AS rn FROM staged)
+  WHERE rn = 1)
+""" + "\nUNION ALL\n".join(_metric_sql(r) for r in tf.LINE_RULES)
 
 
 _DOC_RULES = (Rule("valid_size", "size_chars BETWEEN 100 AND 5000 AND lang IS NOT NULL",
@@ -534,7 +526,9 @@ def q20_fact_master(spark, d):
     supplier = _t(spark, d, "supplier")
     nation = _t(spark, d, "nation")
     region = _t(spark, d, "region")
-    part = _t(spark, d, "part").filter(F.col("p_size") <= tf.LISTED_MAX_SIZE)
+    # Parts of size 1 carry neither brand nor name: matched rows that take defaults.
+    part = _t(spark, d, "part").select(
+        "p_partkey", *[F.when(F.col("p_size") != 1, F.col(c)).alias(c) for c in ("p_brand", "p_name")])
     dims = [
         Dim(orders, "o", "f.l_orderkey = o.o_orderkey", {"sch_dep_utc": "o_orderdate"},
             keep=("o_custkey",)),
@@ -578,30 +572,61 @@ LEFT JOIN customer al ON o.o_custkey = al.c_custkey
 LEFT JOIN supplier sp ON f.l_suppkey = sp.s_suppkey
 LEFT JOIN nation org ON al.c_nationkey = org.n_nationkey
 LEFT JOIN nation dst ON sp.s_nationkey = dst.n_nationkey
-LEFT JOIN (SELECT * FROM part WHERE p_size <= {tf.LISTED_MAX_SIZE}) ac ON f.l_partkey = ac.p_partkey
+LEFT JOIN (SELECT p_partkey, CASE WHEN p_size <> 1 THEN p_brand END AS p_brand,
+                  CASE WHEN p_size <> 1 THEN p_name END AS p_name FROM part) ac ON f.l_partkey = ac.p_partkey
 LEFT JOIN region cntry ON dst.n_regionkey = cntry.r_regionkey"""
 
 
-def _landed_order_pages(spark, d):
-    docs = order_documents(spark, d, drop_lost=True)
-    return _page_summary(_parsed(docs, tf.ORDERS_FEED), tf.ORDERS_FEED)
+_SWEEP = ["category", "entity", "endpoint"]
+
+
+def _landed_hub_pages(spark, d):
+    """Two hubs' sweeps of one day, with the same offsets: orders of even and of
+    odd key.  Pages of the even hub get lost, pages of the odd hub come twice,
+    the second time an hour later."""
+    spec = tf.ORDERS_FEED
+    o = _t(spark, d, "orders").withColumn("hub", F.pmod("o_orderkey", F.lit(2))).withColumn(
+        "pos", F.floor(F.col("o_orderkey") / 2))
+    page = pages_by_key_range(o, "pos", tf.OPS_PAGE).alias("page_offset")
+    first = F.min_by(F.struct("o_orderpriority", "o_orderstatus"), F.col("o_orderkey")).alias("first")
+    pages = to_pages(o.select("*", page), ["hub", "page_offset"], tf.order_record(o), F.col("o_orderkey"),
+                     extra=[first])
+    pages = pages.join(F.broadcast(o.groupBy("hub").agg(F.count(F.lit(1)).alias("total"))), "hub")  # two rows
+    lost = (F.col("hub") == 0) & (F.col("first.o_orderpriority") == tf.LOST_PRIORITY) & (
+        F.col("first.o_orderstatus") == tf.LOST_STATUS)
+    again = (F.col("hub") == 1) & (F.col("first.o_orderpriority") == tf.LOST_PRIORITY)
+    sent = pages.filter(~lost).withColumn(
+        "hour", F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    at = F.timestamp_seconds(F.unix_timestamp(F.lit(tf.SWEEP_TS)) + F.col("hour") * 3600)
+    meta = ingestion_metadata("ops", spec.name, at, tf.SCRIPT, offset=F.col("page_offset"), limit=spec.page_size)
+    meta = F.struct(meta.getField("ingested_at").alias("ingested_at"), meta.getField("batch_id").alias("batch_id"),
+                    meta.getField("category").alias("category"), meta.getField("entity").alias("entity"),
+                    meta.getField("offset").alias("offset"), meta.getField("limit").alias("limit"),
+                    F.concat(F.lit("orders/"), F.col("hub").cast("string")).alias("endpoint"))
+    _, resource, plural, singular = spec.array_path.split(".")
+    docs = sent.select(envelope_json(F.col("records"), resource, plural, singular, meta, F.col("total"))
+                       .alias("document"))
+    return newest_pages(landed_pages(_parsed(docs, spec), spec), _SWEEP)
 
 
 def q21_completeness(spark, d):
-    return completeness(_landed_order_pages(spark, d), ["category", "entity"])
+    return completeness(_landed_hub_pages(spark, d), _SWEEP)
 
 
-_KEPT_SQL = _ORDER_PAGES_SQL + f""",
-kept AS (SELECT pg * 50 AS page_offset, pg * 50 + 50 AS page_end, n FROM p
-         WHERE NOT (pri = '{tf.LOST_PRIORITY}' AND st = '{tf.LOST_STATUS}')),
-tot AS (SELECT count(*) AS total FROM orders)"""
+_KEPT_SQL = f"""WITH p AS (
+  SELECT o_orderkey % 2 AS hub, o_orderkey // 2 // 50 AS pg, count(*) AS n,
+         arg_min(o_orderpriority, o_orderkey) AS pri, arg_min(o_orderstatus, o_orderkey) AS st
+  FROM orders GROUP BY 1, 2),
+kept AS (SELECT 'orders/' || CAST(hub AS VARCHAR) AS endpoint, pg * 50 AS page_offset, pg * 50 + 50 AS page_end, n FROM p
+         WHERE NOT (hub = 0 AND pri = '{tf.LOST_PRIORITY}' AND st = '{tf.LOST_STATUS}')),
+tot AS (SELECT 'orders/' || CAST(o_orderkey % 2 AS VARCHAR) AS endpoint, count(*) AS total FROM orders GROUP BY 1)"""
 
 Q21_SQL = _KEPT_SQL + """
-SELECT 'ops' AS category, 'orders' AS entity, count(*) AS n_pages,
+SELECT 'ops' AS category, 'orders' AS entity, endpoint, count(*) AS n_pages,
   CAST(sum(n) AS BIGINT) AS n_records, max(total) AS total_count,
   CAST(ceil(max(total) / 50) AS BIGINT) AS expected_pages,
   CAST(max(total) - sum(n) AS BIGINT) AS missing_records, sum(n) >= max(total) AS complete
-FROM kept, tot"""
+FROM kept JOIN tot USING (endpoint) GROUP BY endpoint"""
 
 
 def q22_partition_split(spark, d):
@@ -694,45 +719,49 @@ Q25_SQL = (f"SELECT *, CASE WHEN l_shipdate < TIMESTAMP '{tf.SECOND_DROP_FROM}'
 
 
 def q26_offset_gaps(spark, d):
-    return offset_gaps(_landed_order_pages(spark, d), ["category", "entity"])
+    return offset_gaps(_landed_hub_pages(spark, d), _SWEEP)
 
 
 Q26_SQL = _KEPT_SQL + """,
-seq AS (SELECT page_offset, page_end, lead(page_offset) OVER (ORDER BY page_offset) AS nxt,
-               lag(page_offset) OVER (ORDER BY page_offset) AS prv FROM kept)
-SELECT 'ops' AS category, 'orders' AS entity, CAST(page_end AS BIGINT) AS gap_start,
+seq AS (SELECT endpoint, page_offset, page_end,
+               lead(page_offset) OVER (PARTITION BY endpoint ORDER BY page_offset) AS nxt,
+               lag(page_offset) OVER (PARTITION BY endpoint ORDER BY page_offset) AS prv FROM kept)
+SELECT 'ops' AS category, 'orders' AS entity, endpoint, CAST(page_end AS BIGINT) AS gap_start,
   CAST(nxt AS BIGINT) AS gap_end, CAST(nxt - page_end AS BIGINT) AS missing_records
 FROM seq WHERE nxt > page_end
 UNION ALL
-SELECT 'ops', 'orders', CAST(0 AS BIGINT), CAST(page_offset AS BIGINT), CAST(page_offset AS BIGINT)
+SELECT 'ops', 'orders', endpoint, CAST(0 AS BIGINT), CAST(page_offset AS BIGINT), CAST(page_offset AS BIGINT)
 FROM seq WHERE prv IS NULL AND page_offset > 0
 UNION ALL
-SELECT 'ops', 'orders', CAST(page_end AS BIGINT), CAST(total AS BIGINT), CAST(total - page_end AS BIGINT)
-FROM seq, tot WHERE nxt IS NULL AND page_end < total"""
+SELECT 'ops', 'orders', endpoint, CAST(page_end AS BIGINT), CAST(total AS BIGINT), CAST(total - page_end AS BIGINT)
+FROM seq JOIN tot USING (endpoint) WHERE nxt IS NULL AND page_end < total"""
 
 
 def q27_bad_record_isolation(spark, d):
     """Customer pages land as JSON lines; pages whose first customer is in the
-    corrupt segment arrive truncated.  The bronze stream keeps the good
-    documents and isolates the bad ones instead of failing the batch."""
+    corrupt segment arrive truncated, those of another one with their numbers
+    quoted.  The bronze stream keeps the good documents, quoted ones with all
+    their records, and isolates the bad ones instead of failing the batch."""
     root = scratch_path(spark, "q27")
     name, spec, key = next(x for x in tf.REF_TABLE_FEEDS if x[0] == "customer")
     docs = _table_feed_documents(spark, d, name, spec, key,
                                  extra=[F.min_by("c_mktsegment", key).alias("seg")])
+    quoted = F.regexp_replace("document", '"(offset|limit|TotalCount)":([0-9]+)', '"$1":"$2"')
     docs = docs.select(
         F.when(F.col("seg") == tf.CORRUPT_SEGMENT,
                F.expr("substring(document, 1, length(document) div 2)"))
+        .when(F.col("seg") == tf.QUOTED_SEGMENT, quoted)
         .otherwise(F.col("document")).alias("document"), "folder")
     write_landing(docs, landing_path(f"{root}/landing", spec))
     # Bronze stores the parsed documents, corrupt ones with their raw text in
     # ``_corrupt_record`` (a raw JSON scan cannot be queried on that column alone).
     paths = ingest_feeds(spark, [spec], f"{root}/landing", root)
-    bronze = read_bronze(spark, paths[spec.name])
+    bronze = read_bronze(spark, paths[spec.name], spec)
     status = F.when(F.col("_corrupt_record").isNotNull(), F.lit("corrupt")).otherwise(F.lit("ok"))
     return bronze.groupBy(status.alias("status")).agg(
         F.count(F.lit(1)).alias("n_documents"),
         F.sum(F.when(F.col("_corrupt_record").isNull(),
-                     record_count(F.col(spec.array_path), spec.node_schema)).otherwise(F.lit(0)))
+                     record_count(F.col(spec.array_path))).otherwise(F.lit(0)))
         .cast("bigint").alias("n_records"))
 
 

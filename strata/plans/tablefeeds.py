@@ -196,6 +196,8 @@ REF_TABLE_FEEDS = (
 
 # A customer page is truncated in transit when its first customer is in this segment.
 CORRUPT_SEGMENT = "BUILDING"
+# Pages whose first customer is in this one arrive with quoted numbers.
+QUOTED_SEGMENT = "MACHINERY"
 
 # --- events ------------------------------------------------------------------
 # Event types standing in for hub airports, and the sweep's start time.
@@ -213,7 +215,5 @@ ROUTES = (
 )
 ROUTES_FROM = "1998-01-01"
 
-# Parts are an aircraft catalogue with gaps: only sizes up to 25 are listed.
-LISTED_MAX_SIZE = 25
 # nation and region are closed lists; they are broadcast under this bound.
 SMALL_DIM_ROWS = 10_000

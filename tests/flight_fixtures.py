@@ -116,7 +116,7 @@ def build_landing(root):
         {"CountryCode": "CH", "Names": names("Switzerland")},
     ])
     ref("airlines", "AirlineResource", "Airlines", "Airline",
-        {"AirlineID": "LH", "AirlineID_ICAO": "DLH", "Names": names("Lufthansa")})
+        {"AirlineID": "LH", "AirlineID_ICAO": "DLH", "Names": names("Northwind Air")})
     ref("aircraft", "AircraftResource", "AircraftSummaries", "AircraftSummary", [
         {"AircraftCode": "388", "AirlineEquipCode": "A388", "Names": names("Airbus A380-800")},
         {"AircraftCode": "320", "Names": names("Airbus A320")},
