@@ -10,6 +10,10 @@ alternating star contractions: rows and rounds only, no driver-side graph.
 from __future__ import annotations
 
 import gc
+import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +21,25 @@ from pyspark.sql import functions as F
 from strata.session import scratch_path
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once a context, so that
+    Python workers can import them wherever the job was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    handle, name = tempfile.mkstemp(prefix=f"{package.name}-", suffix=".zip")  # read by the driver only
+    os.close(handle)
+    with zipfile.ZipFile(name, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(name)
+    _shipped.add(sc.applicationId)
+
+
+_shipped: set[str] = set()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to a fresh folder of the shared scratch area and reread it."""
     spark = df.sparkSession

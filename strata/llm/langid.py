@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.llm.common import ship
+
 WIDTH = 4096
 UNKNOWN = "und"
 
@@ -143,6 +145,7 @@ def train(docs: DataFrame, usable: Column, per_lang: int = 400, max_langs: int =
     """Fit on at most ``per_lang`` texts of each of the ``max_langs`` most
     frequent languages among the ``usable`` rows of ``docs`` (doc_id, text, lang)."""
     known = docs.where(usable).where("lang is not null and text is not null").select("doc_id", "lang", "text")
+    ship(docs.sparkSession)
     langs = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
     if not langs:
         return fit(np.empty((0, WIDTH)), np.array([], dtype=object))
@@ -156,7 +159,8 @@ def train(docs: DataFrame, usable: Column, per_lang: int = 400, max_langs: int =
     def rows(batches):
         for batch in batches:
             keep = [(lang, features(t).astype(np.float32)) for lang, t in zip(batch["lang"], batch["text"]) if has_letter(t)]
-            yield pd.DataFrame({"lang": [k[0] for k in keep], "x": [k[1].tobytes() for k in keep]})
+            if keep:
+                yield pd.DataFrame({"lang": [k[0] for k in keep], "x": [k[1].tobytes() for k in keep]})
 
     got = texts.mapInPandas(rows, "lang string, x binary").limit(per_lang * max_langs).toLocalIterator()
     got = sorted(((r.lang, bytes(r.x)) for r in got))

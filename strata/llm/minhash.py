@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import components, release, stored
+from strata.llm.common import components, release, ship, stored
 from strata.llm.hashing import U, mix
 
 class WordHashes(dict):
@@ -187,6 +187,7 @@ def near_duplicates(docs: DataFrame, num: int = 75, den: int = 100, gram: int =
     ``docs`` (doc_id, text); links are sets with ``den * intersection >= num *
     union``.  ``text_key`` hashes the text, ``root`` tells components apart."""
     spark = docs.sparkSession
+    ship(spark)
     sig = stored(_signed(docs, gram, bands, rows), "minhash-signatures")
     cls = (sig.where("n > 0").groupBy("n", "f1", "f2")
            .agg(F.min("doc_id").alias("min_id"), F.min("text_key").alias("text_key"), F.first("bands").alias("bands")))

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import ship, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -111,6 +111,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float =
         seed: int = 17, buckets: int = 64, carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) per document,
     and the ``carry`` columns of ``docs``."""
+    ship(docs.sparkSession)
     order = F.xxhash64(F.lit(seed), F.col("doc_id"))
     sized = stored(docs.select("doc_id", "source", *carry, word_count(F.col("text")).alias("size"))
                    .withColumn("order", order).withColumn("bucket", F.pmod("order", F.lit(buckets)).cast("int")),

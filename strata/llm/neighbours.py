@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stored
+from strata.llm.common import ship, stored
 from strata.llm.vector_dedup import sound
 
 
@@ -136,6 +136,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 8192
     ``vectors``: vec_id, embedding; ``is_query``: a condition on vec_id.
     """
     spark = vectors.sparkSession
+    ship(spark)
     usable = (vectors.where("vec_id is not null").where(sound(F.col("embedding")))
               .select("vec_id", F.col("embedding").alias("x"), F.size("embedding").alias("dim")))
     sizes = usable.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
@@ -190,7 +191,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 8192
         rows = group[~group["asks"]].sort_values("vec_id", kind="stable")
         asks = group[group["asks"]]
         if not len(rows) or not len(asks):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
         y = np.array(rows["x"].tolist(), dtype=np.float64)
         ids = rows["vec_id"].to_numpy()
         out = []

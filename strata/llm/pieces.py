@@ -35,6 +35,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import ship
+
 MARK = "▁"
 MAX_KEY = 64
 CACHE_ROWS = 300_000
@@ -110,18 +112,19 @@ def distinct_word_table(docs: DataFrame, proto: bytes, table_rows: int) -> dict[
     def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter[str] = Counter()
 
-        def rows() -> pd.DataFrame:
+        def rows() -> Iterator[pd.DataFrame]:
             kept = [(w, n) for w, n in seen.items() if n > 1 and len(w) <= MAX_KEY]
             seen.clear()
-            return pd.DataFrame(kept, columns=["word", "n"])
+            if kept:
+                yield pd.DataFrame(kept, columns=["word", "n"])
 
         for batch in batches:
             for text in batch["text"]:
                 if text:
                     seen.update(marked_words(text))
                 if len(seen) > 2 * CACHE_ROWS:
-                    yield rows()
-        yield rows()
+                    yield from rows()
+        yield from rows()
 
     def segmented(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = _model(shared.value)
@@ -141,6 +144,7 @@ def encode(docs: DataFrame, model_path: str, table_rows: int = 65_536, with_ids:
     Returns doc_id, n_tokens, ids_sha256 and decoded_sha256; ``with_ids`` adds
     ``ids`` (array of int) and ``decoded`` (the text the ids decode to).
     """
+    ship(docs.sparkSession)
     with open(model_path, "rb") as f:  # under a MB, read on the driver only
         proto = f.read()
     apart = words_stay_apart(proto)

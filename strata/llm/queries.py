@@ -148,9 +148,9 @@ SELECT page_id, host, path, string_split(hit, ' ')[2] AS rule,
 FROM j""",
     "op10_vector_dedup": """
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, embedding::DOUBLE[] AS x, sqrt(list_sum(list_transform(embedding::DOUBLE[], u -> u * u))) AS len
+  SELECT vec_id, label, embedding::DOUBLE[] AS x, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda u: u * u))) AS len
   FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL
-    AND len(list_filter(embedding, u -> u IS NULL OR NOT isfinite(u))) = 0),
+    AND len(list_filter(embedding, lambda u: u IS NULL OR NOT isfinite(u))) = 0),
 e AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id
       AND len(a.x) = len(b.x) WHERE a.len > 0 AND b.len > 0
       AND list_inner_product(a.x, b.x) / (a.len * b.len) >= 0.98)""" + REACH + """,

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import release, stored
+from strata.llm.common import release, ship, stored
 from strata.llm.hashing import U, mix
 
 TOP = 64
@@ -229,6 +229,7 @@ def repeated_spans(placed: DataFrame, text_col: str = "text", length: int = 100)
     if not TOP <= length <= 2 * TOP:
         raise ValueError("length must be between 64 and 128")
     spark = placed.sparkSession
+    ship(spark)
     rows = (placed.select(F.col("_doc").alias("doc"), F.col("_copy").alias("copy"), F.col(text_col).alias("text"))
             .where(F.octet_length("text") >= length))
     found = rows.mapInPandas(_run_rows(length), RUN_SCHEMA).repartition("name")

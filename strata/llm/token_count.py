@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import ship
+
 MAX_KEY = 64
 CACHE_ROWS = 400_000
 
@@ -95,7 +97,8 @@ def frequent_lengths(docs: DataFrame, spec: str, table_rows: int, per_task: int)
             if len(seen) > 4 * CACHE_ROWS:  # bounded memory: rare ones go
                 seen = Counter(dict(seen.most_common(CACHE_ROWS)))
         top = [(t, n) for t, n in seen.most_common(per_task) if len(t) <= MAX_KEY]
-        yield pd.DataFrame(top, columns=["token", "n"])
+        if top:
+            yield pd.DataFrame(top, columns=["token", "n"])
 
     top = (docs.select("text").mapInPandas(tops, "token string, n long")
            .groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(table_rows))
@@ -108,6 +111,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, table_
                  per_task: int = 16_384) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) per row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
+    ship(spark)
     with open(tokenizer_path, encoding="utf-8") as f:  # a few MB, read on the driver only
         spec = f.read()
     shared = spark.sparkContext.broadcast((spec, frequent_lengths(docs, spec, table_rows, per_task)))
