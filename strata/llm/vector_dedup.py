@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import components, stored
+from strata.llm.common import components, ship, stored
 
 
 def sound(vec: Column) -> Column:
@@ -75,7 +75,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.98, miss: float = 1e-6, p
                  block: int = 512, seed: int = 5) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors``
     (vec_id, embedding, label)."""
-    spark = vectors.sparkSession
+    ship(vectors.sparkSession)
     keyed = vectors.select("vec_id", "embedding", "label", F.size("embedding").alias("dim"),
                            (sound(F.col("embedding")) & F.col("label").isNotNull()).alias("sound"),
                            F.xxhash64("embedding", "label").alias("k1"),
