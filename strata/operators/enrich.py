@@ -10,6 +10,10 @@ Join strategy is decided per dimension:
   (``spark.sql.adaptive.skewJoin.enabled``).  A dimension that grows with the
   data is therefore never forced into executor memory.
 
+A dimension that hangs on another one (customer on orders, region on nation) is
+joined to that one first, so the fact is shuffled once per key of its own and
+never again for a key that a dimension brought along.
+
 Dimensions are unique on their join key by construction (they come out of
 ``latest``), so a left join keeps the fact row count; NULL keys never match.
 """
@@ -52,16 +56,27 @@ def star_left_join(fact: DataFrame, dims: Sequence[Dim], fact_alias: str = "f")
     """Left-join every dimension in order, then add each dimension's output
     columns (with ``defaults`` applied by ``coalesce``, which covers both
     unmatched rows and matched rows holding NULL: SURVEY G14)."""
-    out = fact.alias(fact_alias)
     within_bound = _check_bounds(dims)
+    sides = {}
     for d in dims:
         needed = list(dict.fromkeys(
             _referenced(d.on, d.alias) + list(d.keep) + list(d.cols.values())
             + [c for other in dims for c in _referenced(other.on, d.alias)]))
-        side = d.df.select(*needed)
-        if d.max_rows is not None and within_bound[id(d.df)]:
-            side = F.broadcast(side)
-        out = out.join(side.alias(d.alias), F.expr(d.on), "left")
+        sides[d.alias] = d.df.select(*needed).alias(d.alias)
+    bounded = {d.alias for d in dims if d.max_rows is not None and within_bound[id(d.df)]}
+    own = []
+    for d in reversed(dims):
+        # A left join keeps the rows of its left side, so a bounded dimension
+        # stays bounded with what hangs on it.
+        side = F.broadcast(sides[d.alias]) if d.alias in bounded else sides[d.alias]
+        parents = [p.alias for p in dims if p.alias != d.alias and _referenced(d.on, p.alias)]
+        if len(parents) == 1 and not _referenced(d.on, fact_alias):
+            sides[parents[0]] = sides[parents[0]].join(side, F.expr(d.on), "left")
+        else:
+            own.append((side, d.on))
+    out = fact.alias(fact_alias)
+    for side, on in reversed(own):
+        out = out.join(side, F.expr(on), "left")
     extra = []
     for d in dims:
         for name, col in d.cols.items():

@@ -158,16 +158,18 @@ def q03_ref_factory(spark, d):
         if not spec.enabled:
             continue
         b = read_bronze(spark, paths[spec.name], spec)
-        counts = b.agg(F.count(F.lit(1)).alias("n_documents"),
-                       F.sum(record_count(F.col(spec.array_path))).alias("n_records"))
-        counts = counts.select(F.lit(spec.name).alias("feed"), "n_documents",
+        # The folder is the one the file lies in: a month, for reference feeds.
+        folder = F.regexp_extract("source_file", "folder=([0-9-]+)", 1).alias("folder")
+        counts = b.groupBy(folder).agg(F.count(F.lit(1)).alias("n_documents"),
+                                       F.sum(record_count(F.col(spec.array_path))).alias("n_records"))
+        counts = counts.select(F.lit(spec.name).alias("feed"), "folder", "n_documents",
                                F.col("n_records").cast("bigint").alias("n_records"))
         out = counts if out is None else out.unionByName(counts)
     return out
 
 
 Q03_SQL = " UNION ALL ".join(
-    f"SELECT '{spec.name}' AS feed, count(DISTINCT {key} // 100) AS n_documents, "
+    f"SELECT '{spec.name}' AS feed, '{tf.SWEEP_TS[:7]}' AS folder, count(DISTINCT {key} // 100) AS n_documents, "
     f"count(*) AS n_records FROM {table_name}"
     for table_name, spec, key in tf.REF_TABLE_FEEDS if spec.enabled)
 
@@ -186,6 +188,42 @@ Q04_SQL = f"""SELECT event_id, ts, user_id, event_type, value,
   CASE WHEN ts < TIMESTAMP '{tf.EVOLVED_FROM}' THEN NULL ELSE props END AS props FROM events"""
 
 
+def q04b_envelope_evolution(spark, d):
+    """Two batches of event pages go through the bronze stream; the second one
+    has a new field in its records and two new ones outside them: a revision
+    in the envelope and a page checksum in the resource's Meta block."""
+    root = scratch_path(spark, "q04b")
+    spec = tf.EVENTS_FEED
+    land, cut = landing_path(f"{root}/landing", spec), F.lit(tf.EVOLVED_FROM).cast("timestamp_ntz")
+    ev = _t(spark, d, "events")
+    names = {"event_id": "EventId", "user_id": "UserId", "event_type": "Type", "value": "Value", "props": "Props"}
+    _, resource, plural, singular = spec.array_path.split(".")
+    ts = F.to_timestamp(F.lit(tf.SWEEP_TS))
+    meta = ingestion_metadata("ops", spec.name, ts, tf.SCRIPT, offset=F.col("page_offset"), limit=spec.page_size)
+    for batch, cond, cols in ((1, F.col("ts") < cut, list(names)[:-1]), (2, F.col("ts") >= cut, list(names))):
+        record = F.struct(*[F.col(c).cast("string").alias(names[c]) for c in cols])
+        page = pages_by_key_range(ev, "event_id", spec.page_size).alias("page_offset")
+        pages = to_pages(ev.filter(cond).select("*", page), ["page_offset"], record, F.col("event_id"),
+                         extra=[F.max("user_id").alias("top")])
+        doc = envelope_json(F.col("records"), resource, plural, singular, meta)
+        if batch == 2:
+            doc = F.regexp_replace(doc, r"^\{", '{"revision":2,')
+            doc = F.regexp_replace(doc, r'"Meta":\{', F.concat(F.lit('"Meta":{"Top":'), F.col("top"), F.lit(",")))
+        write_landing(pages.select(doc.alias("document"), partition_folder("ops", ts).alias("folder")), land)
+        paths = ingest_feeds(spark, [spec], f"{root}/landing", root)
+    bronze = read_bronze(spark, paths[spec.name], spec).select(
+        "*", F.col("unknown.envelope.revision").try_cast("int").alias("revision"),
+        F.get_json_object("unknown.resource.Meta", "$.Top").try_cast("bigint").alias("page_top"))
+    return flatten(bronze, spec, keep=("revision", "page_top"))
+
+
+Q04B_SQL = f"""WITH e AS (SELECT *, ts >= TIMESTAMP '{tf.EVOLVED_FROM}' AS late FROM events)
+SELECT event_id, user_id, event_type, value, CASE WHEN late THEN props END AS props,
+  CAST(CASE WHEN late THEN 2 END AS INTEGER) AS revision,
+  CASE WHEN late THEN max(user_id) OVER (PARTITION BY late, event_id // 100) END AS page_top
+FROM e"""
+
+
 def _line_pages(lines: DataFrame, order_key: str = "l_orderkey", distinct: bool = True) -> DataFrame:
     """Per order, pages of at most 50 distinct lines (line numbers 1-50 on
     page 0, 51-100 on page 1, ...): bounded whatever the order size, and
@@ -656,14 +694,14 @@ WHERE event_type IN ({', '.join(repr(h) for h in tf.HUB_EVENT_TYPES)}) AND ts >=
 
 
 def q24_route_lookup(spark, d):
-    routes = route_frame(spark, tf.ROUTES, ["cust_nation", "supp_nation"])
-    on_day = q19_role_playing(spark, d).filter(
-        F.col("l_shipdate") >= F.lit(tf.ROUTES_FROM).cast("timestamp_ntz"))
-    return routes_on(on_day, routes, ["cust_nation", "supp_nation"])
+    on = ["cust_nation", "supp_nation", "day"]
+    routes = route_frame(spark, [(a, b, day) for a, b in tf.ROUTES for day in tf.ROUTE_DAYS], on)
+    flown = q19_role_playing(spark, d).withColumn("day", F.to_date("l_shipdate"))
+    return routes_on(flown, routes, on).drop("day")
 
 
 Q24_SQL = f"""SELECT * FROM ({Q19_SQL}) q
-WHERE l_shipdate >= TIMESTAMP '{tf.ROUTES_FROM}' AND EXISTS (
+WHERE CAST(l_shipdate AS DATE) IN ({', '.join(f"DATE '{day}'" for day in tf.ROUTE_DAYS)}) AND EXISTS (
   SELECT 1 FROM (VALUES {', '.join(f"('{a}', '{b}')" for a, b in tf.ROUTES)}) r(a, b)
   WHERE r.a = q.cust_nation AND r.b = q.supp_nation)"""
 
@@ -793,6 +831,7 @@ QUERIES: dict[str, Query] = {
     "q02_bronze_stream": q02_bronze_stream,
     "q03_ref_factory": q03_ref_factory,
     "q04_schema_evolution": q04_schema_evolution,
+    "q04b_envelope_evolution": q04b_envelope_evolution,
     "q05_normalize_single": q05_normalize_single,
     "q06_explode_outer_empty": q06_explode_outer_empty,
     "q07_flatten_ops": q07_flatten_ops,
@@ -826,6 +865,7 @@ ORACLE_SQL: dict[str, str] = {
     "q02_bronze_stream": Q01_SQL,
     "q03_ref_factory": Q03_SQL,
     "q04_schema_evolution": Q04_SQL,
+    "q04b_envelope_evolution": Q04B_SQL,
     "q05_normalize_single": Q05_SQL,
     "q06_explode_outer_empty": Q06_SQL,
     "q07_flatten_ops": Q07_SQL,

@@ -10,6 +10,7 @@ executor or driver) start from stored tables, not from lineage.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -55,9 +56,8 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
     layers = Layers(bronze=ingest_feeds(spark, feeds, landing_root, out_root,
                                         max_files_per_trigger=max_files_per_trigger,
                                         archive_root=archive_root))
-    for spec in feeds:
-        if not spec.enabled or spec.name not in layers.bronze:
-            continue
+
+    def build(spec: FeedSpec) -> None:
         st_path = f"{out_root}/staged/{spec.category}_{spec.name}"
         s_path = f"{out_root}/silver/{spec.category}_{spec.name}"
         q_path = f"{out_root}/silver/{spec.category}_{spec.name}_quarantine"
@@ -93,6 +93,12 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
         write_table(completeness(pages, sweep, recovered="recovered"), f"{a_path}_completeness")
         write_table(offset_gaps(pages, sweep), f"{a_path}_gaps")
         layers.audits[spec.name] = a_path
+
+    todo = [spec for spec in feeds if spec.enabled and spec.name in layers.bronze]
+    if todo:  # feeds do not depend on each other: their jobs share the cluster
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            for f in [pool.submit(build, spec) for spec in todo]:
+                f.result()
     needed = {"flights", "airports", "airlines", "aircraft", "countries"}
     if with_gold and needed <= set(layers.silver):
         t = {n: spark.read.parquet(layers.silver[n]) for n in needed}

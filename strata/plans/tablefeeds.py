@@ -6,12 +6,14 @@ plays a reference entity with versions, nation and region play airports and
 countries.  Faults are injected by data-driven rules, the same expression in
 Spark and in the oracle SQL, so checks are never vacuous.
 
-Fixed values: injection rules, rule predicates, page sizes, sweep time,
-route list and event groups below are parameters of the catalogue.
+Injection rules, rule predicates, page sizes, sweep time, route list and event
+groups below are parameters of the catalogue.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -103,7 +105,7 @@ ORDERS_FEED = FeedSpec(
             Field("order_date_local", "OrderDateLocal.DateTime", "ts_local"),
             Field("o_orderpriority", "Priority"),
             Field("ingested_at", "@ingested_at", "ts"), Field("batch_id", "@batch_id")),
-    key=("o_orderkey",), page_size=OPS_PAGE, multiline=False,
+    key=("o_orderkey",), page_size=OPS_PAGE, multiline=False, keep_unknown=False,
 )
 
 
@@ -138,7 +140,7 @@ LINES_FEED = FeedSpec(
             Field("l_returnflag", "ReturnFlag"), Field("l_linestatus", "LineStatus"),
             Field("l_shipdate", "ShipDate.DateTime", "ts_utc"),
             Field("ingested_at", "@ingested_at", "ts")),
-    key=LINE_KEY, order=("ingested_at",) + LINE_ORDER, page_size=OPS_PAGE, multiline=False,
+    key=LINE_KEY, order=("ingested_at",) + LINE_ORDER, page_size=OPS_PAGE, multiline=False, keep_unknown=False,
 )
 
 
@@ -171,7 +173,8 @@ def table_feed(name: str, resource: str, plural: str, singular: str, columns: di
     fields = tuple(Field(col, f, kind) for f, (col, kind) in columns.items())
     return FeedSpec(name=name, category="ref", array_path=f"payload.{resource}.{plural}.{singular}",
                     node_schema=node, fields=fields + (Field("ingested_at", "@ingested_at", "ts"),),
-                    key=(key,), enabled=enabled, page_size=REF_PAGE, multiline=False)
+                    key=(key,), enabled=enabled, page_size=REF_PAGE, multiline=False,
+                    keep_unknown=False)
 
 
 REF_TABLE_FEEDS = (
@@ -206,6 +209,14 @@ HUB_SINCE = "2024-01-15 00:00:00"
 # Events of the second batch carry the new ``props`` column.
 EVOLVED_FROM = "2024-01-16 00:00:00"
 
+EVENT_NODE = StructType([StructField(n, StringType()) for n in ("EventId", "UserId", "Type", "Value", "Props")])
+EVENTS_FEED = FeedSpec(
+    name="events", category="ops", array_path="payload.EventResource.Events.Event", node_schema=EVENT_NODE,
+    fields=(Field("event_id", "EventId", "long"), Field("user_id", "UserId", "long"), Field("event_type", "Type"),
+            Field("value", "Value", "double"), Field("props", "Props")),
+    key=("event_id",), page_size=REF_PAGE, multiline=False,
+)
+
 # Nation pairs (customer nation, supplier nation) of the route lookup.
 ROUTES = (
     ("NATION_0", "NATION_1"), ("NATION_1", "NATION_2"), ("NATION_2", "NATION_3"),
@@ -213,7 +224,8 @@ ROUTES = (
     ("NATION_6", "NATION_7"), ("NATION_7", "NATION_8"), ("NATION_8", "NATION_9"),
     ("NATION_9", "NATION_10"),
 )
-ROUTES_FROM = "1998-01-01"
+# The days looked up on every route: each third day of 1998's first half.
+ROUTE_DAYS = tuple(dt.date(1998, 1, 1) + dt.timedelta(days=n) for n in range(0, 181, 3))
 
 # nation and region are closed lists; they are broadcast under this bound.
 SMALL_DIM_ROWS = 10_000

@@ -6,14 +6,16 @@ whether it arrived as an array or as a lone object; staging parses it
 name, so new feed fields are never lost (SURVEY 1.4).  Unparsable documents
 are kept with ``_corrupt_record`` set, instead of failing the batch (R3).
 Side fields (offset, limit, total, recovery flag) are declared as text and cast
-where they are used, so a mistyped one never costs a page its records.
+where they are used, so a mistyped one never costs a page its records.  Fields
+outside the record list that the schema does not name stay readable in
+``unknown``: raw JSON text by field name, for the envelope and its resource (S6).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, MapType, StringType, StructField, StructType
 
 from strata.functions.typed import parse_ingest_ts
 from strata.spec import FeedSpec
@@ -48,20 +50,36 @@ def envelope_schema(spec: FeedSpec, with_corrupt: bool = True) -> StructType:
     return StructType(fields)
 
 
-def _with_lineage(df: DataFrame) -> DataFrame:
-    return df.select(
-        "*",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.to_date(parse_ingest_ts(F.col("ingestion_metadata.ingested_at"))).alias("ingest_date"),
-    )
+UNKNOWN = "unknown"
+_TEXT_MAP = MapType(StringType(), StringType())
+UNKNOWN_SCHEMA = StructType([StructField("envelope", _TEXT_MAP), StructField("resource", _TEXT_MAP)])
 
 
-def _reader(reader, spec: FeedSpec):
-    return (reader.schema(envelope_schema(spec))
-            .option("multiLine", spec.multiline)
-            .option("recursiveFileLookup", True)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT))
+def _unknown(document: str, spec: FeedSpec) -> Column:
+    """All of a document but its payload's record list, as raw text by field:
+    the envelope's own fields (metadata included) and those of its resource."""
+    _, resource, plural, _ = spec.array_path.split(".")
+    envelope = F.from_json(document, _TEXT_MAP)
+    inner = F.from_json(F.get_json_object(document, f"$.payload.{resource}"), _TEXT_MAP)
+    return F.struct(F.map_filter(envelope, lambda k, v: k != "payload").alias("envelope"),
+                    F.map_filter(inner, lambda k, v: k != plural).alias("resource"))
+
+
+def _documents(reader, spec: FeedSpec, path: str) -> DataFrame:
+    """Landed documents under the declared schema, with lineage columns."""
+    lineage = [F.col("_metadata.file_path").alias("source_file")]
+    day = F.to_date(parse_ingest_ts(F.col("ingestion_metadata.ingested_at"))).alias("ingest_date")
+    reader = reader.option("recursiveFileLookup", True)
+    if not spec.keep_unknown:
+        df = (reader.schema(envelope_schema(spec)).option("multiLine", spec.multiline)
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
+        return df.select("*", *lineage, day)
+    text = reader.text(path, wholetext=spec.multiline)
+    parsed = F.from_json("value", envelope_schema(spec),
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return (text.select("value", *lineage).where(F.length(F.trim("value")) > 0)
+            .select(parsed.alias("_d"), _unknown("value", spec).alias(UNKNOWN), "source_file")
+            .select("_d.*", UNKNOWN, "source_file").select("*", day))
 
 
 def stream_landing(spark: SparkSession, spec: FeedSpec, path: str,
@@ -76,12 +94,12 @@ def stream_landing(spark: SparkSession, spec: FeedSpec, path: str,
     covers about one run's files however long the feed has been running.
     ``archive_dir`` must lie outside ``path``.
     """
-    r = _reader(spark.readStream, spec)
+    r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return _with_lineage(r.json(path))
+    return _documents(r, spec, path)
 
 
 def start_bronze(spark: SparkSession, spec: FeedSpec, landing: str, bronze: str,
@@ -117,7 +135,8 @@ def read_bronze(spark: SparkSession, path: str, spec: FeedSpec | None = None) ->
     newer files are merged (S6)."""
     if spec is None:
         return spark.read.option("mergeSchema", True).parquet(path)
-    declared = StructType(envelope_schema(spec).fields + [
+    unknown = [StructField(UNKNOWN, UNKNOWN_SCHEMA)] if spec.keep_unknown else []
+    declared = StructType(envelope_schema(spec).fields + unknown + [
         StructField("source_file", StringType()), StructField("ingest_date", DateType())])
     return spark.read.schema(declared).parquet(path)
 

@@ -84,10 +84,9 @@ class FeedSpec:
     multiline: bool = True
     key_expr: Callable[[], Column] | None = None
     null_key_prefilter: bool = False
-
-    @property
-    def resource(self) -> str:
-        return self.array_path.split(".")[1]
+    # Keep what the declared envelope does not name (new fields outside the
+    # record list) as raw text next to the declared columns in bronze.
+    keep_unknown: bool = True
 
 
 @dataclass(frozen=True)
