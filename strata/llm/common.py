@@ -48,6 +48,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def most_frequent(counts: DataFrame, rows: int) -> DataFrame:
+    """The entries of stored ``counts`` with the largest ``n``, at most ``rows``.
+
+    Counts fall into steps of a sixteenth of a doubling; the largest steps that
+    fit together are taken whole, so no task sorts all entries."""
+    step = F.floor(F.log2("n") * 16)
+    sizes = {r.s: r["count"] for r in counts.groupBy(step.alias("s")).count().collect()}  # at most a thousand rows
+    least, held = None, 0
+    for s in sorted(sizes, reverse=True):
+        held += sizes[s]
+        if held > rows:
+            break
+        least = s
+    return counts.where(F.lit(False) if least is None else step >= least)
+
+
+HASH_RANGE = 2**40
+
+
+def hash_share(count: int, wanted: int) -> int:
+    """The part of ``HASH_RANGE`` that about twice ``wanted`` of ``count`` rows fall
+    below: what tasks hand on for an exact choice does not grow with the table."""
+    return int(min(1.0, 2 * wanted / max(1, count)) * HASH_RANGE)
+
+
 def release(spark: SparkSession) -> None:
     """Collect driver garbage so that Spark's cleaner removes shuffle files of
     finished steps now, not at its half-hourly turn."""

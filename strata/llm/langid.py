@@ -21,13 +21,14 @@ through ``identify`` untouched.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import ship
+from strata.llm.common import HASH_RANGE, hash_share, ship
 
 WIDTH = 4096
 UNKNOWN = "und"
@@ -146,12 +147,17 @@ def train(docs: DataFrame, usable: Column, per_lang: int = 400, max_langs: int =
     frequent languages among the ``usable`` rows of ``docs`` (doc_id, text, lang)."""
     known = docs.where(usable).where("lang is not null and text is not null").select("doc_id", "lang", "text")
     ship(docs.sparkSession)
-    langs = [r.lang for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+              .limit(max_langs).collect()}
+    langs = list(counts)
     if not langs:
         return fit(np.empty((0, WIDTH)), np.array([], dtype=object))
     order = F.xxhash64(F.lit(seed), "doc_id")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))
-    chosen = (known.where(F.col("lang").isin(langs)).select("lang", "doc_id").withColumn("rank", rank)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(order, F.lit(HASH_RANGE)), "doc_id"))
+    share = reduce(lambda rest, lang: F.when(F.col("lang") == lang, F.lit(hash_share(counts[lang], per_lang))).otherwise(rest),
+                   langs, F.lit(0))
+    # Twice the wanted ids of each language by hash, then exactly the wanted ones.
+    chosen = (known.select("lang", "doc_id").where(F.pmod(order, F.lit(HASH_RANGE)) < share).withColumn("rank", rank)
               .where(F.col("rank") <= per_lang).select("doc_id").distinct())
     # The chosen ids are at most per_lang * max_langs.
     texts = known.where(F.col("lang").isin(langs)).join(F.broadcast(chosen), "doc_id").select("lang", "text")

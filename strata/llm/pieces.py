@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ship
+from strata.llm.common import most_frequent, ship, stored
 
 MARK = "▁"
 MAX_KEY = 64
@@ -132,9 +132,9 @@ def distinct_word_table(docs: DataFrame, proto: bytes, table_rows: int) -> dict[
             yield pd.DataFrame({"word": batch["word"], "ids": [word_ids(w, model) for w in batch["word"]]})
 
     shared = docs.sparkSession.sparkContext.broadcast(proto)
-    top = (docs.select("text").mapInPandas(distinct, "word string, n long")
-           .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(table_rows))
-    table = top.select("word").repartition(8).mapInPandas(segmented, "word string, ids binary")
+    counts = stored(docs.select("text").mapInPandas(distinct, "word string, n long")
+                    .groupBy("word").agg(F.sum("n").alias("n")), "piece-words")
+    table = most_frequent(counts, table_rows).select("word").repartition(8).mapInPandas(segmented, "word string, ids binary")
     return {r.word: bytes(r.ids) for r in table.toLocalIterator()}  # at most table_rows short entries
 
 

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ship
+from strata.llm.common import most_frequent, ship, stored
 
 MAX_KEY = 64
 CACHE_ROWS = 400_000
@@ -100,8 +100,8 @@ def frequent_lengths(docs: DataFrame, spec: str, table_rows: int, per_task: int)
         if top:
             yield pd.DataFrame(top, columns=["token", "n"])
 
-    top = (docs.select("text").mapInPandas(tops, "token string, n long")
-           .groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(table_rows))
+    top = most_frequent(stored(docs.select("text").mapInPandas(tops, "token string, n long")
+                               .groupBy("token").agg(F.sum("n").alias("n")), "token-counts"), table_rows)
     tokenizer = _tokenizer(spec)
     tokens = [r.token for r in top.toLocalIterator()]  # at most table_rows short strings
     return {t: len(e.ids) for t, e in zip(tokens, tokenizer.encode_batch(tokens, add_special_tokens=False))}
