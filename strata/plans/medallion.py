@@ -3,8 +3,10 @@
 ``refresh`` runs the triggered bronze streams, then recomputes every enabled
 feed's staged rows (written once), silver and quarantine tables from bronze, then the gold fact from
 silver - the same full-recompute semantics as materialized views.  Every
-layer is written under ``out_root`` so later jobs (and reruns after a lost
-executor or driver) start from stored tables, not from lineage.
+layer is written under ``out_root`` as a new version that counts once committed,
+so readers never see a half-written table and later jobs (and reruns after a
+lost executor or driver) start from stored tables, not from lineage.  ``Layers``
+holds the folders of the versions this run wrote.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from strata.operators.flatten import flatten
 from strata.operators.quality import observe_rules, quarantine, silver
 from strata.plans.feeds import ALL_FEEDS, gold_flights
 from strata.sources.bronze import corrupt_documents, read_bronze
-from strata.sources.tables import write_table
+from strata.sources.tables import write_version
 from strata.spec import FeedSpec
 from strata.streaming.ingest import ingest_feeds
 
@@ -65,7 +67,7 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
         # by one job instead of by both silver and quarantine, and both read
         # columnar rows from a stored table (lineage cut).  Rule pass counts
         # ride along the silver write, at the point where the rules apply.
-        write_table(staged(spark, spec, layers.bronze[spec.name]), st_path)
+        st_path = write_version(staged(spark, spec, layers.bronze[spec.name]), st_path)
         stg = spark.read.parquet(st_path)
         counted: list = []
 
@@ -74,25 +76,22 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
             counted.append(obs)
             return out
 
-        write_table(silver(stg, spec, mode=mode, on_checked=observe), s_path)
-        write_table(quarantine(stg, spec.rules), q_path)
         layers.staged[spec.name] = st_path
-        layers.silver[spec.name] = s_path
-        layers.quarantine[spec.name] = q_path
+        layers.silver[spec.name] = write_version(silver(stg, spec, mode=mode, on_checked=observe), s_path)
+        layers.quarantine[spec.name] = write_version(quarantine(stg, spec.rules), q_path)
         layers.metrics[spec.name] = rule_counts(counted[0].get, spec)
         bronze = read_bronze(spark, layers.bronze[spec.name], spec)
         c_path = f"{out_root}/quarantine/{spec.category}_{spec.name}_documents"
-        write_table(corrupt_documents(bronze), c_path)
-        layers.corrupt[spec.name] = c_path
+        layers.corrupt[spec.name] = write_version(corrupt_documents(bronze), c_path)
         # Landing audits: a sweep is one endpoint's pages of a day, of a month
         # for reference feeds (theirs may run past midnight).
         sweep = ["category", "entity", "endpoint", "period"]
         period = F.substring("ingested_at", 1, 7 if spec.category == "ref" else 10)
         pages = newest_pages(landed_pages(bronze, spec).withColumn("period", period), sweep)
         a_path = f"{out_root}/audit/{spec.category}_{spec.name}"
-        write_table(completeness(pages, sweep, recovered="recovered"), f"{a_path}_completeness")
-        write_table(offset_gaps(pages, sweep), f"{a_path}_gaps")
-        layers.audits[spec.name] = a_path
+        layers.audits[spec.name] = {
+            "completeness": write_version(completeness(pages, sweep, recovered="recovered"), f"{a_path}_completeness"),
+            "gaps": write_version(offset_gaps(pages, sweep), f"{a_path}_gaps")}
 
     todo = [spec for spec in feeds if spec.enabled and spec.name in layers.bronze]
     if todo:  # feeds do not depend on each other: their jobs share the cluster
@@ -103,7 +102,6 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
     if with_gold and needed <= set(layers.silver):
         t = {n: spark.read.parquet(layers.silver[n]) for n in needed}
         g_path = f"{out_root}/gold/fact_flights_master"
-        write_table(gold_flights(t["flights"], t["airports"], t["airlines"], t["aircraft"],
-                                 t["countries"]), g_path)
-        layers.gold["fact_flights_master"] = g_path
+        layers.gold["fact_flights_master"] = write_version(
+            gold_flights(t["flights"], t["airports"], t["airlines"], t["aircraft"], t["countries"]), g_path)
     return layers

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -18,3 +20,26 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+MARKERS = "_committed"
+
+
+def write_version(df: DataFrame, path: str) -> str:
+    """Materialise a layer as a new version of the table at ``path`` and return
+    the version's folder.  The version counts once its commit marker is
+    written, so readers keep the old one until then, and a failed run leaves
+    it in place.  Older versions can be removed by retention."""
+    path = path.rstrip("/")
+    version = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    (df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
+     .coalesce(1).write.mode("append").parquet(f"{path}/{MARKERS}"))
+    return f"{path}/{version}"
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed version of a table written by ``write_version``."""
+    path = path.rstrip("/")
+    newest = spark.read.parquet(f"{path}/{MARKERS}").agg(F.max_by("version", "at")).first()[0]
+    return spark.read.parquet(f"{path}/{newest}")

@@ -31,10 +31,10 @@ def test_completeness_and_gaps_from_bronze(spark, tmp):
     _airport_page(landing, 15, 5, ["ADA", "ADB", "ADC", "ADD", "ADE"], 22)
     layers = refresh(spark, landing, out, (AIRPORTS,), with_gold=False)
     a = layers.audits["airports"]
-    c = spark.read.parquet(f"{a}_completeness").first()
+    c = spark.read.parquet(a["completeness"]).first()
     assert (c.n_pages, c.n_records, c.total_count, c.missing_records, c.complete, c.n_recovered) == (
         4, 17, 22, 5, False, 1)
-    gaps = sorted((r.gap_start, r.gap_end) for r in spark.read.parquet(f"{a}_gaps").collect())
+    gaps = sorted((r.gap_start, r.gap_end) for r in spark.read.parquet(a["gaps"]).collect())
     assert gaps == [(12, 15), (20, 22)]
 
 
@@ -58,10 +58,10 @@ def test_sweeps_of_two_hubs_and_two_runs_are_audited_apart(spark, tmp):
     layers = refresh(spark, landing, out, (FLIGHTS,), with_gold=False)
     a = layers.audits["flights"]
     got = {r.endpoint: (r.n_pages, r.n_records, r.total_count, r.missing_records, r.complete)
-           for r in spark.read.parquet(f"{a}_completeness").collect()}
+           for r in spark.read.parquet(a["completeness"]).collect()}
     assert got == {"departures/AAA": (2, 100, 150, 50, False), "departures/BBB": (2, 100, 100, 0, True),
                    "departures/lookup": (1, 40, 60, 20, False)}
-    gaps = sorted((r.endpoint, r.gap_start, r.gap_end) for r in spark.read.parquet(f"{a}_gaps").collect())
+    gaps = sorted((r.endpoint, r.gap_start, r.gap_end) for r in spark.read.parquet(a["gaps"]).collect())
     assert gaps == [("departures/AAA", 50, 100), ("departures/lookup", 40, 60)]
 
 

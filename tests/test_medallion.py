@@ -2,11 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.plans.feeds import ALL_FEEDS, FLIGHTS
 from strata.plans.medallion import refresh
 from strata.sources.bronze import corrupt_documents, read_bronze
+from strata.sources.tables import read_current, write_version
 from tests.flight_fixtures import build_landing
 
 
@@ -128,3 +130,12 @@ def test_infer_schema_drafts_from_landed_files(spark, tmp):
     build_landing(f"{tmp}/landing")
     schema = infer_schema(spark, f"{tmp}/landing/ref/countries")
     assert "payload" in schema.fieldNames() and "ingestion_metadata" in schema.fieldNames()
+
+
+def test_failed_rewrite_keeps_the_old_version(spark, tmp):
+    path = f"{tmp}/t"
+    write_version(spark.range(3), path)
+    write_version(spark.range(5), path)
+    with pytest.raises(Exception):
+        write_version(spark.range(9).select(F.raise_error(F.lit("stop")).cast("long").alias("id")), path)
+    assert read_current(spark, path).count() == 5
