@@ -12,6 +12,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import zipfile
 from pathlib import Path
 
@@ -75,9 +76,12 @@ def hash_share(count: int, wanted: int) -> int:
 
 def release(spark: SparkSession) -> None:
     """Collect driver garbage so that Spark's cleaner removes shuffle files of
-    finished steps now, not at its half-hourly turn."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    finished steps now, not at its half-hourly turn.  What one collection
+    unlinks, the next one finds."""
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
