@@ -22,10 +22,16 @@ from pyspark.sql import functions as F
 from strata.session import scratch_path
 
 
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package's modules to the executors, once a context, so that
-    Python workers can import them wherever the job was started."""
+    Python workers can import them wherever the job was started.  Batches sent
+    to them hold at most ``BATCH_ROWS`` rows, as texts may be very long."""
     sc = spark.sparkContext
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     if sc.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]

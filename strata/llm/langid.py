@@ -65,7 +65,7 @@ def features(text: str) -> np.ndarray:
 def linear_svm(x: np.ndarray, y: np.ndarray, strength: float = 1e-3, rounds: int = 12, seed: int = 2) -> np.ndarray:
     """Weights (with a bias last) of a linear SVM for y in {-1, 1}: averaged
     subgradient steps, both classes weighing the same."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * len(y)
     w, mean, t = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 0
     rng = np.random.default_rng(seed)
@@ -126,7 +126,7 @@ def fit(x: np.ndarray, lang: np.ndarray) -> Model:
         langs.setdefault(family_of(name), []).append(name)
     families = sorted(langs)
     fam = np.array([family_of(name) for name in lang])
-    xb = np.hstack([x, np.ones((len(x), 1))]) if len(x) else np.empty((0, WIDTH + 1))
+    xb = np.hstack([x, np.ones((len(x), 1), x.dtype)]) if len(x) else np.empty((0, WIDTH + 1))
     w = np.array([linear_svm(x, np.where(fam == f, 1.0, -1.0)) for f in families]) if len(families) > 1 \
         else np.empty((len(families), WIDTH + 1))
     own = np.array([families.index(f) for f in fam], dtype=int)
@@ -142,7 +142,7 @@ def fit(x: np.ndarray, lang: np.ndarray) -> Model:
     return Model(families, langs, w, slope, pairs)
 
 
-def train(docs: DataFrame, usable: Column, per_lang: int = 400, max_langs: int = 32, seed: int = 6) -> Model:
+def train(docs: DataFrame, usable: Column, per_lang: int = 200, max_langs: int = 32, seed: int = 6) -> Model:
     """Fit on at most ``per_lang`` texts of each of the ``max_langs`` most
     frequent languages among the ``usable`` rows of ``docs`` (doc_id, text, lang)."""
     known = docs.where(usable).where("lang is not null and text is not null").select("doc_id", "lang", "text")
@@ -170,12 +170,13 @@ def train(docs: DataFrame, usable: Column, per_lang: int = 400, max_langs: int =
 
     got = texts.mapInPandas(rows, "lang string, x binary").limit(per_lang * max_langs).toLocalIterator()
     got = sorted(((r.lang, bytes(r.x)) for r in got))
-    x = np.array([np.frombuffer(b, np.float32) for _, b in got], dtype=np.float64).reshape(-1, WIDTH)
+    x = np.array([np.frombuffer(b, np.float32) for _, b in got], dtype=np.float32).reshape(-1, WIDTH)
     return fit(x, np.array([lang for lang, _ in got], dtype=object))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with a struct column ``_language`` (lang_pred, score)."""
+    ship(docs.sparkSession)
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:

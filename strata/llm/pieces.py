@@ -39,7 +39,7 @@ from strata.llm.common import most_frequent, ship, stored
 
 MARK = "▁"
 MAX_KEY = 64
-CACHE_ROWS = 300_000
+CACHE_ROWS = 120_000
 MARKED = re.compile(r" +[^ ]*")
 
 _loaded: dict[int, object] = {}

@@ -45,7 +45,7 @@ from strata.llm.common import release, ship, stored
 from strata.llm.hashing import U, mix
 
 TOP = 64
-FLUSH = 1_000_000
+FLUSH = 400_000
 LAST = 2**63 - 1
 BYTE_NAMES = mix(np.arange(1, 257, dtype=U) * U(0x2545F4914F6CDD1D))
 
