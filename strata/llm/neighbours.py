@@ -12,8 +12,10 @@ Search: a query goes to its most probable partitions, and to further ones
 until they hold enough candidates; there it is compared with every vector by
 inner product in double precision.  Partitions of any size are dealt into
 blocks of ``block`` vectors and ``query_block`` queries, so a vector that a
-third of all rows repeat loads many small groups, not one.  Groups return
-their best ``k`` a query; the last step merges these.
+third of all rows repeat loads many small groups, not one.  The most
+probable sixteenth of the partitions is searched first; a query's k-th best score
+there is the floor that candidates of its other partitions must reach to leave
+their group.  Groups return their best ``k`` a query; the last step merges these.
 
 Vectors that are null, empty, zero or hold null or non-finite components take
 no part, nor do rows without vec_id or with another number of components than
@@ -32,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import ship, stored
+from strata.llm.common import HASH_RANGE, hash_share, ship, stored
 from strata.llm.vector_dedup import sound
 
 
@@ -144,7 +146,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 8192
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim, count = int(sizes["dim"]), int(sizes["count"])
     usable = usable.where(F.col("dim") == dim).select("vec_id", "x")
-    picked = usable.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(sample)
+    order = F.xxhash64(F.lit(seed), "vec_id")
+    place = F.pmod(order, F.lit(HASH_RANGE))
+    # Twice the wanted vectors by hash, then exactly the wanted ones.
+    picked = usable.where(place < hash_share(count, sample)).orderBy(place, "vec_id").limit(sample)
     x = _units(np.array([r.x for r in picked.toLocalIterator()], dtype=np.float64).reshape(-1, dim))  # at most ``sample`` vectors
     parts = int(min(256, max(1, count // per_partition), max(1, len(x) // 32)))
     if parts > 1:
@@ -179,13 +184,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 8192
     rows_in = F.element_at(F.lit([int(max(1, -(-n // block))) for n in size]), F.col("part") + 1)
     query_blocks = max(1, -(-n_queries // query_block))
     q = (asked.mapInPandas(routed, f"vec_id long, x {kind}, parts array<int>")
-         .select("vec_id", "x", F.explode("parts").alias("part"),
-                 F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int").alias("qb"))
-         .select("part", F.explode(F.sequence(F.lit(0), rows_in - 1)).alias("rb"), "qb", F.lit(True).alias("asks"),
-                 "vec_id", "x"))
+         .withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")))
+    q = stored(q, "ann-queries")
+    early = -(-parts // 16)
     r = (index.select("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), rows_in).cast("int").alias("rb"),
                       F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"),
-                      F.lit(False).alias("asks"), "vec_id", "x"))
+                      F.lit(False).alias("asks"), "vec_id", "x", F.lit(None).cast("double").alias("floor")))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         rows = group[~group["asks"]].sort_values("vec_id", kind="stable")
@@ -195,10 +199,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 8192
         y = np.array(rows["x"].tolist(), dtype=np.float64)
         ids = rows["vec_id"].to_numpy()
         out = []
-        for query, v in zip(asks["vec_id"].to_numpy(), np.array(asks["x"].tolist(), dtype=np.float64)):
+        for query, v, least in zip(asks["vec_id"].to_numpy(), np.array(asks["x"].tolist(), dtype=np.float64),
+                                   asks["floor"].fillna(-np.inf).to_numpy()):
             s = y @ v
             s[ids == query] = -np.inf
-            floor = np.partition(s, -k)[-k] if len(s) > k else -np.inf
+            floor = max(least, np.partition(s, -k)[-k] if len(s) > k else -np.inf)
             # Candidates near the floor are scored anew in a fixed order of addition.
             at = np.flatnonzero((s >= floor - 1e-9 * (1 + abs(floor))) & (s > -np.inf)) if floor > -np.inf \
                 else np.flatnonzero(s > -np.inf)
@@ -207,6 +212,18 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 8192
             out.append(pd.DataFrame({"query_id": query, "vec_id": ids[at[top]], "score": exact[top]}))
         return pd.concat(out)
 
-    best = q.unionByName(r).groupBy("part", "rb", "qb").applyInPandas(compare, "query_id long, vec_id long, score double")
+    def searched(queries: DataFrame) -> DataFrame:
+        asks = queries.select("part", F.explode(F.sequence(F.lit(0), rows_in - 1)).alias("rb"), "qb",
+                              F.lit(True).alias("asks"), "vec_id", "x", "floor")
+        return (asks.unionByName(r).groupBy("part", "rb", "qb")
+                .applyInPandas(compare, "query_id long, vec_id long, score double"))
+
+    each = q.select("vec_id", "x", "qb", F.posexplode("parts").alias("nth", "part"))
+    first = stored(searched(each.where(F.col("nth") < early).withColumn("floor", F.lit(None).cast("double"))), "ann-first")
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    floors = (first.withColumn("n", F.row_number().over(by_score)).where(F.col("n") == k)
+              .select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor")))
+    later = each.where(F.col("nth") >= early).join(floors, "vec_id", "left")
+    best = first.unionByName(searched(later)) if parts > early else first
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
