@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,28 +62,23 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Co
     return out
 
 
-def _shrunk(groups: DataFrame, parents: DataFrame, key: str, parent: str) -> DataFrame:
+def _shrunk(groups: DataFrame, parents: DataFrame, key: str, parent: str, label: str) -> DataFrame:
     """Beta posterior of each group under its parent's rate.
 
     ``groups``: (key, parent, n, k); ``parents``: (parent, rate).  The prior
     strength s follows from the moment estimate of the between-group variance
     v of rates: s = m(1-m)/v - 1, held in [1, 1000].
     """
-    g = groups.join(parents.select(parent, F.col("rate").alias("m")), parent, "left")
-    spread = (F.col("k") / F.col("n") - F.col("m"))
+    g = stored(groups.join(parents.select(parent, F.col("rate").alias("m")), parent, "left"), f"url-{label}")
+    spread = F.col("k") / F.col("n") - F.col("m")
     base = F.col("m") * (1 - F.col("m"))
-    fit = (g.where("n >= 2").agg(
-        (F.sum(F.col("n") * spread * spread) / F.sum("n")).alias("total"),
-        (F.sum(base) / F.sum("n")).alias("noise"),
-        (F.sum(F.col("n") * base) / F.sum("n")).alias("base"))
-        .select(F.coalesce(F.greatest(F.lit(1.0), F.least(F.lit(1000.0), F.when(
-            F.col("total") > F.col("noise"),
-            F.col("base") / (F.col("total") - F.col("noise")) - 1).otherwise(1000.0))), F.lit(1.0)).alias("s")))
-    # fit is one row of constants: its size does not depend on the data.
-    a = F.col("s") * F.col("m") + F.col("k")
-    b = F.col("s") * (1 - F.col("m")) + F.col("n") - F.col("k")
-    return (g.join(F.broadcast(fit)).withColumn("a", a).withColumn("b", b)
-            .withColumn("rate", F.col("a") / (F.col("a") + F.col("b")))
+    total, noise, mean = g.where("n >= 2").agg(
+        F.sum(F.col("n") * spread * spread) / F.sum("n"), F.sum(base) / F.sum("n"),
+        F.sum(F.col("n") * base) / F.sum("n")).first()  # three numbers
+    s = 1.0 if total is None else min(1000.0, max(1.0, mean / (total - noise) - 1)) if total > noise else 1000.0
+    a = s * F.col("m") + F.col("k")
+    b = s * (1 - F.col("m")) + F.col("n") - F.col("k")
+    return (g.withColumn("a", a).withColumn("b", b).withColumn("rate", F.col("a") / (F.col("a") + F.col("b")))
             .withColumn("sd", F.sqrt(F.col("a") * F.col("b")
                                      / ((F.col("a") + F.col("b")) * (F.col("a") + F.col("b"))
                                         * (F.col("a") + F.col("b") + 1))))
@@ -89,19 +86,19 @@ def _shrunk(groups: DataFrame, parents: DataFrame, key: str, parent: str) -> Dat
 
 
 def host_reputation(hosts: DataFrame, z: float = 1.645, min_good: float = 0.5) -> DataFrame:
-    """(host, rate, upper, blocked) from (host, n labelled, k good), one row a host."""
-    g = hosts.select("host", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("k", F.lit(0)).alias("k"),
-                     domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
+    """(host, n, rate, upper, blocked) from (host, n labelled, k good), one row a host."""
+    g = stored(hosts.select("host", "n", "k", domain_of(F.col("host")).alias("domain"),
+                            suffix_of(F.col("host")).alias("suffix")), "url-hosts")
     dom = g.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suf = dom.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("top", F.lit(0))
     # Beta(1, 1) over everything keeps the overall rate strictly inside (0, 1).
-    top = suf.agg(((F.coalesce(F.sum("k"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("rate"))
-    top = top.withColumn("top", F.lit(0))
-    s = _shrunk(suf, top, "suffix", "top")
-    d = _shrunk(dom, s, "domain", "suffix")
-    h = _shrunk(g.select("host", "domain", "n", "k"), d, "host", "domain")
+    top = g.groupBy(F.lit(0).alias("top")).agg(((F.sum("k") + 1) / (F.sum("n") + 2)).alias("rate"))
+    s = _shrunk(suf, top, "suffix", "top", "suffixes")
+    d = _shrunk(dom, s, "domain", "suffix", "domains")
+    h = _shrunk(g.select("host", "domain", "n", "k"), d, "host", "domain", "rated")
     upper = F.col("rate") + F.lit(z) * F.col("sd")
-    return h.select("host", "n", "rate", upper.alias("upper"), (upper < min_good).alias("blocked"))
+    return stored(h.select("host", "n", "rate", upper.alias("upper"), (upper < min_good).alias("blocked")),
+                  "url-reputation")
 
 
 def filter_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]],
