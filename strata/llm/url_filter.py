@@ -62,14 +62,18 @@ def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Co
     return out
 
 
-def _shrunk(groups: DataFrame, parents: DataFrame, key: str, parent: str, label: str) -> DataFrame:
+def _shrunk(groups: DataFrame, parents: DataFrame | float, key: str, parent: str, label: str) -> DataFrame:
     """Beta posterior of each group under its parent's rate.
 
-    ``groups``: (key, parent, n, k); ``parents``: (parent, rate).  The prior
+    ``groups``: (key, parent, n, k); ``parents``: (parent, rate), or one rate for
+    all.  The prior
     strength s follows from the moment estimate of the between-group variance
     v of rates: s = m(1-m)/v - 1, held in [1, 1000].
     """
-    g = stored(groups.join(parents.select(parent, F.col("rate").alias("m")), parent, "left"), f"url-{label}")
+    if isinstance(parents, float):
+        g = stored(groups.withColumn("m", F.lit(parents)), f"url-{label}")
+    else:
+        g = stored(groups.join(parents.select(parent, F.col("rate").alias("m")), parent, "left"), f"url-{label}")
     spread = F.col("k") / F.col("n") - F.col("m")
     base = F.col("m") * (1 - F.col("m"))
     total, noise, mean = g.where("n >= 2").agg(
@@ -92,7 +96,8 @@ def host_reputation(hosts: DataFrame, z: float = 1.645, min_good: float = 0.5) -
     dom = g.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     suf = dom.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k")).withColumn("top", F.lit(0))
     # Beta(1, 1) over everything keeps the overall rate strictly inside (0, 1).
-    top = g.groupBy(F.lit(0).alias("top")).agg(((F.sum("k") + 1) / (F.sum("n") + 2)).alias("rate"))
+    zero = F.lit(0)
+    top = float(g.agg((F.coalesce(F.sum("k"), zero) + 1) / (F.coalesce(F.sum("n"), zero) + 2)).first()[0])
     s = _shrunk(suf, top, "suffix", "top", "suffixes")
     d = _shrunk(dom, s, "domain", "suffix", "domains")
     h = _shrunk(g.select("host", "domain", "n", "k"), d, "host", "domain", "rated")
