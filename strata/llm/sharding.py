@@ -3,11 +3,18 @@
 Documents that belong together (equal ``group`` values) are linked.  They
 start spread over the shards by hash.  Each round, Spark joins tell every
 linked document where its neighbours are; it proposes to move to the shard
-most of them are in, among shards with room, and proposals are accepted in
-seeded order up to the shard's quota of linked documents.  Documents that
-move alike (same group, same shard) are one counted row, so a group that holds
-a third of all rows is eight rows, and its neighbours are never listed pair by
-pair.  A group larger than a shard's room is split by the quota.
+most of them are in, among shards with room for the others, and proposals are
+accepted in seeded order up to the shard's quota of linked documents.  Documents
+that move alike (same group, same shard) are one counted row, so a group that
+holds a third of all rows is eight rows, and its neighbours are never listed pair
+by pair.
+
+What the rounds leave cut (shards that are full cannot swap rows) is packed: whole
+groups, largest first, into the tightest shard that holds them.  If that still cuts
+more than group sizes ask for, all linked groups are packed anew.  Only a group
+larger than a shard, or one that fits no shard's rest, is split, over as few
+shards as hold it.  The plan is made from counts by group size (a row a
+distinct size); groups of one size are numbered by Spark.
 
 Law ``rows``: unlinked documents fill the shards up, so that counts differ by at
 most one.  They are ranked in two steps (hash bucket, then within it): no task
@@ -54,11 +61,13 @@ def _small(spark: SparkSession, values: list[int], name: str) -> DataFrame:
 
 
 def propagate(groups: DataFrame, room: list[int], rounds: int = 4, spread: int = 256) -> DataFrame:
-    """Final (gkey, shard, n) from starting (gkey, shard, n), ``room`` by shard.
+    """Final (gkey, shard, n, all) from starting (gkey, shard, n, all), ``room`` by
+    shard; ``all`` is the group's size.
 
     One round: every row whose group has its majority (largest count, then
-    smallest shard) elsewhere proposes to move there; a shard accepts as much
-    as it has room for, in hash order of the groups.
+    smallest shard, shards with room for the whole group first) elsewhere proposes
+    to move there; a shard accepts as much as it has room for, in hash order of the
+    groups.
     """
     spark = groups.sparkSession
     shards = len(room)
@@ -66,7 +75,7 @@ def propagate(groups: DataFrame, room: list[int], rounds: int = 4, spread: int =
         load = {r.shard: r.load for r in groups.groupBy("shard").agg(F.sum("n").alias("load")).collect()}  # one row a shard
         free = [room[s] - load.get(s, 0) for s in range(shards)]
         best = (groups.join(F.broadcast(_small(spark, free, "free")), "shard")
-                .groupBy("gkey").agg(F.max_by("shard", F.struct(F.col("free") >= 0, "n", -F.col("shard"))).alias("target")))
+                .groupBy("gkey").agg(F.max_by("shard", F.struct(F.col("free") >= F.col("all") - F.col("n"), "n", -F.col("shard"))).alias("target")))
         best = stored(best, f"shard-best{i}")
         asks = (groups.join(best, "gkey").withColumn("bucket", F.pmod(F.xxhash64("gkey", F.lit(i)), F.lit(spread)).cast("int")))
         moving = asks.where("shard <> target")
@@ -81,11 +90,11 @@ def propagate(groups: DataFrame, room: list[int], rounds: int = 4, spread: int =
                   .join(F.broadcast(_small(spark, [max(0, f) for f in free], "free").withColumnRenamed("shard", "target")),
                         "target"))
         took = F.greatest(F.lit(0), F.least(F.col("n"), F.col("free") - F.col("base") - F.col("before")))
-        ranked = stored(ranked.select("gkey", "shard", "target", "n", took.alias("took")), f"shard-moves{i}")
-        after = (asks.where("shard = target").select("gkey", "shard", "n")
-                 .unionByName(ranked.select("gkey", F.col("target").alias("shard"), F.col("took").alias("n")))
-                 .unionByName(ranked.select("gkey", "shard", (F.col("n") - F.col("took")).alias("n"))))
-        groups = stored(after.where("n > 0").groupBy("gkey", "shard").agg(F.sum("n").alias("n")), f"shard-state{i}")
+        ranked = stored(ranked.select("gkey", "shard", "target", "n", "all", took.alias("took")), f"shard-moves{i}")
+        after = (asks.where("shard = target").select("gkey", "shard", "n", "all")
+                 .unionByName(ranked.select("gkey", F.col("target").alias("shard"), F.col("took").alias("n"), "all"))
+                 .unionByName(ranked.select("gkey", "shard", (F.col("n") - F.col("took")).alias("n"), "all")))
+        groups = stored(after.where("n > 0").groupBy("gkey", "shard", "all").agg(F.sum("n").alias("n")), f"shard-state{i}")
         release(spark)
     return groups
 
@@ -105,8 +114,8 @@ def shard(docs: DataFrame, shards: int = 8, rounds: int = 4, rows_per_bucket: in
             .withColumn("start", F.pmod(F.xxhash64("order"), F.lit(shards)).cast("int")))
     counts = stored(rows.groupBy("gkey", F.col("start").alias("shard")).agg(F.count("*").alias("n")), "shard-counts")
     linked = counts.groupBy("gkey").agg(F.sum("n").alias("all")).where("all > 1")
-    linked = stored(counts.join(linked.select("gkey"), "gkey"), "shard-linked")
-    settled = stored(_within(propagate(linked, want, rounds, spread), want, spread), "shard-settled")
+    linked = stored(counts.join(linked, "gkey"), "shard-linked")
+    settled = stored(_gathered(propagate(linked, want, rounds, spread), want, spread), "shard-settled")
     # A group's documents are numbered and take the shards of its counted rows in turn.
     turn = stored(settled.select("gkey", "shard", "n", running(settled, ["gkey"], "shard", "n").alias("from")),
                   "shard-turns")
@@ -130,38 +139,74 @@ def shard(docs: DataFrame, shards: int = 8, rounds: int = 4, rows_per_bucket: in
         "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-def _within(groups: DataFrame, room: list[int], spread: int) -> DataFrame:
-    """``groups`` with no shard above its room: what is over moves on, in hash
-    order, to shards with room left."""
+def packed(sizes: list[tuple[int, int]], room: list[int], most: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
+    """Where groups go, from their (size, how many), into ``room`` by shard;
+    ``most`` rows fit an empty shard.
+
+    Pieces (size, first, last, shard, n): of the groups of ``size``, those numbered
+    from ``first`` to before ``last`` put ``n`` rows each into ``shard``.  Also, how many
+    pieces there are beyond those that the groups' sizes ask for.
+    """
+    room, extra = list(room), 0
+    pieces, late = [], []
+
+    def split(size: int, nth: int) -> int:
+        rest, parts = size, 0
+        while rest:
+            fits = [s for s in range(len(room)) if room[s] >= rest]
+            s = min(fits, key=lambda s: (room[s], s)) if fits else max(range(len(room)), key=lambda s: (room[s], -s))
+            n = min(rest, room[s])
+            pieces.append((size, nth, nth + 1, s, n))
+            room[s] -= n
+            rest, parts = rest - n, parts + 1
+        return parts
+
+    for size, count in sorted(sizes, reverse=True):
+        at = 0
+        if size > most:
+            for at in range(count):
+                extra += split(size, at) - -(-size // most)
+            continue
+        for s in sorted(range(len(room)), key=lambda s: (room[s], s)):
+            fit = min(count - at, room[s] // size)
+            if fit > 0:
+                pieces.append((size, at, at + fit, s, size))
+                room[s] -= fit * size
+                at += fit
+        # Fewer than there are shards: that many would not leave room for all rows.
+        late += [(size, nth) for nth in range(at, count)]
+    for size, nth in late:
+        extra += split(size, nth) - 1
+    return pieces, extra
+
+
+def _gathered(groups: DataFrame, room: list[int], spread: int) -> DataFrame:
+    """(gkey, shard, n) of ``groups`` with cut groups put together as far as the
+    shards' ``room`` lets them, and no shard above it."""
     spark = groups.sparkSession
-    shards = len(room)
-    load = {r.shard: r.load for r in groups.groupBy("shard").agg(F.sum("n").alias("load")).collect()}  # one row a shard
-    free = [room[s] - load.get(s, 0) for s in range(shards)]
+    per = stored(groups.groupBy("gkey", F.col("all").alias("size")).agg(F.count("*").alias("parts"), F.min("shard").alias("shard")),
+                 "shard-groups")
+    load = {r.shard: r.load for r in per.where("parts = 1").groupBy("shard").agg(F.sum("size").alias("load")).collect()}  # one row a shard
+    free = [r - load.get(s, 0) for s, r in enumerate(room)]
+
+    def sizes(some: DataFrame) -> list[tuple[int, int]]:
+        return [tuple(r) for r in some.groupBy("size").count().collect()]  # one row a distinct size
+
+    cut = per.where("parts > 1")
+    plan, pool = None, cut
     if min(free) >= 0:
-        return groups
-    g = groups.withColumn("bucket", F.pmod(F.xxhash64("gkey"), F.lit(spread)).cast("int"))
-    by_bucket = g.groupBy("shard", "bucket").agg(F.sum("n").alias("m"))
-    by_bucket = by_bucket.select("shard", "bucket", running(by_bucket, ["shard"], "bucket", "m").alias("base"))
-    own = Window.partitionBy("shard", "bucket").orderBy("gkey").rowsBetween(Window.unboundedPreceding, -1)
-    g = (g.withColumn("before", F.coalesce(F.sum("n").over(own), F.lit(0))).join(by_bucket, ["shard", "bucket"])
-         .join(F.broadcast(_small(spark, room, "room")), "shard"))
-    stay = F.greatest(F.lit(0), F.least(F.col("n"), F.col("room") - F.col("base") - F.col("before")))
-    g = stored(g.select("gkey", "shard", "bucket", "n", stay.alias("stay")), "shard-over")
-    # Rows above their shard's room, laid end to end, fill the free ranges in turn.
-    over = g.where("n > stay").select("gkey", "bucket", "shard", (F.col("n") - F.col("stay")).alias("n"), F.lit(0).alias("all"))
-    ob = over.groupBy("all", "bucket").agg(F.sum("n").alias("m"))
-    ob = ob.select("all", "bucket", running(ob, ["all"], "bucket", "m").alias("base"))
-    own = Window.partitionBy("bucket").orderBy("gkey", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    over = over.withColumn("before", F.coalesce(F.sum("n").over(own), F.lit(0))).join(ob, ["all", "bucket"])
-    over = over.withColumn("lo", F.col("base") + F.col("before")).withColumn("hi", F.col("lo") + F.col("n"))
-    ranges, at = [], 0
-    for s in range(shards):
-        if free[s] > 0:
-            ranges.append((s, at, at + free[s]))
-            at += free[s]
-    # At most one range a shard: every over row is cut by those it meets.
-    parts = F.array(*[F.struct(F.lit(s).alias("shard"), (F.least("hi", F.lit(b)) - F.greatest("lo", F.lit(a))).alias("n"))
-                      for s, a, b in ranges])
-    moved = over.select("gkey", F.inline(parts)).where("n > 0")
-    return (g.select("gkey", "shard", F.col("stay").alias("n")).where("n > 0").unionByName(moved)
-            .groupBy("gkey", "shard").agg(F.sum("n").cast("long").alias("n")))
+        these = sizes(cut)
+        if not these:
+            return groups.select("gkey", "shard", "n")
+        plan = packed(these, free, max(room))
+    if plan is None or plan[1] > 0:
+        anew = packed(sizes(per), room, max(room))
+        if plan is None or anew[1] < plan[1]:
+            plan, pool = anew, per
+    pieces = spark.createDataFrame(plan[0], "size long, first long, last long, shard int, n long")
+    by_size = pool.select("gkey", "size", F.pmod(F.xxhash64("gkey"), F.lit(spread)).cast("int").alias("bucket"))
+    moved = (numbered(by_size, ["size"], ["gkey"], "nth").join(F.broadcast(pieces), "size")
+             .where("nth >= first and nth < last").select("gkey", "shard", "n"))
+    if pool is per:
+        return moved
+    return per.where("parts = 1").select("gkey", "shard", F.col("size").alias("n")).unionByName(moved)

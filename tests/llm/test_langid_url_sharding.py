@@ -123,5 +123,31 @@ def test_laws_hold_for_hot_groups_and_odd_rows(spark, rows):
     laws(rows, placed(spark, rows, rows_per_bucket=1))
 
 
+@pytest.mark.parametrize("rows, cut", [
+    ([(i, f"pair {i // 2}") for i in range(800)], 0),  # every shard full, nothing to fill up with
+    ([(i, f"pair {i // 2}") for i in range(520)] + [(1000 + i, f"one {i}") for i in range(280)], 0),
+    ([(i, "hot") for i in range(268)] + [(1000 + i, f"pair {i // 2}") for i in range(532)], 2),
+    ([(i, f"g{i % 60}") for i in range(780)] + [(1000 + i, f"one {i}") for i in range(20)], 4),  # 60 of 13, 100 a shard
+])
+def test_linked_rows_stay_together_once_shards_are_full(spark, rows, cut):
+    got = placed(spark, rows)
+    laws(rows, got)
+    text, where = dict(rows), {}
+    for r in got:
+        where.setdefault(text[r["doc_id"]], set()).add(r["shard"])
+    assert sum(len(s) - 1 for s in where.values()) <= cut
+
+
+def test_packing_keeps_to_the_room_and_cuts_only_what_must_be():
+    pieces, extra = sharding.packed([(25, 1), (5, 2), (3, 1), (2, 1)], [10, 10, 10, 10], 10)
+    load = Counter()
+    for size, first, last, s, n in pieces:
+        load[s] += (last - first) * n
+    assert extra == 0 and sum(load.values()) == 40 and max(load.values()) == 10
+    assert sorted(n for size, *_, n in pieces if size == 25) == [5, 10, 10]
+    pieces, extra = sharding.packed([(2, 3)], [3, 3], 3)
+    assert extra == 1 and sorted(p[4] * (p[2] - p[1]) for p in pieces) == [1, 1, 2, 2]
+
+
 def test_empty_table(spark):
     assert placed(spark, []) == []
