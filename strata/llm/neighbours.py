@@ -5,7 +5,9 @@ the sample is all that reaches the driver): the neighbour graph of the sample
 is cut into partitions of even size by label propagation under a capacity,
 and a small softmax classifier learns to tell a vector's partition.  The
 number of partitions routed to is the smallest that finds ``aim`` of the true
-neighbours of sample vectors within the sample.
+neighbours of sample vectors within the sample.  Partitions and router know
+directions only; true neighbours are those by inner product of the vectors as
+given, so the longer the longest vectors are, the more partitions are visited.
 
 Index: every vector, not only the sample, goes to its most probable partition.
 Search: a query goes to its most probable partitions, and to further ones
@@ -112,9 +114,9 @@ def router_scores(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 def probes_for(x: np.ndarray, w: np.ndarray, k: int, aim: float, seed: int = 4) -> int:
     """Partitions to visit so that sample vectors find ``aim`` of their ``k``
-    nearest sample vectors."""
+    nearest sample vectors by inner product; ``x`` as given, not scaled."""
     parts = w.shape[1]
-    scores = router_scores(x, w)
+    scores = router_scores(_units(x), w)
     home = scores.argmax(axis=1)
     some = np.random.default_rng(seed).permutation(len(x))[:512]
     s = x[some] @ x.T
@@ -150,12 +152,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 8192
     place = F.pmod(order, F.lit(HASH_RANGE))
     # Twice the wanted vectors by hash, then exactly the wanted ones.
     picked = usable.where(place < hash_share(count, sample)).orderBy(place, "vec_id").limit(sample)
-    x = _units(np.array([r.x for r in picked.toLocalIterator()], dtype=np.float64).reshape(-1, dim))  # at most ``sample`` vectors
+    x = np.array([r.x for r in picked.toLocalIterator()], dtype=np.float64).reshape(-1, dim)  # at most ``sample`` vectors
     parts = int(min(256, max(1, count // per_partition), max(1, len(x) // 32)))
     if parts > 1:
-        graph = neighbour_graph(x, min(12, len(x) - 1))
-        w = fit_router(x, balanced_partition(x, graph, parts), parts)
-        probes = probes_for(x, w, k, aim)
+        u = _units(x)
+        w = fit_router(u, balanced_partition(u, neighbour_graph(u, min(12, len(u) - 1)), parts), parts)
+        # The k nearest of all vectors are the nearest few of a sample: both must be found.
+        probes = max(probes_for(x, w, n, aim) for n in (k, max(1, k * len(x) // count)))
     else:
         w, probes = np.zeros((dim + 1, 1)), 1
 

@@ -107,6 +107,22 @@ def test_learned_partitions_reach_recall(spark):
     assert hit / (20 * 150) >= 0.9
 
 
+def test_recall_holds_with_unequal_norms(spark):
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((3000, 32))
+    x *= (np.exp(0.8 * rng.standard_normal(3000)) / np.sqrt((x * x).sum(axis=1)))[:, None]
+    x[:, :4] *= 3
+    df = spark.createDataFrame([(i, [float(a) for a in v], 0, "x", 0) for i, v in enumerate(x)], SCHEMA)
+    got = neighbours.search(df, F.col("vec_id") % 20 == 0, per_partition=125, sample=1500).toPandas()
+    x32 = x.astype(np.float32).astype(float)
+    hit = 0
+    for q, g in got.groupby("query_id"):
+        s = x32 @ x32[q]
+        s[q] = -np.inf
+        hit += (g["score"] >= np.sort(s)[-20] - 1e-9).sum()
+    assert hit / (20 * 150) >= 0.9
+
+
 def test_balanced_partition_is_balanced():
     x = np.random.default_rng(1).standard_normal((500, 8))
     part = neighbours.balanced_partition(x, neighbours.neighbour_graph(x, 10), 7)
