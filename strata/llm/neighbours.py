@@ -20,9 +20,11 @@ there is the floor that candidates of its other partitions must reach to leave
 their group.  Groups return their best ``k`` a query; the last step merges these.
 
 Vectors that are null, empty, zero or hold null or non-finite components take
-no part, nor do rows without vec_id or with another number of components than
-most.  A query's own row is any with its vec_id.  Equal scores order by
-vec_id.  Repeated queries are asked once; repeated candidates stay.  With fewer
+no part, nor do rows without vec_id.  Each number of components is a search of
+its own, so a query meets the vectors it can be compared with.  A query's own row
+is any with its vec_id.  Equal scores order by vec_id.  Repeated queries are
+asked once (a vec_id with several numbers of components once in each); repeated
+candidates stay.  With fewer
 than ``k`` candidates all are returned; an empty table gives an empty result.
 Extra columns are ignored.
 """
@@ -30,6 +32,7 @@ Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -143,11 +146,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 8192
     ship(spark)
     usable = (vectors.where("vec_id is not null").where(sound(F.col("embedding")))
               .select("vec_id", F.col("embedding").alias("x"), F.size("embedding").alias("dim")))
-    sizes = usable.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    if sizes is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, count = int(sizes["dim"]), int(sizes["count"])
-    usable = usable.where(F.col("dim") == dim).select("vec_id", "x")
+    sizes = (usable.groupBy("dim").agg(F.count("*").alias("rows"), F.count_if(is_query).alias("asked"))
+             .where("asked > 0").orderBy("dim").collect())  # one row a number of components
+    if len(sizes) > 1:
+        usable = stored(usable, "ann-usable")
+    found = [_search(usable.where(F.col("dim") == r.dim).select("vec_id", "x"), is_query, r.dim, r.rows, k, sample,
+                     per_partition, aim, block, query_block, seed) for r in sizes]
+    return (reduce(DataFrame.unionByName, found) if found
+            else spark.createDataFrame([], "query_id long, rank int, vec_id long, score double"))
+
+
+def _search(usable: DataFrame, is_query: Column, dim: int, count: int, k: int, sample: int, per_partition: int,
+            aim: float, block: int, query_block: int, seed: int) -> DataFrame:
+    """``search`` among the ``count`` vectors (vec_id, x) of ``dim`` components."""
     order = F.xxhash64(F.lit(seed), "vec_id")
     place = F.pmod(order, F.lit(HASH_RANGE))
     # Twice the wanted vectors by hash, then exactly the wanted ones.

@@ -123,6 +123,18 @@ def test_recall_holds_with_unequal_norms(spark):
     assert hit / (20 * 150) >= 0.9
 
 
+def test_every_query_meets_the_vectors_of_its_dimension(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, [float(np.float32(a)) for a in rng.standard_normal(3 + i // 20 % 3)], 0, "x", 0) for i in range(300)]
+    rows.append((400, [1.0] * 9, 0, "x", 0))
+    got = {}
+    for r in neighbours.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, k=5).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert sorted(got) == list(range(0, 300, 20))
+    for q, hits in got.items():
+        assert [h[1] for h in sorted(hits)] == [w[1] for w in brute(rows, q, 5)]
+
+
 def test_balanced_partition_is_balanced():
     x = np.random.default_rng(1).standard_normal((500, 8))
     part = neighbours.balanced_partition(x, neighbours.neighbour_graph(x, 10), 7)
