@@ -6,9 +6,10 @@ family (one against the rest) picks the family; within it, one-versus-one
 linear machines between its languages vote.  The score is the product of the
 logistic confidences of both decisions, scaled on the training margins.
 
-Learning uses a bounded sample: at most ``per_lang`` labelled texts of each of
-the ``max_langs`` most frequent languages, chosen by a hash of the id; their
-features are made by Spark tasks and only those (4096 numbers a text) reach
+Learning uses a bounded sample of every language that has a learnable text: at
+most ``per_lang`` texts each, and beyond ``full_langs`` languages as many fewer as
+keeps the sample's size (one at least).  Texts are chosen by a hash of the id;
+their features are made by Spark tasks and only those (4096 numbers a text) reach
 the driver.  Prediction is one pass over all texts without a shuffle.
 
 Null texts and texts without a letter are ``und`` with score 0.  Rows with a
@@ -21,7 +22,6 @@ through ``identify`` untouched.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -142,25 +142,30 @@ def fit(x: np.ndarray, lang: np.ndarray) -> Model:
     return Model(families, langs, w, slope, pairs)
 
 
-def train(docs: DataFrame, usable: Column, per_lang: int = 200, max_langs: int = 32, seed: int = 6) -> Model:
-    """Fit on at most ``per_lang`` texts of each of the ``max_langs`` most
-    frequent languages among the ``usable`` rows of ``docs`` (doc_id, text, lang)."""
-    known = docs.where(usable).where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    ship(docs.sparkSession)
-    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-              .limit(max_langs).collect()}
-    langs = list(counts)
+def train(docs: DataFrame, usable: Column, per_lang: int = 200, full_langs: int = 32, seed: int = 6) -> Model:
+    """Fit on the languages of the ``usable`` rows of ``docs`` (doc_id, text, lang):
+    at most ``per_lang`` texts each, together no more than ``full_langs`` languages
+    would have (but one each)."""
+    spark = docs.sparkSession
+    # A character Java does not know may be a letter to Python.
+    known = (docs.where(usable).where("lang is not null").where(F.col("text").rlike(r"[\p{L}\p{Cn}]"))
+             .select("doc_id", "lang", "text"))
+    ship(spark)
+    place = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(HASH_RANGE))
+    langs = known.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("least")).collect()  # one row a language
     if not langs:
         return fit(np.empty((0, WIDTH)), np.array([], dtype=object))
-    order = F.xxhash64(F.lit(seed), "doc_id")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(order, F.lit(HASH_RANGE)), "doc_id"))
-    share = reduce(lambda rest, lang: F.when(F.col("lang") == lang, F.lit(hash_share(counts[lang], per_lang))).otherwise(rest),
-                   langs, F.lit(0))
-    # Twice the wanted ids of each language by hash, then exactly the wanted ones.
-    chosen = (known.select("lang", "doc_id").where(F.pmod(order, F.lit(HASH_RANGE)) < share).withColumn("rank", rank)
-              .where(F.col("rank") <= per_lang).select("doc_id").distinct())
-    # The chosen ids are at most per_lang * max_langs.
-    texts = known.where(F.col("lang").isin(langs)).join(F.broadcast(chosen), "doc_id").select("lang", "text")
+    per_lang = max(1, min(per_lang, per_lang * full_langs // len(langs)))
+    # Twice the wanted texts of each language by hash, its first one among them, then exactly the wanted ones.
+    share = spark.createDataFrame([(r.lang, max(r.least + 1, hash_share(r.n, per_lang))) for r in langs],
+                                  "lang string, share long")
+    keyed = (known.join(F.broadcast(share), "lang").withColumn("place", place).where("place < share")
+             .select("lang", "place", F.xxhash64("doc_id", "text").alias("key"), "text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "key"))
+    chosen = (keyed.select("lang", "place", "key").distinct().withColumn("rank", rank).where(F.col("rank") <= per_lang)
+              .select("lang", "key"))
+    # The chosen ones are at most per_lang a language; copies of a row are one text.
+    texts = keyed.join(F.broadcast(chosen), ["lang", "key"]).dropDuplicates(["lang", "key"]).select("lang", "text")
 
     def rows(batches):
         for batch in batches:
@@ -168,7 +173,7 @@ def train(docs: DataFrame, usable: Column, per_lang: int = 200, max_langs: int =
             if keep:
                 yield pd.DataFrame({"lang": [k[0] for k in keep], "x": [k[1].tobytes() for k in keep]})
 
-    got = texts.mapInPandas(rows, "lang string, x binary").limit(per_lang * max_langs).toLocalIterator()
+    got = texts.mapInPandas(rows, "lang string, x binary").toLocalIterator()
     got = sorted(((r.lang, bytes(r.x)) for r in got))
     x = np.array([np.frombuffer(b, np.float32) for _, b in got], dtype=np.float32).reshape(-1, WIDTH)
     return fit(x, np.array([lang for lang, _ in got], dtype=object))

@@ -45,6 +45,18 @@ def test_language_edges(spark):
     assert langid.identify(df.where("false"), model).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    word = lambda i: chr(0x4E00 + 40 * i)
+    rows = [(100 * i + j, f"{word(i)}{chr(0x4E01 + 40 * i + j % 3)} " * (3 + j), f"x{i:02}") for i in range(40) for j in range(8)]
+    rows += [(9000 + j, "12 34", "x39") for j in range(50)]  # nothing to learn from
+    rows += [(9100, "\u0416\u0416 \u0416", "many")] * 3000  # copies of one row
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, F.lit(True), per_lang=6)
+    assert sorted(model.families) == sorted({r[2] for r in rows})
+    got = langid.identify(df.dropDuplicates().where("doc_id < 9000 or doc_id = 9100"), model)
+    assert got.where("lang <> _language.lang_pred").count() == 0
+
+
 URLS = {
     "http://A.Example.ORG/es/1?q=/x": ("a.example.org", "/es/1", "example.org/es/", "block"),
     "https://example.org/en/12#t": ("example.org", "/en/12", "example.org/en/1", "block"),
