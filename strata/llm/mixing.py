@@ -82,7 +82,15 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, dp_budget:
             if more > 0:
                 take[i] += more
                 left -= more * int(lengths[i])
-    if left <= 0 or left > 64 * dp_budget:
+    # Still much left: documents too long to keep words back for the programme.
+    for i in np.argsort(-lengths):
+        if left <= 64 * dp_budget:
+            break
+        if lengths[i]:
+            more = min(int(counts[i] - take[i]), left // int(lengths[i]))
+            take[i] += more
+            left -= more * int(lengths[i])
+    if left <= 0 or left > 64 * dp_budget:  # exact, or nothing fits any more
         return take
     # Reachable sums as bits of one integer; counts are split into powers of two.
     mask, reach, steps = (1 << (left + 1)) - 1, 1, []

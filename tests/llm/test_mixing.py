@@ -26,6 +26,19 @@ def test_fit_counts_is_the_best_sum_below(items, budget):
     assert got == best
 
 
+@pytest.mark.parametrize("lengths, counts, budget, want", [
+    ([599_000, 700_000], [1, 1], 600_000, 599_000),
+    ([400, 600, 599_000, 700_000], [1, 1, 1, 1], 600_000, 600_000),
+    ([5_000_000, 9_000_000], [3, 1], 5_000_100, 5_000_000),
+    ([700_000], [1], 600_000, 0),
+])
+def test_long_documents_close_a_large_rest(lengths, counts, budget, want):
+    lengths, counts = np.array(lengths), np.array(counts)
+    take = mixing.fit_counts(lengths, counts, budget)
+    assert (take >= 0).all() and (take <= counts).all()
+    assert int((lengths * take).sum()) == want
+
+
 def by_steps(sizes, weights, share=1.5, limit=2.0):
     """Reshare the excess by weight until no target is above its limit."""
     target, capped = {}, set()
