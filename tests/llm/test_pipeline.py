@@ -83,3 +83,16 @@ def test_components(spark):
     want = {i: 0 for i in range(41)} | {100: 100, 150: 100, 200: 100} | {500 + i: 500 for i in range(60)}
     assert got == want
     assert components(df.where("false"), "t").count() == 0
+
+
+def test_only_rows_without_a_language_go(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    def unsure(docs, model, text="text"):
+        pred = F.when(F.col("doc_id") == 1, F.lit("und")).otherwise(F.lit("en"))
+        return docs.withColumn("_language", F.struct(pred.alias("lang_pred"), F.lit(0.1).alias("score")))
+
+    monkeypatch.setattr(P.langid, "identify", unsure)
+    df = spark.createDataFrame([(1, "12 34", None, "a", 5), (2, "qwx zzv", None, "a", 7), (3, "tere", "et", "a", 4)],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted((r.doc_id, r.lang) for r in P.language(spark, df, "").collect()) == [(2, "en"), (3, "et")]
