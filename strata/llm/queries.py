@@ -6,14 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (langid, minhash, mixing, neighbours, pieces, sharding, suffix_dedup, token_count,
-                        url_filter, vector_dedup)
+from strata.llm import (langid, licenses, minhash, mixing, neighbours, pieces, sharding, spelling,
+                        suffix_dedup, token_count, url_filter, vector_dedup)
 from strata.sources.tables import table
 
 # The rules the URL query is asked to apply.
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
              ("allow", "com/fr/"), ("block", "com/de/"))
 
+# The phrases the license query counts, with their labels.
+LICENSE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
+
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of all documents without repeated 100-byte strings."""
@@ -80,8 +83,19 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_language.lang_pred").alias("lang_pred"), F.col("_language.score").alias("score"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words of all documents' words, with one slip in 199 runs."""
+    runs = spelling.word_runs(table(spark, sf_dir, "documents"), slip_every=199)
+    return spelling.group_variants(spelling.count_words(runs, min_length=6, min_count=5))
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License detections of all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents"), LICENSE_PHRASES)
+
+
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_mixing, op3_neighbours, op4_sharding, op5_token_count, op6_sentencepiece, op7_minhash, op8_language, op9_url_filter,
-                                 op10_vector_dedup)}
+                                 op10_vector_dedup, op11_spelling, op13_licenses)}
 
 # Components in SQL: everything reachable from a row over the links of ``e``.
 REACH = """, sides AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
@@ -158,4 +172,6 @@ l AS (SELECT x, count(*) AS n FROM sides GROUP BY x)
 SELECT vec_id, coalesce(l.n, 0) AS n_links, least(vec_id, coalesce(c.y, vec_id)) AS component_id,
        vec_id = least(vec_id, coalesce(c.y, vec_id)) AS kept
 FROM embeddings LEFT JOIN l ON l.x = vec_id LEFT JOIN c ON c.x = vec_id""",
+    "op11_spelling": spelling.ORACLE_SQL,
+    "op13_licenses": licenses.oracle(LICENSE_PHRASES),
 }
