@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (langid, licenses, minhash, mixing, neighbours, pieces, sharding, spelling,
+from strata.llm import (alignment, langid, licenses, minhash, mixing, neighbours, pieces, sharding, spelling,
                         suffix_dedup, token_count, url_filter, vector_dedup)
 from strata.sources.tables import table
 
@@ -89,13 +89,19 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(runs, min_length=6, min_count=5))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens under two tokenizers, linked by overlapping bytes."""
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License detections of all documents."""
     return licenses.scan(table(spark, sf_dir, "documents"), LICENSE_PHRASES)
 
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_mixing, op3_neighbours, op4_sharding, op5_token_count, op6_sentencepiece, op7_minhash, op8_language, op9_url_filter,
-                                 op10_vector_dedup, op11_spelling, op13_licenses)}
+                                 op10_vector_dedup, op11_spelling, op12_alignment, op13_licenses)}
 
 # Components in SQL: everything reachable from a row over the links of ``e``.
 REACH = """, sides AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
