@@ -24,6 +24,7 @@ from strata.operators.flatten import flatten
 from strata.operators.lookup import departures_from_hubs, route_frame, routes_on
 from strata.operators.quality import (dq_metrics, expect_flags, partition_split, quarantine,
                                       silver_by)
+from strata.operators.salvage import salvaged_documents, with_salvaged
 from strata.plans import tablefeeds as tf
 from strata.session import scratch_path
 from strata.sources.bronze import envelope_schema, read_bronze
@@ -811,6 +812,57 @@ SELECT CASE WHEN seg = '{tf.CORRUPT_SEGMENT}' THEN 'corrupt' ELSE 'ok' END AS st
 FROM p GROUP BY 1"""
 
 
+def q29_record_salvage(spark, d):
+    """Customer pages land cut in half, or with a first record that lost its closing
+    brace.  Staged rows hold every complete record of every page; what is no complete
+    record comes as a damaged piece."""
+    root = scratch_path(spark, "q29")
+    name, spec, key = next(x for x in tf.REF_TABLE_FEEDS if x[0] == "customer")
+    docs = _table_feed_documents(spark, d, name, spec, key, extra=[F.min_by("c_mktsegment", key).alias("seg")])
+    open_record = F.concat(F.substring_index("document", '"},{', 1), F.lit('",{'),
+                           F.expr("""substring(document, locate('"},{', document) + 4)"""))
+    docs = docs.select(
+        F.when(F.col("seg") == tf.CORRUPT_SEGMENT, F.expr("substring(document, 1, length(document) div 2)"))
+        .when((F.col("seg") == tf.GARBLED_SEGMENT) & F.contains("document", F.lit('"},{')), open_record)
+        .otherwise(F.col("document")).alias("document"), "folder")
+    write_landing(docs, landing_path(f"{root}/landing", spec))
+    paths = ingest_feeds(spark, [spec], f"{root}/landing", root)
+    bronze = read_bronze(spark, paths[spec.name], spec)
+    offset = F.col("ingestion_metadata.offset").try_cast("bigint").alias("page_offset")
+    kept = flatten(with_salvaged(bronze, spec).select("*", offset), spec, keep=("page_offset",))
+    pieces = salvaged_documents(bronze, spec).select(offset, F.explode("damaged").alias("piece"))
+    none = F.lit(None).cast("string")
+    return kept.select(F.lit("kept").alias("status"), "page_offset", "c_custkey", "c_name", none.alias("piece")).unionByName(
+        pieces.select(F.lit("damaged").alias("status"), "page_offset", F.lit(None).cast("bigint").alias("c_custkey"),
+                      none.alias("c_name"), "piece"))
+
+
+def _json_member(field: str, column: str) -> str:
+    return f"""'"{field}":"' || {column} || '"'"""
+
+
+Q29_SQL = f"""WITH r AS (SELECT c_custkey, c_name, c_mktsegment, c_custkey // 100 * 100 AS off, '{{' || array_to_string(list_filter([
+    {_json_member('CustKey', 'c_custkey')}, {_json_member('Name', 'c_name')}, {_json_member('NationKey', 'c_nationkey')},
+    {_json_member('Segment', 'c_mktsegment')}], lambda m: m IS NOT NULL), ',') || '}}' AS t FROM customer),
+p AS (SELECT off, count(*) AS n, arg_min(c_mktsegment, c_custkey) AS seg, string_agg(t, ',' ORDER BY c_custkey) AS body,
+        min(c_custkey) AS first_key, '{{"ingestion_metadata":{{"ingested_at":"{tf.SWEEP_TS}","batch_id":"' || sha256('ref|customer||' || off)
+        || '","category":"ref","entity":"customer","script_name":"{tf.SCRIPT}","offset":' || off
+        || ',"limit":100,"endpoint":"customer"}},"payload":{{"CustomerResource":{{"Customers":{{"Customer":' AS pre FROM r GROUP BY off),
+d AS (SELECT *, seg = '{tf.CORRUPT_SEGMENT}' AS cut, seg = '{tf.GARBLED_SEGMENT}' AND n > 1 AS garbled,
+        length(pre) + CASE WHEN n > 1 THEN 1 ELSE 0 END AS head,
+        pre || CASE WHEN n > 1 THEN '[' || body || ']' ELSE body END || '}},"Meta":{{"TotalCount":' || n || '}}}}}}}}' AS doc FROM p),
+e AS (SELECT r.*, d.* EXCLUDE (off), length(doc) // 2 AS half,
+        CAST(head + sum(length(t) + 1) OVER (PARTITION BY off ORDER BY c_custkey) - 1 AS BIGINT) AS stop FROM r JOIN d USING (off)),
+tails AS (SELECT off, pre, trim(substring(doc, (CASE WHEN half < length(pre) THEN 0 ELSE greatest(head, tail) END) + 1, half - CASE
+    WHEN half < length(pre) THEN 0 ELSE greatest(head, tail) END), ',') AS piece, half FROM (
+    SELECT off, any_value(pre) AS pre, any_value(doc) AS doc, any_value(head) AS head, any_value(half) AS half,
+           coalesce(max(stop) FILTER (WHERE stop <= half), 0) AS tail FROM e WHERE cut GROUP BY off))
+SELECT 'kept' AS status, off AS page_offset, c_custkey, c_name, CAST(NULL AS VARCHAR) AS piece FROM e
+WHERE CASE WHEN cut THEN stop <= half WHEN garbled THEN c_custkey <> first_key ELSE true END
+UNION ALL SELECT 'damaged', off, NULL, NULL, piece FROM tails WHERE piece <> ''
+UNION ALL SELECT 'damaged', off, NULL, NULL, left(t, length(t) - 1) FROM e WHERE garbled AND c_custkey = first_key"""
+
+
 def q28_label_enrich(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "lang", "source")
     labels = _t(spark, d, "labels")
@@ -858,6 +910,7 @@ QUERIES: dict[str, Query] = {
     "q26_offset_gaps": q26_offset_gaps,
     "q27_bad_record_isolation": q27_bad_record_isolation,
     "q28_label_enrich": q28_label_enrich,
+    "q29_record_salvage": q29_record_salvage,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -892,4 +945,5 @@ ORACLE_SQL: dict[str, str] = {
     "q26_offset_gaps": Q26_SQL,
     "q27_bad_record_isolation": Q27_SQL,
     "q28_label_enrich": Q28_SQL,
+    "q29_record_salvage": Q29_SQL,
 }

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from strata.operators.audit import completeness, landed_pages, newest_pages, offset_gaps
 from strata.operators.flatten import flatten
 from strata.operators.quality import observe_rules, quarantine, silver
+from strata.operators.salvage import damaged_records, with_salvaged
 from strata.plans.feeds import ALL_FEEDS, gold_flights
 from strata.sources.bronze import corrupt_documents, read_bronze
 from strata.sources.tables import write_version
@@ -34,13 +35,15 @@ class Layers:
     silver: dict = field(default_factory=dict)
     quarantine: dict = field(default_factory=dict)
     corrupt: dict = field(default_factory=dict)
+    damaged: dict = field(default_factory=dict)
     gold: dict = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
     audits: dict = field(default_factory=dict)
 
 
 def staged(spark: SparkSession, spec: FeedSpec, bronze_dir: str) -> DataFrame:
-    return flatten(read_bronze(spark, bronze_dir, spec), spec)
+    """Staged rows: those of good documents and the complete records of bad ones."""
+    return flatten(with_salvaged(read_bronze(spark, bronze_dir, spec), spec), spec)
 
 
 def rule_counts(observed: dict, spec: FeedSpec) -> dict:
@@ -83,11 +86,13 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
         bronze = read_bronze(spark, layers.bronze[spec.name], spec)
         c_path = f"{out_root}/quarantine/{spec.category}_{spec.name}_documents"
         layers.corrupt[spec.name] = write_version(corrupt_documents(bronze), c_path)
+        d_path = f"{out_root}/quarantine/{spec.category}_{spec.name}_records"
+        layers.damaged[spec.name] = write_version(damaged_records(bronze, spec), d_path)
         # Landing audits: a sweep is one endpoint's pages of a day, of a month
         # for reference feeds (theirs may run past midnight).
         sweep = ["category", "entity", "endpoint", "period"]
         period = F.substring("ingested_at", 1, 7 if spec.category == "ref" else 10)
-        pages = newest_pages(landed_pages(bronze, spec).withColumn("period", period), sweep)
+        pages = newest_pages(landed_pages(with_salvaged(bronze, spec), spec).withColumn("period", period), sweep)
         a_path = f"{out_root}/audit/{spec.category}_{spec.name}"
         layers.audits[spec.name] = {
             "completeness": write_version(completeness(pages, sweep, recovered="recovered"), f"{a_path}_completeness"),

@@ -202,6 +202,9 @@ CORRUPT_SEGMENT = "BUILDING"
 # Pages whose first customer is in this one arrive with quoted numbers.
 QUOTED_SEGMENT = "MACHINERY"
 
+# Pages whose first customer is in this one have a first record without its closing brace.
+GARBLED_SEGMENT = "HOUSEHOLD"
+
 # --- events ------------------------------------------------------------------
 # Event types standing in for hub airports, and the sweep's start time.
 HUB_EVENT_TYPES = ("click", "purchase")
