@@ -15,9 +15,9 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators.audit import completeness, landed_pages, newest_pages, offset_gaps
+from strata.operators.audit import SWEEP, completeness, landed_pages, newest_pages, offset_gaps, with_runs
 from strata.operators.flatten import flatten
 from strata.operators.quality import observe_rules, quarantine, silver
 from strata.operators.salvage import damaged_records, with_salvaged
@@ -88,11 +88,9 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
         layers.corrupt[spec.name] = write_version(corrupt_documents(bronze), c_path)
         d_path = f"{out_root}/quarantine/{spec.category}_{spec.name}_records"
         layers.damaged[spec.name] = write_version(damaged_records(bronze, spec), d_path)
-        # Landing audits: a sweep is one endpoint's pages of a day, of a month
-        # for reference feeds (theirs may run past midnight).
-        sweep = ["category", "entity", "endpoint", "period"]
-        period = F.substring("ingested_at", 1, 7 if spec.category == "ref" else 10)
-        pages = newest_pages(landed_pages(with_salvaged(bronze, spec), spec).withColumn("period", period), sweep)
+        # Landing audits per run of an endpoint, found from when its pages landed.
+        sweep = list(SWEEP)
+        pages = newest_pages(with_runs(landed_pages(with_salvaged(bronze, spec), spec)), sweep)
         a_path = f"{out_root}/audit/{spec.category}_{spec.name}"
         layers.audits[spec.name] = {
             "completeness": write_version(completeness(pages, sweep, recovered="recovered"), f"{a_path}_completeness"),

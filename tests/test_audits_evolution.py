@@ -1,10 +1,12 @@
 """Landing audits from bronze, and schema evolution at the record level."""
 
 import dataclasses
+import random
 
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from strata.operators.audit import SWEEP, completeness, newest_pages, offset_gaps, with_runs
 from strata.operators.flatten import flatten
 from strata.plans.feeds import AIRPORTS, FLIGHTS
 from strata.plans.medallion import refresh
@@ -57,12 +59,81 @@ def test_sweeps_of_two_hubs_and_two_runs_are_audited_apart(spark, tmp):
     _hub_page(landing, "lookup", 7, None, 40, 60, limit=40)
     layers = refresh(spark, landing, out, (FLIGHTS,), with_gold=False)
     a = layers.audits["flights"]
-    got = {r.endpoint: (r.n_pages, r.n_records, r.total_count, r.missing_records, r.complete)
+    got = {(r.endpoint, r.run_start.hour): (r.n_pages, r.n_records, r.total_count, r.missing_records, r.complete)
            for r in spark.read.parquet(a["completeness"]).collect()}
-    assert got == {"departures/AAA": (2, 100, 150, 50, False), "departures/BBB": (2, 100, 100, 0, True),
-                   "departures/lookup": (1, 40, 60, 20, False)}
-    gaps = sorted((r.endpoint, r.gap_start, r.gap_end) for r in spark.read.parquet(a["gaps"]).collect())
-    assert gaps == [("departures/AAA", 50, 100), ("departures/lookup", 40, 60)]
+    assert got == {("departures/AAA", 7): (2, 100, 150, 50, False), ("departures/AAA", 12): (1, 50, 150, 100, False),
+                   ("departures/BBB", 7): (2, 100, 100, 0, True), ("departures/lookup", 7): (1, 40, 60, 20, False)}
+    gaps = sorted((r.endpoint, r.run_start.hour, r.gap_start, r.gap_end) for r in spark.read.parquet(a["gaps"]).collect())
+    assert gaps == [("departures/AAA", 7, 50, 100), ("departures/AAA", 12, 50, 150), ("departures/lookup", 7, 40, 60)]
+
+
+def test_route_files_without_endpoint_are_sweeps_of_their_own(spark, tmp):
+    landing, out = f"{tmp}/landing", f"{tmp}/out"
+    for i, (n, total) in enumerate([(7, 9), (4, 4), (5, 5)]):
+        write(landing, "ops", "flights", "2024-03-01", f"route_{i}.json", flights_doc(
+            "2024-03-01 06:00:00", f"route{i}", [flight(number=str(100 * i + j)) for j in range(n)], total=total))
+    _hub_page(landing, "AAA", 6, 0, 50, 50)
+    a = refresh(spark, landing, out, (FLIGHTS,), with_gold=False).audits["flights"]
+    got = sorted((r.document or "", r.n_records, r.total_count, r.missing_records, r.complete)
+                 for r in spark.read.parquet(a["completeness"]).collect())
+    assert got == [("", 50, 50, 0, True), ("route0", 7, 9, 2, False), ("route1", 4, 4, 0, True), ("route2", 5, 5, 0, True)]
+    assert [(r.document, r.gap_start, r.gap_end) for r in spark.read.parquet(a["gaps"]).collect()] == [("route0", 7, 9)]
+
+
+PAGES = ("category string, entity string, endpoint string, batch_id string, ingested_at string, page_offset bigint, "
+         "page_limit int, n_records bigint, total_count bigint")
+
+
+def _audited(spark, rows):
+    """Rows of (endpoint, ingested_at, offset, limit, records, total): both audits."""
+    df = spark.createDataFrame([("ops", "x", e, f"b{i}", at, o, lim, n, t) for i, (e, at, o, lim, n, t) in enumerate(rows)], PAGES)
+    pages = newest_pages(with_runs(df), SWEEP)
+    done = completeness(pages, SWEEP, bucket_span=64).collect()
+    gaps = offset_gaps(pages, SWEEP, bucket_span=64).collect()
+    return done, gaps
+
+
+def test_runs_are_found_from_the_data(spark):
+    day = "2024-03-01 {:02d}:{:02d}:00"
+    rows = [("h", day.format(23, 40 + i), 50 * i, 50, 50, 200) for i in range(4)]  # a run of its own
+    rows += [("h", "2024-03-02 00:05:00", 150, 50, 50, 200)]  # a page again past midnight: the same run
+    rows += [("h", "2024-03-02 06:00:00", 0, 50, 50, 150), ("h", "2024-03-02 06:20:00", 100, 50, 50, 150)]
+    rows += [("h", "not a time", 0, 50, 50, 50), (None, "2024-03-02 06:00:00", None, None, 3, 4)]
+    done, gaps = _audited(spark, rows)
+    got = {(str(r.run_start), r.document, r.n_pages, r.n_records, r.missing_records, r.complete) for r in done}
+    assert got == {("2024-03-01 23:40:00", None, 4, 200, 0, True), ("2024-03-02 06:00:00", None, 2, 100, 50, False),
+                   ("2024-03-02 06:00:00", "b8", 1, 3, 1, False), ("None", None, 1, 50, 0, True)}
+    assert {(r.document, r.gap_start, r.gap_end) for r in gaps} == {(None, 50, 100), ("b8", 3, 4)}
+
+
+def test_overlapping_pages_are_not_complete_and_gapped(spark):
+    at = "2024-03-01 07:00:00"
+    done, gaps = _audited(spark, [("e", at, 0, 25, 25, 150), ("e", at, 25, 25, 25, 150), ("e", at, 41, 50, 50, 150), ("e", at, 91, 50, 50, 150)])
+    assert [(r.n_records, r.missing_records, r.complete) for r in done] == [(150, 9, False)]
+    assert [(r.gap_start, r.gap_end) for r in gaps] == [(141, 150)]
+
+
+def test_audits_agree_with_a_set_of_offsets(spark):
+    r = random.Random(7)
+    rows, want = [], {}
+    for e in range(40):
+        total, covered, limited = r.randint(1, 400), set(), []
+        for o in r.sample(range(0, 400, 5), r.randint(1, 30)):
+            limit = r.randint(1, 60)
+            limited.append((f"e{e}", "2024-03-01 07:00:00", o, limit, limit, total))
+            covered |= set(range(o, o + limit))
+        rows += limited
+        # Coverage counts offsets up to the total only where pages end there; what lies beyond is the feed's own.
+        want[f"e{e}"] = (len(covered), sorted(set(range(total)) - covered))
+    done, gaps = _audited(spark, rows)
+    missing = {}
+    for g in gaps:
+        missing.setdefault(g.endpoint, []).extend(range(g.gap_start, g.gap_end))
+    for x in done:
+        n, holes = want[x.endpoint]
+        inside = sorted(h for h in missing.get(x.endpoint, []) if h < x.total_count)
+        assert inside == holes
+        assert x.missing_records == max(0, x.total_count - n)
 
 
 def test_mistyped_side_fields_keep_their_records(spark, tmp):
