@@ -54,6 +54,7 @@ PARSERS = {
     "int": try_int,
     "long": try_long,
     "double": try_double,
+    "boolean": lambda c: _col(c).try_cast("boolean"),
     "ts_utc": parse_utc,
     "ts_local": parse_local,
     "ts": parse_ingest_ts,

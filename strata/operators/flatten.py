@@ -30,8 +30,9 @@ def _record_list(df: DataFrame, spec: FeedSpec) -> Column:
 def explode_records(df: DataFrame, spec: FeedSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per record; a document with an empty, NULL or unparsable list
     gives one row with a NULL record (``explode_outer``, SURVEY G9)."""
+    unknown = [F.col("unknown")] if any(f.path.startswith("?") for f in spec.fields) else []
     return df.select(
-        F.col("ingestion_metadata").alias(META),
+        F.col("ingestion_metadata").alias(META), *unknown,
         *[F.col(k) for k in keep],
         F.explode_outer(_record_list(df, spec)).alias(NODE),
     )
@@ -40,6 +41,11 @@ def explode_records(df: DataFrame, spec: FeedSpec, keep: tuple[str, ...] = ()) -
 def field_column(f: Field) -> Column:
     if f.path.startswith("@"):
         source = F.col(f"{META}.{f.path[1:]}")
+    elif f.path.startswith("?"):
+        place, _, name = f.path[1:].partition(".")
+        # Raw JSON text of a string keeps its quotes; everything else is read as it stands.
+        raw = F.col(f"unknown.{place}")[name]
+        source = F.when(raw.startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), raw, F.lit("}")), "$.v")).otherwise(raw)
     elif f.kind == "name":
         source = en_name(NODE, f.path)
     else:

@@ -28,10 +28,11 @@ from strata.operators.salvage import salvaged_documents, with_salvaged
 from strata.plans import tablefeeds as tf
 from strata.session import scratch_path
 from strata.sources.bronze import envelope_schema, read_bronze
+from strata.sources.discover import appeared, draft_feed, evolve, recall, remember
 from strata.sources.landing import (document_name, envelope_json, ingestion_metadata, pages_by_key_range,
                                     with_position_pages,
                                     partition_folder, to_pages, write_landing, write_landings)
-from strata.sources.tables import table, write_table
+from strata.sources.tables import read_evolved, table, write_table
 from strata.spec import Dim, FeedSpec, Field, Rule
 from strata.streaming.ingest import bronze_path, ingest_feeds, landing_path
 from strata.streaming.latest import compact_latest, read_latest, start_latest
@@ -225,6 +226,52 @@ SELECT event_id, user_id, event_type, value, CASE WHEN late THEN props END AS pr
 FROM e"""
 
 
+def q04c_appearing_columns(spark, d):
+    """Three batches of event pages; the second brings a new record field, the third
+    two more, nested, and new fields in envelope and resource.  After each batch the
+    columns that appeared are found in its documents and remembered; its rows are
+    appended to one stored table, read with all columns: NULL where a row is older."""
+    root = scratch_path(spark, "q04c")
+    spec = tf.EVENTS_FEED
+    land, columns, staged = landing_path(f"{root}/landing", spec), f"{root}/columns", f"{root}/staged"
+    ev = _t(spark, d, "events")
+    _, resource, plural, singular = spec.array_path.split(".")
+    base = [F.col(c).cast("string").alias(n) for n, c in (("EventId", "event_id"), ("UserId", "user_id"), ("Type", "event_type"),
+                                                          ("Value", "value"))]
+    later = [base, [*base, F.hour("ts").alias("Hour")],
+             [*base, F.hour("ts").alias("Hour"),
+              F.struct((F.col("user_id") % 2 == 0).alias("Even"), (F.col("event_id") / 4).alias("Quarter")).alias("Info")]]
+    batch = F.when(F.col("ts") < F.lit(tf.EVOLVED_FROM).cast("timestamp_ntz"), 0).when(
+        F.col("ts") < F.lit(tf.EVOLVED_AGAIN).cast("timestamp_ntz"), 1).otherwise(2)
+    for i, fields in enumerate(later):
+        ts = F.to_timestamp(F.lit(tf.SWEEP_TS)) + F.expr(f"INTERVAL {i} DAYS")
+        meta = ingestion_metadata("ops", spec.name, ts, tf.SCRIPT, offset=F.col("page_offset"), limit=spec.page_size)
+        page = pages_by_key_range(ev, "event_id", spec.page_size).alias("page_offset")
+        pages = to_pages(ev.filter(batch == i).select("*", page), ["page_offset"], F.struct(*fields), F.col("event_id"))
+        doc = envelope_json(F.col("records"), resource, plural, singular, meta)
+        if i == 2:
+            doc = F.regexp_replace(doc, r"^\{", '{"revision":2,"channel":"b",')
+            doc = F.regexp_replace(doc, r'"Meta":\{', '"Checked":true,"Meta":{')
+        write_landing(pages.select(doc.alias("document"), partition_folder("ops", ts).alias("folder")), land)
+        paths = ingest_feeds(spark, [spec], f"{root}/landing", root)
+        day = F.date_add(F.to_date(F.lit(tf.SWEEP_TS)), i)
+        new = read_bronze(spark, paths[spec.name], spec).where(F.col("ingest_date") == day)
+        known = recall(spark, columns, spec)
+        found = appeared(new, known)
+        remember(spark, columns, spec, found)
+        write_table(flatten(new, evolve(known, found)), staged, mode="append")
+    now = recall(spark, columns, spec)
+    return read_evolved(spark, staged, now).select(*[f.name for f in now.fields])
+
+
+Q04C_SQL = f"""WITH e AS (SELECT *, CASE WHEN ts < TIMESTAMP '{tf.EVOLVED_FROM}' THEN 0
+    WHEN ts < TIMESTAMP '{tf.EVOLVED_AGAIN}' THEN 1 ELSE 2 END AS batch FROM events)
+SELECT event_id, user_id, event_type, value, CAST(NULL AS VARCHAR) AS props, CASE WHEN batch >= 1 THEN CAST(hour(ts) AS BIGINT) END AS hour,
+  CASE WHEN batch = 2 THEN user_id % 2 = 0 END AS info_even, CASE WHEN batch = 2 THEN event_id / 4 END AS info_quarter,
+  CASE WHEN batch = 2 THEN CAST(2 AS BIGINT) END AS revision, CASE WHEN batch = 2 THEN 'b' END AS channel,
+  CASE WHEN batch = 2 THEN true END AS checked FROM e"""
+
+
 def _line_pages(lines: DataFrame, order_key: str = "l_orderkey", distinct: bool = True) -> DataFrame:
     """Per order, pages of at most 50 distinct lines (line numbers 1-50 on
     page 0, 51-100 on page 1, ...): bounded whatever the order size, and
@@ -279,6 +326,23 @@ Q05_SQL = """SELECT l_orderkey, count(DISTINCT l_linenumber) AS n_lines,
 FROM lineitem GROUP BY l_orderkey"""
 
 
+def q05b_drafted_feed(spark, d):
+    """The order-line feed drafted from its pages, some of which hold a lone object and
+    some an array, then used to read them."""
+    lines = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    pages = _line_pages(lines, distinct=False).withColumnRenamed("l_orderkey", "o_orderkey")
+    path = scratch_path(spark, "q05b")
+    write_table(_order_line_docs(pages, single_as_object=True).select("document"), path)
+    docs = spark.read.parquet(path)
+    spec = draft_feed(docs, "order_lines", "ops", key=("OrderKey",), column=lambda p: "l_" + p.lower())
+    return flatten(_parsed(docs, spec), spec).select("l_orderkey", "l_linenumber", F.lit(spec.array_path).alias("array_path"),
+                                                     F.lit(",".join(f.kind for f in spec.fields)).alias("kinds"))
+
+
+Q05B_SQL = """SELECT DISTINCT l_orderkey, l_linenumber, 'payload.OrderLineResource.OrderLines.OrderLine' AS array_path,
+  'long,int' AS kinds FROM lineitem"""
+
+
 def q06_explode_outer_empty(spark, d):
     orders = _t(spark, d, "orders").select("o_orderkey")
     lines = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
@@ -976,7 +1040,9 @@ QUERIES: dict[str, Query] = {
     "q03_ref_factory": q03_ref_factory,
     "q04_schema_evolution": q04_schema_evolution,
     "q04b_envelope_evolution": q04b_envelope_evolution,
+    "q04c_appearing_columns": q04c_appearing_columns,
     "q05_normalize_single": q05_normalize_single,
+    "q05b_drafted_feed": q05b_drafted_feed,
     "q06_explode_outer_empty": q06_explode_outer_empty,
     "q07_flatten_ops": q07_flatten_ops,
     "q08_flatten_ref": q08_flatten_ref,
@@ -1013,7 +1079,9 @@ ORACLE_SQL: dict[str, str] = {
     "q03_ref_factory": Q03_SQL,
     "q04_schema_evolution": Q04_SQL,
     "q04b_envelope_evolution": Q04B_SQL,
+    "q04c_appearing_columns": Q04C_SQL,
     "q05_normalize_single": Q05_SQL,
+    "q05b_drafted_feed": Q05B_SQL,
     "q06_explode_outer_empty": Q06_SQL,
     "q07_flatten_ops": Q07_SQL,
     "q08_flatten_ref": Q08_SQL,

@@ -211,6 +211,8 @@ HUB_EVENT_TYPES = ("click", "purchase")
 HUB_SINCE = "2024-01-15 00:00:00"
 # Events of the second batch carry the new ``props`` column.
 EVOLVED_FROM = "2024-01-16 00:00:00"
+# Events of a third batch carry more.
+EVOLVED_AGAIN = "2024-01-24 00:00:00"
 
 EVENT_NODE = StructType([StructField(n, StringType()) for n in ("EventId", "UserId", "Type", "Value", "Props")])
 EVENTS_FEED = FeedSpec(

@@ -6,6 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strata.functions.typed import parse
+from strata.spec import FeedSpec
+
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A parquet table ``<root>/<name>.parquet``; column pruning and filter
@@ -22,6 +25,15 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     w.parquet(path)
 
 
+def read_evolved(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
+    """Staged rows that were appended while their feed gained columns: read under the
+    feed's own columns and types, NULL where a file is older than a column.  No file
+    footers are merged."""
+    empty = spark.range(0).select(*[F.lit(None).cast("string").alias(f.name) for f in spec.fields])
+    schema = empty.select(*[parse(f.kind, f.name).alias(f.name) for f in spec.fields]).schema
+    return spark.read.schema(schema).parquet(path)
+
+
 MARKERS = "_committed"
 
 

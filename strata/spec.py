@@ -22,9 +22,10 @@ class Field:
     """One output column of a flattened record.
 
     ``path`` is relative to the record node (``Departure.AirportCode``) or, when
-    it starts with ``@``, to the envelope metadata (``@ingested_at``).
+    it starts with ``@``, to the envelope metadata (``@ingested_at``), or, with
+    ``?envelope.`` or ``?resource.``, to a field kept there in ``unknown``.
     ``kind`` selects the NULL-on-error parser applied to the text:
-    string | int | long | double | ts_utc | ts_local | ts | name.
+    string | int | long | double | boolean | ts_utc | ts_local | ts | name.
     """
 
     name: str
