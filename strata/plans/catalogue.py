@@ -26,6 +26,7 @@ from strata.operators.quality import (dq_metrics, expect_flags, partition_split,
                                       silver_by)
 from strata.operators.salvage import salvaged_documents, with_salvaged
 from strata.plans import tablefeeds as tf
+from strata.plans.incremental import EPOCH, PART, Layout, refresh_changes, touched_parts
 from strata.session import scratch_path
 from strata.sources.bronze import envelope_schema, read_bronze
 from strata.sources.discover import appeared, draft_feed, evolve, recall, remember
@@ -1034,6 +1035,54 @@ Q28_SQL = """SELECT d.doc_id, d.lang, d.source, coalesce(l.quality, -1) AS quali
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 
+def _corrected_lines(spark, d, root):
+    """Lines land twice: all of them, then corrected ones of the newest orders; layers
+    are brought up to date after each drop."""
+    spec = tf.CHECKED_LINES_FEED
+    li = _t(spark, d, "lineitem")
+    top = li.agg(F.max("l_orderkey")).scalar()
+    span = li.agg(F.max("l_orderkey")).first()[0] // tf.SILVER_PARTS + 1
+    newest = F.col("l_orderkey") >= top - F.floor(top / tf.CORRECTED_SHARE)
+    again = li.where(newest).withColumn("l_quantity", F.col("l_quantity") + tf.CORRECTION)
+    layouts = {spec.name: Layout(by=f"l_orderkey div {span}")}
+    runs = []
+    for drop_no, lines in ((1, li), (2, again)):
+        write_landing(_lines_drop_documents(lines, drop_no), landing_path(f"{root}/landing", spec))
+        runs.append(refresh_changes(spark, f"{root}/landing", root, [spec], layouts)[spec.name])
+    return runs
+
+
+def q30_changed_parts(spark, d):
+    """Silver lines after two drops, and whether the second one rewrote their part."""
+    second = _corrected_lines(spark, d, scratch_path(spark, "q30"))[1]
+    return second.read(spark).select(
+        *[F.col(c) for c in tf.LINE_COLUMNS if c != "l_shipdate"], wall_clock("l_shipdate").alias("l_shipdate"),
+        F.col(PART).isin(touched_parts(spark, second)).alias("rewritten"))
+
+
+_CORRECTED_SQL = f"""WITH m AS (SELECT max(l_orderkey) AS top, max(l_orderkey) // {tf.SILVER_PARTS} + 1 AS span FROM lineitem),
+drops AS (SELECT *, 1 AS drop_no FROM lineitem UNION ALL
+  SELECT lineitem.* REPLACE (l_quantity + {tf.CORRECTION} AS l_quantity), 2 FROM lineitem, m WHERE l_orderkey >= top - top // {tf.CORRECTED_SHARE})"""
+
+Q30_SQL = _CORRECTED_SQL + f""",
+newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {', '.join(tf.LINE_KEY)} ORDER BY drop_no DESC,
+  {_order_sql(list(tf.LINE_ORDER) + _LINE_TIES)}) AS rn FROM drops) WHERE rn = 1)
+SELECT {', '.join(tf.LINE_COLUMNS)}, l_orderkey // span IN (SELECT l_orderkey // span FROM drops, m WHERE drop_no = 2) AS rewritten
+FROM newest, m WHERE l_quantity < 50"""
+
+
+def q30b_stream_metrics(spark, d):
+    """Rule counts of each epoch's rows, as the stream stored them."""
+    second = _corrected_lines(spark, d, scratch_path(spark, "q30b"))[1]
+    return spark.read.parquet(second.metrics).select("feed", F.col(EPOCH).cast("bigint").alias("epoch"), "rule", "action", "n_pass", "n_fail")
+
+
+Q30B_SQL = _CORRECTED_SQL + "\n" + "\nUNION ALL\n".join(
+    f"SELECT 'lines' AS feed, CAST(drop_no - 1 AS BIGINT) AS epoch, '{r.name}' AS rule, '{r.action}' AS action, "
+    f"count(*) FILTER (WHERE {r.sql}) AS n_pass, count(*) FILTER (WHERE NOT coalesce({r.sql}, false)) AS n_fail FROM drops GROUP BY drop_no"
+    for r in tf.CHECKED_LINES_FEED.rules)
+
+
 QUERIES: dict[str, Query] = {
     "q01_landing_envelope": q01_landing_envelope,
     "q02_bronze_stream": q02_bronze_stream,
@@ -1071,6 +1120,8 @@ QUERIES: dict[str, Query] = {
     "q27_bad_record_isolation": q27_bad_record_isolation,
     "q28_label_enrich": q28_label_enrich,
     "q29_record_salvage": q29_record_salvage,
+    "q30_changed_parts": q30_changed_parts,
+    "q30b_stream_metrics": q30b_stream_metrics,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -1110,4 +1161,6 @@ ORACLE_SQL: dict[str, str] = {
     "q27_bad_record_isolation": Q27_SQL,
     "q28_label_enrich": Q28_SQL,
     "q29_record_salvage": Q29_SQL,
+    "q30_changed_parts": Q30_SQL,
+    "q30b_stream_metrics": Q30B_SQL,
 }

@@ -161,8 +161,8 @@ REFERENCE_MAX_ROWS = 200_000
 
 
 def gold_flights(flights: DataFrame, airports: DataFrame, airlines: DataFrame,
-                 aircraft: DataFrame, countries: DataFrame) -> DataFrame:
-    """The enriched flight fact (13 columns).  ``country`` is the destination's
+                 aircraft: DataFrame, countries: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The enriched flight fact (13 columns, and those of the flights named in ``keep``).  ``country`` is the destination's
     country (G13); only aircraft columns get defaults (G14)."""
     from strata.operators.enrich import star_left_join
 
@@ -187,5 +187,5 @@ def gold_flights(flights: DataFrame, airports: DataFrame, airlines: DataFrame,
         F.hour("sch_dep_utc").alias("dep_hour"),
         F.col("time_status").alias("raw_time_status"),
         flight_status("time_status", "status_code").alias("operational_status"),
-        "ingested_at",
+        "ingested_at", *keep,
     )

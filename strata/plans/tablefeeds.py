@@ -12,6 +12,7 @@ groups below are parameters of the catalogue.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -144,6 +145,15 @@ LINES_FEED = FeedSpec(
 )
 
 
+# The lines feed with checks, for change-driven layers.
+CHECKED_LINES_FEED = dataclasses.replace(LINES_FEED, rules=(
+    Rule("small_quantity", "l_quantity < 50"), Rule("has_discount", "l_discount > 0", action="warn")))
+SILVER_PARTS = 64
+# Lines of the newest hundredth of orders come again with this much more quantity.
+CORRECTED_SHARE = 100
+CORRECTION = 10
+
+
 def line_record(li: DataFrame) -> Column:
     return F.struct(
         F.col("l_orderkey").cast("string").alias("OrderKey"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from strata.functions.typed import parse
 from strata.spec import FeedSpec
@@ -25,13 +26,20 @@ def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     w.parquet(path)
 
 
+def evolved_schema(spark: SparkSession, spec: FeedSpec) -> StructType:
+    """The types of a feed's staged columns, and of its computed key."""
+    empty = spark.range(0).select(*[F.lit(None).cast("string").alias(f.name) for f in spec.fields])
+    typed = empty.select(*[parse(f.kind, f.name).alias(f.name) for f in spec.fields])
+    if spec.key_expr is not None:
+        typed = typed.withColumn(spec.key[0], spec.key_expr())
+    return StructType([StructField(f.name, f.dataType) for f in typed.schema])
+
+
 def read_evolved(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
     """Staged rows that were appended while their feed gained columns: read under the
     feed's own columns and types, NULL where a file is older than a column.  No file
     footers are merged."""
-    empty = spark.range(0).select(*[F.lit(None).cast("string").alias(f.name) for f in spec.fields])
-    schema = empty.select(*[parse(f.kind, f.name).alias(f.name) for f in spec.fields]).schema
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(evolved_schema(spark, spec)).parquet(path)
 
 
 MARKERS = "_committed"
