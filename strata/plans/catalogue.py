@@ -28,14 +28,16 @@ from strata.operators.salvage import salvaged_documents, with_salvaged
 from strata.plans import tablefeeds as tf
 from strata.plans.incremental import EPOCH, PART, Layout, refresh_changes, touched_parts
 from strata.session import scratch_path
-from strata.sources.bronze import envelope_schema, read_bronze
+from strata.sources.bronze import envelope_schema, read_bronze, read_landing
+from strata.sources.catalog import save_bucketed
 from strata.sources.discover import appeared, draft_feed, evolve, recall, remember
-from strata.sources.landing import (document_name, envelope_json, ingestion_metadata, pages_by_key_range,
+from strata.sources.landing import (document_name, envelope_json, ingestion_metadata, name_of, pages_by_key_range,
                                     with_position_pages,
-                                    partition_folder, to_pages, write_landing, write_landings)
+                                    partition_folder, to_pages, write_landing, write_landings, write_named_landing)
 from strata.sources.tables import read_evolved, table, write_table
 from strata.spec import Dim, FeedSpec, Field, Rule
 from strata.streaming.ingest import bronze_path, ingest_feeds, landing_path
+from strata.streaming.ledger import LOAD, current_documents, ingest_changed
 from strata.streaming.latest import compact_latest, read_latest, start_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -491,6 +493,25 @@ Q12B_SQL = (_STAGED_CTE + f", good AS (SELECT * FROM staged WHERE {_LINE_DROP_SQ
             + _latest_sql("good", tf.STAGED_LINE_COLUMNS, _STAGED_TIES))
 
 
+BUCKETS = 16
+
+
+def _bucketed(spark, df, name, key):
+    path = scratch_path(spark, name)
+    return save_bucketed(df, f"{name}_{path.rsplit('-', 1)[1]}", [key], BUCKETS, path)
+
+
+def _bucketed_silver_lines(spark, d):
+    """Silver lines from a catalog table of staged lines in buckets of their order."""
+    staged = _bucketed(spark, tf.staged_lines(_t(spark, d, "lineitem")), "staged_lines", "l_orderkey")
+    return silver_by(staged, tf.LINE_KEY, tf.LINE_ORDER, tf.LINE_RULES, _STAGED_TIES)
+
+
+def q12c_bucketed_silver(spark, d):
+    """q12 over a bucketed catalog table: no exchange."""
+    return _bucketed_silver_lines(spark, d)
+
+
 def q13_ops_quarantine(spark, d):
     return quarantine(tf.staged_lines(_t(spark, d, "lineitem")), tf.LINE_RULES)
 
@@ -624,8 +645,16 @@ def _line_status():
 def q20_fact_master(spark, d):
     """The gold fact over silver lines: five dimension roles plus the order
     hop that carries the customer key."""
-    fact = _silver_lines(spark, d)
-    orders = _t(spark, d, "orders")
+    return _fact_master(spark, d, _silver_lines(spark, d), _t(spark, d, "orders"))
+
+
+def q20b_bucketed_fact(spark, d):
+    """q20 with lines and orders from catalog tables in buckets of the order key: the
+    fact meets its orders where it lies."""
+    return _fact_master(spark, d, _bucketed_silver_lines(spark, d), _bucketed(spark, _t(spark, d, "orders"), "orders", "o_orderkey"))
+
+
+def _fact_master(spark, d, fact, orders):
     customer = _t(spark, d, "customer")
     supplier = _t(spark, d, "supplier")
     nation = _t(spark, d, "nation")
@@ -1083,6 +1112,55 @@ Q30B_SQL = _CORRECTED_SQL + "\n" + "\nUNION ALL\n".join(
     for r in tf.CHECKED_LINES_FEED.rules)
 
 
+def _named_order_documents(spark, d, corrected: bool):
+    """Order pages with the names of their files; ``corrected`` ones hold another price."""
+    spec = tf.ORDERS_FEED
+    o = _t(spark, d, "orders").withColumn("pg", F.floor(F.col("o_orderkey") / tf.OPS_PAGE))
+    if corrected:  # pages whose first order is urgent are fetched again
+        again = o.groupBy("pg").agg(F.min_by("o_orderpriority", "o_orderkey").alias("first")).where(F.col("first") == tf.LOST_PRIORITY)
+        o = o.join(again.select("pg"), "pg", "left_semi").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    pages = to_pages(o, ["pg"], tf.order_record(o), F.col("o_orderkey"))
+    at = F.to_timestamp(F.lit(tf.SWEEP_TS)) + F.expr("INTERVAL 1 DAY") * F.pmod("pg", F.lit(7))
+    offset = F.col("pg") * tf.OPS_PAGE
+    meta = ingestion_metadata("ops", spec.name, at, tf.SCRIPT, offset=offset, limit=spec.page_size, endpoint="orders")
+    _, resource, plural, singular = spec.array_path.split(".")
+    return pages.select(envelope_json(F.col("records"), resource, plural, singular, meta).alias("document"),
+                        partition_folder("ops", at).alias("folder"), document_name(F.lit("orders"), offset.cast("string")).alias("name"))
+
+
+def q31_rewritten_files(spark, d):
+    """Order pages land as named files; some are fetched again under their names.  The
+    ledger takes those once more and no other; every order is read from its newest file."""
+    root = scratch_path(spark, "q31")
+    spec = tf.ORDERS_FEED
+    land, bronze, ledger = landing_path(f"{root}/landing", spec), f"{root}/bronze", f"{root}/ledger"
+    for corrected in (False, True, None):
+        if corrected is not None:
+            write_named_landing(_named_order_documents(spark, d, corrected), land, "name")
+        ingest_changed(spark, spec, land, bronze, ledger)
+    docs = current_documents(spark, bronze, spec).withColumn("doc_name", name_of(F.col("source_file")))
+    return flatten(docs, spec, keep=("doc_name", LOAD)).select(
+        "o_orderkey", "o_totalprice", "doc_name", F.col(LOAD).cast("bigint").alias("load"))
+
+
+Q31_SQL = f"""WITH p AS (SELECT o_orderkey // 50 AS pg, arg_min(o_orderpriority, o_orderkey) = '{tf.LOST_PRIORITY}' AS again FROM orders GROUP BY 1)
+SELECT o_orderkey, CASE WHEN again THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, 'orders_' || (pg * 50) AS doc_name,
+  CAST(CASE WHEN again THEN 2 ELSE 1 END AS BIGINT) AS load FROM orders JOIN p ON pg = o_orderkey // 50"""
+
+
+def q32_backfill(spark, d):
+    """A day's documents out of the landing tree, by listing that day's folder only."""
+    root = scratch_path(spark, "q32")
+    spec = tf.ORDERS_FEED
+    write_landing(order_documents(spark, d), landing_path(f"{root}/landing", spec))
+    docs = read_landing(spark, spec, landing_path(f"{root}/landing", spec), tf.BACKFILL_DAY, tf.BACKFILL_DAY)
+    return flatten(docs, spec).select("o_orderkey", "o_totalprice")
+
+
+Q32_SQL = _ORDER_PAGES_SQL + f"""
+SELECT o_orderkey, o_totalprice FROM orders JOIN p ON pg = o_orderkey // 50 WHERE fetched = TIMESTAMP '{tf.BACKFILL_DAY}'"""
+
+
 QUERIES: dict[str, Query] = {
     "q01_landing_envelope": q01_landing_envelope,
     "q02_bronze_stream": q02_bronze_stream,
@@ -1101,6 +1179,7 @@ QUERIES: dict[str, Query] = {
     "q11b_max_by": q11b_max_by,
     "q12_ops_silver": q12_ops_silver,
     "q12b_check_then_dedup": q12b_check_then_dedup,
+    "q12c_bucketed_silver": q12c_bucketed_silver,
     "q13_ops_quarantine": q13_ops_quarantine,
     "q14_ref_quarantine": q14_ref_quarantine,
     "q15_ref_silver": q15_ref_silver,
@@ -1109,6 +1188,7 @@ QUERIES: dict[str, Query] = {
     "q18_status_case": q18_status_case,
     "q19_role_playing": q19_role_playing,
     "q20_fact_master": q20_fact_master,
+    "q20b_bucketed_fact": q20b_bucketed_fact,
     "q21_completeness": q21_completeness,
     "q21b_run_completeness": q21b_run_completeness,
     "q22_partition_split": q22_partition_split,
@@ -1122,6 +1202,8 @@ QUERIES: dict[str, Query] = {
     "q29_record_salvage": q29_record_salvage,
     "q30_changed_parts": q30_changed_parts,
     "q30b_stream_metrics": q30b_stream_metrics,
+    "q31_rewritten_files": q31_rewritten_files,
+    "q32_backfill": q32_backfill,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -1142,6 +1224,7 @@ ORACLE_SQL: dict[str, str] = {
     "q11b_max_by": Q11_SQL,
     "q12_ops_silver": Q12_SQL,
     "q12b_check_then_dedup": Q12B_SQL,
+    "q12c_bucketed_silver": Q12_SQL,
     "q13_ops_quarantine": Q13_SQL,
     "q14_ref_quarantine": Q14_SQL,
     "q15_ref_silver": Q15_SQL,
@@ -1150,6 +1233,7 @@ ORACLE_SQL: dict[str, str] = {
     "q18_status_case": Q18_SQL,
     "q19_role_playing": Q19_SQL,
     "q20_fact_master": Q20_SQL,
+    "q20b_bucketed_fact": Q20_SQL,
     "q21_completeness": Q21_SQL,
     "q21b_run_completeness": Q21B_SQL,
     "q22_partition_split": Q22_SQL,
@@ -1163,4 +1247,6 @@ ORACLE_SQL: dict[str, str] = {
     "q29_record_salvage": Q29_SQL,
     "q30_changed_parts": Q30_SQL,
     "q30b_stream_metrics": Q30B_SQL,
+    "q31_rewritten_files": Q31_SQL,
+    "q32_backfill": Q32_SQL,
 }

@@ -215,6 +215,9 @@ QUOTED_SEGMENT = "MACHINERY"
 # Pages whose first customer is in this one have a first record without its closing brace.
 GARBLED_SEGMENT = "HOUSEHOLD"
 
+# The day of the backfill query.
+BACKFILL_DAY = dt.date(2001, 6, 1)
+
 # --- events ------------------------------------------------------------------
 # Event types standing in for hub airports, and the sweep's start time.
 HUB_EVENT_TYPES = ("click", "purchase")

@@ -13,6 +13,9 @@ outside the record list that the schema does not name stay readable in
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, MapType, StringType, StructField, StructType
@@ -65,9 +68,11 @@ def _unknown(document: str, spec: FeedSpec) -> Column:
                     F.map_filter(inner, lambda k, v: k != plural).alias("resource"))
 
 
-def _documents(reader, spec: FeedSpec, path: str) -> DataFrame:
-    """Landed documents under the declared schema, with lineage columns."""
-    lineage = [F.col("_metadata.file_path").alias("source_file")]
+def documents(reader, spec: FeedSpec, path: str | list[str], also: dict[str, Column] | None = None) -> DataFrame:
+    """Landed documents under the declared schema, with lineage columns and those of
+    ``also`` (expressions over ``_metadata``)."""
+    lineage = [F.col("_metadata.file_path").alias("source_file"), *[c.alias(n) for n, c in (also or {}).items()]]
+    names = ["source_file", *(also or {})]
     day = F.to_date(parse_ingest_ts(F.col("ingestion_metadata.ingested_at"))).alias("ingest_date")
     reader = reader.option("recursiveFileLookup", True)
     if not spec.keep_unknown:
@@ -78,8 +83,23 @@ def _documents(reader, spec: FeedSpec, path: str) -> DataFrame:
     parsed = F.from_json("value", envelope_schema(spec),
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return (text.select("value", *lineage).where(F.length(F.trim("value")) > 0)
-            .select(parsed.alias("_d"), _unknown("value", spec).alias(UNKNOWN), "source_file")
-            .select("_d.*", UNKNOWN, "source_file").select("*", day))
+            .select(parsed.alias("_d"), _unknown("value", spec).alias(UNKNOWN), *names)
+            .select("_d.*", UNKNOWN, *names).select("*", day))
+
+
+def read_landing(spark: SparkSession, spec: FeedSpec, path: str, since: dt.date, until: dt.date) -> DataFrame:
+    """Landed documents of the days (months, for reference feeds) from ``since`` to
+    ``until``, both included: a backfill.  Only these folders are listed, whatever else
+    the landing tree holds; folders may be plain or ``folder=`` ones."""
+    days = [since + dt.timedelta(days=n) for n in range((until - since).days + 1)]
+    folders = sorted({d.strftime("%Y-%m" if spec.category == "ref" else "%Y-%m-%d") for d in days})
+    names = ",".join(f"{prefix}{f}" for f in folders for prefix in ("", "folder="))
+    try:
+        return documents(spark.read, spec, f"{path.rstrip('/')}/{{{names}}}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return spark.createDataFrame([], bronze_schema(spec))
 
 
 def stream_landing(spark: SparkSession, spec: FeedSpec, path: str,
@@ -99,7 +119,7 @@ def stream_landing(spark: SparkSession, spec: FeedSpec, path: str,
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return _documents(r, spec, path)
+    return documents(r, spec, path)
 
 
 def start_bronze(spark: SparkSession, spec: FeedSpec, landing: str, bronze: str,
@@ -135,10 +155,14 @@ def read_bronze(spark: SparkSession, path: str, spec: FeedSpec | None = None) ->
     newer files are merged (S6)."""
     if spec is None:
         return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.schema(bronze_schema(spec)).parquet(path)
+
+
+def bronze_schema(spec: FeedSpec) -> StructType:
+    """The columns of a feed's bronze table."""
     unknown = [StructField(UNKNOWN, UNKNOWN_SCHEMA)] if spec.keep_unknown else []
-    declared = StructType(envelope_schema(spec).fields + unknown + [
+    return StructType(envelope_schema(spec).fields + unknown + [
         StructField("source_file", StringType()), StructField("ingest_date", DateType())])
-    return spark.read.schema(declared).parquet(path)
 
 
 def corrupt_documents(bronze: DataFrame) -> DataFrame:

@@ -117,6 +117,24 @@ def write_landing(docs: DataFrame, path: str, text_col: str = "document",
          .write.mode(mode).partitionBy(folder_col).text(path))
 
 
+NAME_FOLDER = "doc_name"
+
+
+def write_named_landing(docs: DataFrame, path: str, name_col: str, text_col: str = "document",
+                        folder_col: str = "folder") -> None:
+    """Write every document as a file of its own under its date folder and name
+    (``folder=<date>/doc_name=<name>/``), as the feed lands its pages.  A document that
+    lands again under its name replaces the earlier file, and no other."""
+    named = docs.select(F.col(text_col).alias("value"), F.col(folder_col).alias("folder"), F.col(name_col).alias(NAME_FOLDER))
+    (named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("folder", NAME_FOLDER).text(path))
+
+
+def name_of(path: Column) -> Column:
+    """The document name that a landed file's path carries; NULL without one."""
+    return F.nullif(F.regexp_extract(path, f"/{NAME_FOLDER}=([^/]+)/", 1), F.lit(""))
+
+
 def write_landings(batches: Sequence[tuple[DataFrame, str]], **options) -> None:
     """Write several feeds' documents at once: each write is its own Spark
     job, submitted from its own driver thread, so the jobs share the cluster

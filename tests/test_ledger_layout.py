@@ -1,0 +1,111 @@
+"""Rewritten files, named files, backfills and bucketed tables."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from strata.operators.flatten import flatten
+from strata.plans import catalogue
+from strata.plans.feeds import AIRPORTS, FLIGHTS
+from strata.sources.bronze import read_landing
+from strata.sources.landing import name_of, write_named_landing
+from strata.streaming.ledger import LOAD, current_documents, ingest_changed, loaded_documents
+from tests.flight_fixtures import envelope, flight, flights_doc, names, write
+
+SF = "/root/testdata/sf0.001"
+
+
+def numbers(spark, bronze):
+    rows = flatten(current_documents(spark, bronze, FLIGHTS), FLIGHTS, keep=(LOAD,)).collect()
+    return sorted((r.flight_number, r[LOAD]) for r in rows)
+
+
+def test_rewritten_files_are_read_once_more(spark, tmp):
+    land, bronze, ledger = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ledger"
+
+    def page(day, name, *flights):
+        write(land, "ops", "flights", day, name, flights_doc(f"{day} 08:00:00", name, [flight(number=n) for n in flights]))
+
+    page("2024-03-01", "a.json", "1", "2")
+    page("2024-03-02", "b.json", "3")
+    assert ingest_changed(spark, FLIGHTS, land, bronze, ledger) == 2
+    assert numbers(spark, bronze) == [(1, 1), (2, 1), (3, 1)]
+    assert ingest_changed(spark, FLIGHTS, land, bronze, ledger) == 0
+    page("2024-03-01", "a.json", "1", "20", "21")  # the same name, rewritten
+    page("2024-03-03", "c.json", "4")
+    assert ingest_changed(spark, FLIGHTS, land, bronze, ledger) == 2
+    assert numbers(spark, bronze) == [(1, 2), (3, 1), (4, 2), (20, 2), (21, 2)]
+    assert loaded_documents(spark, bronze, FLIGHTS).count() == 4
+    # A same-sized rewrite is told by its time.
+    page("2024-03-03", "c.json", "5")
+    os.utime(f"{land}/ops/flights/2024-03-03/c.json", (2_000_000_000, 2_000_000_000))
+    assert ingest_changed(spark, FLIGHTS, land, bronze, ledger) == 1
+    assert (5, 3) in numbers(spark, bronze) and (4, 2) not in numbers(spark, bronze)
+
+
+def test_a_run_lost_before_its_ledger_entry_is_replaced(spark, tmp, monkeypatch):
+    from strata.streaming import ledger as module
+
+    land, bronze, ledger = f"{tmp}/landing", f"{tmp}/bronze", f"{tmp}/ledger"
+    write(land, "ops", "flights", "2024-03-01", "a.json", flights_doc("2024-03-01 08:00:00", "a", [flight(number="1")]))
+    real = module._overwrite_load
+
+    def lost(df, path):
+        if path == ledger:
+            raise RuntimeError("lost")
+        real(df, path)
+
+    monkeypatch.setattr(module, "_overwrite_load", lost)
+    with pytest.raises(RuntimeError):
+        ingest_changed(spark, FLIGHTS, land, bronze, ledger)
+    monkeypatch.undo()
+    write(land, "ops", "flights", "2024-03-01", "b.json", flights_doc("2024-03-01 08:00:00", "b", [flight(number="2")]))
+    assert ingest_changed(spark, FLIGHTS, land, bronze, ledger) == 2
+    assert numbers(spark, bronze) == [(1, 1), (2, 1)]
+    assert loaded_documents(spark, bronze, FLIGHTS).count() == 2
+
+
+def test_names_reach_files(spark, tmp):
+    docs = spark.createDataFrame([("{}", "2024-03-01", "FRA_0800"), ("[]", "2024-03-02", "MUC 09/00")], "document string, folder string, n string")
+    write_named_landing(docs, tmp + "/l", "n")
+    read = spark.read.option("recursiveFileLookup", True).text(tmp + "/l").select("value", name_of(F.col("_metadata.file_path")).alias("n"))
+    assert sorted((r.value, r.n) for r in read.collect())[1] == ("{}", "FRA_0800")
+    write_named_landing(docs.where("n = 'FRA_0800'").withColumn("document", F.lit("{1}")), tmp + "/l", "n")
+    assert sorted(r.value for r in spark.read.option("recursiveFileLookup", True).text(tmp + "/l").collect()) == ["[]", "{1}"]
+
+
+def test_a_backfill_lists_its_days_only(spark, tmp, capsys):
+    for day in ("2024-03-01", "2024-03-02", "2024-03-05"):
+        write(tmp, "ops", "flights", day, "a.json", flights_doc(f"{day} 08:00:00", day, [flight(number=day[-2:])]))
+    write(tmp, "ref", "airports", "2024-03", "a.json", envelope("ref", "airports", "2024-03-01 07:00:00", "r", "AirportResource",
+                                                              "Airports", "Airport", [{"AirportCode": "AAA", "Names": names("A")}]))
+    got = read_landing(spark, FLIGHTS, f"{tmp}/ops/flights", dt.date(2024, 3, 2), dt.date(2024, 3, 4))
+    assert [r.flight_number for r in flatten(got, FLIGHTS).collect()] == [2]
+    got.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "2024-03-02" in plan and "2024-03-01" not in plan and "2024-03-05" not in plan
+    none = read_landing(spark, FLIGHTS, f"{tmp}/ops/flights", dt.date(2025, 1, 1), dt.date(2025, 1, 2))
+    assert none.count() == 0 and none.columns == got.columns
+    assert flatten(read_landing(spark, AIRPORTS, f"{tmp}/ref/airports", dt.date(2024, 3, 30), dt.date(2024, 3, 30)), AIRPORTS).count() == 1
+
+
+def test_bucketed_tables_need_no_exchange_of_the_fact(spark, capsys):
+    queries()["q12c_bucketed_silver"](spark, SF).explain()
+    assert "Exchange" not in capsys.readouterr().out
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        orders = catalogue._bucketed(spark, catalogue._t(spark, SF, "orders"), "orders", "o_orderkey")
+        fact = catalogue._bucketed_silver_lines(spark, SF)
+        fact.join(orders, fact.l_orderkey == orders.o_orderkey, "left").explain()
+        assert "Exchange" not in capsys.readouterr().out
+        # Further dimensions on other keys move the fact, but it never moves for its orders.
+        queries()["q20b_bucketed_fact"](spark, SF).explain()
+        assert "hashpartitioning(l_orderkey" not in capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
