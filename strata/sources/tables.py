@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import uuid
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -43,23 +42,41 @@ def read_evolved(spark: SparkSession, path: str, spec: FeedSpec) -> DataFrame:
 
 
 MARKERS = "_committed"
+KEPT_VERSIONS = 3
+_MARKER = "number bigint, slot int"
+
+
+def _newest(spark: SparkSession, path: str):
+    """(number, slot) of the newest committed version, or None."""
+    try:
+        rows = spark.read.schema(_MARKER).parquet(f"{path}/{MARKERS}")
+    except AnalysisException:
+        return None
+    return rows.agg(F.max(F.struct("number", "slot"))).first()[0]
 
 
 def write_version(df: DataFrame, path: str) -> str:
     """Materialise a layer as a new version of the table at ``path`` and return
     the version's folder.  The version counts once its commit marker is
     written, so readers keep the old one until then, and a failed run leaves
-    it in place.  Older versions can be removed by retention."""
+    it in place.  Versions are numbered and take turns in ``KEPT_VERSIONS``
+    folders, so older ones go by themselves."""
     path = path.rstrip("/")
-    version = f"version-{uuid.uuid4().hex}"
-    df.write.parquet(f"{path}/{version}")
-    (df.sparkSession.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
-     .coalesce(1).write.mode("append").parquet(f"{path}/{MARKERS}"))
-    return f"{path}/{version}"
+    spark = df.sparkSession
+    last = _newest(spark, path)
+    number = last.number + 1 if last else 0
+    slot = number % KEPT_VERSIONS
+    df.write.mode("overwrite").parquet(f"{path}/version-{slot}")
+    marker = spark.range(1).select(F.lit(number).cast("bigint").alias("number"), F.lit(slot).alias("slot"))
+    (marker.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("slot").parquet(f"{path}/{MARKERS}"))
+    return f"{path}/version-{slot}"
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """The newest committed version of a table written by ``write_version``."""
     path = path.rstrip("/")
-    newest = spark.read.parquet(f"{path}/{MARKERS}").agg(F.max_by("version", "at")).first()[0]
-    return spark.read.parquet(f"{path}/{newest}")
+    newest = _newest(spark, path)
+    if newest is None:
+        raise ValueError(f"no committed version at {path}")
+    return spark.read.parquet(f"{path}/version-{newest.slot}")
