@@ -5,10 +5,11 @@ a budget of ``share`` times all sizes.  A target stops at ``limit`` times its
 source's size and the excess is reshared by weight until none is above.
 Whole passes over a source are taken first; the remaining budget is fitted by
 length: documents are counted by exact size, every length gives its
-proportional share, the longest lengths that still fit top the sum up, and a
-bounded-knapsack dynamic programme over the left counts closes the last
-``dp_budget`` words.  Which documents of a length are taken follows a seeded
-hash, so reruns agree.
+proportional share, and a bounded-knapsack dynamic programme over the left
+counts closes all of the rest, whatever its size: a rest beyond ``table_bits``
+words is counted in units (lengths rounded up to them), and what rounding leaves
+is fitted again in smaller ones, down to single words.  Which documents of a
+length are taken follows a seeded hash, so reruns agree.
 
 Scale: documents are reduced to (doc_id, source, size) in one scan and stored.
 Only counts by (source, size, hash bucket) are shuffled for the fit; a source
@@ -18,7 +19,8 @@ the one bucket where a length's quota ends needs the ranks.
 
 Null text has size 0, as has an empty one: such documents are taken in whole
 passes only, which adds no words.  Repeated rows count each.  Null doc_ids
-rank first among equal hashes.  An empty table gives an empty result.  Only
+rank first among equal hashes.  An empty table gives an empty result.  Very long
+texts are counted whole, in one more string of at most their size.  Only
 doc_id, text and source are read; other columns never clash.
 """
 
@@ -35,7 +37,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def word_count(text):
-    return F.coalesce(F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))), F.lit(0)).cast("long")
+    """Words of a text: each becomes one letter, then white space goes."""
+    letters = F.translate(F.regexp_replace(text, WORD, "w"), " \t\n\x0b\x0c\r", "")
+    return F.coalesce(F.length(letters), F.lit(0)).cast("long")
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5,
@@ -63,55 +67,67 @@ def targets(sources: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: f
                     F.coalesce(F.least("cap", F.col("level") * F.col("w")), F.col("cap")).alias("target"))
 
 
-def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, dp_budget: int = 4096) -> np.ndarray:
+TABLE_BITS = 1 << 22
+KEEP_EVERY = 32
+
+
+def best_below(sizes: np.ndarray, room: np.ndarray, goal: int) -> np.ndarray:
+    """How many of each size (at most ``room``) make the largest sum up to ``goal``.
+
+    Reachable sums are the bits of one integer; counts are split into powers of two.
+    Every ``KEEP_EVERY``-th table is kept, those between are made again on the way
+    back, so memory is a fraction of all tables."""
+    take = np.zeros(len(sizes), dtype=np.int64)
+    mask, reach, steps, kept = (1 << (goal + 1)) - 1, 1, [], [1]
+    for i in np.argsort(-sizes):
+        size = int(sizes[i])
+        if not 0 < size <= goal:
+            continue
+        left, part = min(int(room[i]), goal // size), 1
+        while left > 0:
+            part = min(part, left)
+            steps.append((i, part))
+            reach = (reach | reach << (part * size)) & mask
+            if len(steps) % KEEP_EVERY == 0:
+                kept.append(reach)
+            left -= part
+            part *= 2
+        if reach >> goal & 1:
+            break
+    at = reach.bit_length() - 1
+    for block in reversed(range(0, len(steps), KEEP_EVERY)):
+        tables, now = [], kept[block // KEEP_EVERY]
+        for i, part in steps[block:block + KEEP_EVERY]:
+            tables.append(now)
+            now = (now | now << (part * int(sizes[i]))) & mask
+        for (i, part), before in zip(reversed(steps[block:block + KEEP_EVERY]), reversed(tables)):
+            if not before >> at & 1:
+                take[i] += part
+                at -= part * int(sizes[i])
+    return take
+
+
+def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, table_bits: int = TABLE_BITS) -> np.ndarray:
     """How many of each length to take so that the sum comes near ``budget``,
     from below, with at most ``counts`` of each."""
-    take = np.zeros(len(lengths), dtype=np.int64)
     total = int((lengths * counts).sum())
     if budget <= 0 or total <= 0:
-        return take
+        return np.zeros(len(lengths), dtype=np.int64)
     if budget >= total:
         return counts.astype(np.int64)
     take = np.floor(counts * (budget / total)).astype(np.int64)
     left = budget - int((lengths * take).sum())
-    for i in np.argsort(-lengths):
-        if left <= dp_budget:
-            break
-        if lengths[i]:
-            more = min(int(counts[i] - take[i]), (left - dp_budget // 2) // int(lengths[i]))
-            if more > 0:
-                take[i] += more
-                left -= more * int(lengths[i])
-    # Still much left: documents too long to keep words back for the programme.
-    for i in np.argsort(-lengths):
-        if left <= 64 * dp_budget:
-            break
-        if lengths[i]:
-            more = min(int(counts[i] - take[i]), left // int(lengths[i]))
-            take[i] += more
-            left -= more * int(lengths[i])
-    if left <= 0 or left > 64 * dp_budget:  # exact, or nothing fits any more
-        return take
-    # Reachable sums as bits of one integer; counts are split into powers of two.
-    mask, reach, steps = (1 << (left + 1)) - 1, 1, []
-    for i in np.argsort(-lengths):
-        size, room = int(lengths[i]), int(counts[i] - take[i])
-        if size == 0 or size > left or room <= 0:
-            continue
-        room, part = min(room, left // size), 1
-        while room > 0:
-            part = min(part, room)
-            steps.append((i, part, reach))
-            reach = (reach | reach << (part * size)) & mask
-            room -= part
-            part *= 2
-        if reach >> left & 1:
+    while left > 0:
+        unit = -(-left // table_bits)
+        more = best_below(-(-lengths // unit), counts - take, left // unit)
+        if unit > 1 and not more.any():  # rounding up leaves no length that fits: the longest that truly does
+            fits = np.flatnonzero((lengths <= left) & (counts > take) & (lengths > 0))
+            if len(fits):
+                more[fits[np.argmax(lengths[fits])]] = 1
+        gained = int((lengths * more).sum())
+        take, left = take + more, left - gained
+        if unit == 1 or not gained:
             break
-    at = reach.bit_length() - 1
-    for i, part, before in reversed(steps):
-        if not before >> at & 1:
-            take[i] += part
-            at -= part * int(lengths[i])
     return take
 
 

@@ -39,6 +39,43 @@ def test_long_documents_close_a_large_rest(lengths, counts, budget, want):
     assert int((lengths * take).sum()) == want
 
 
+@pytest.mark.parametrize("lengths, counts, budget, want", [
+    ([900_000, 700_000, 650_000], [1, 1, 1], 1_350_000, 1_350_000),
+    ([400_000, 450_000, 700_000], [2, 1, 1], 800_000, 800_000),
+    ([8_388_609], [2], 8_388_609, 8_388_609),
+])
+def test_no_rest_is_too_large_for_the_programme(lengths, counts, budget, want):
+    lengths, counts = np.array(lengths), np.array(counts)
+    assert int((lengths * mixing.fit_counts(lengths, counts, budget)).sum()) == want
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(20_000, 900_000), min_size=3, max_size=6, unique=True), st.integers(1, 2_000_000))
+def test_few_long_documents_are_fitted_exactly(sizes, budget):
+    lengths, counts = np.array(sizes), np.ones(len(sizes), dtype=int)
+    got = int((lengths * mixing.fit_counts(lengths, counts, budget)).sum())
+    sums = [sum(c) for k in range(len(sizes) + 1) for c in itertools.combinations(sizes, k)]
+    assert got == max(x for x in sums if x <= budget)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 40), st.integers(0, 5)), min_size=1, max_size=30, unique_by=lambda x: x[0]),
+       st.integers(1, 700), st.integers(8, 64))
+def test_units_come_near_and_never_above(items, budget, bits):
+    lengths, counts = np.array([x[0] for x in items]), np.array([x[1] for x in items])
+    take = mixing.fit_counts(lengths, counts, budget, table_bits=bits)
+    got = int((lengths * take).sum())
+    assert (take >= 0).all() and (take <= counts).all() and got <= max(budget, 0)
+    # Nothing that is left would still fit.
+    assert got == int((lengths * counts).sum()) or not ((lengths <= budget - got) & (counts > take)).any()
+
+
+def test_words_without_an_array(spark):
+    texts = ["", " ", "a", " a b\tc\nd\x0be\x0cf\rg ", "é\u00a0x w ww", None, "\x1f \x00"]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(mixing.word_count("t").alias("n")).collect()
+    assert [r.n for r in got] == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
+
+
 def by_steps(sizes, weights, share=1.5, limit=2.0):
     """Reshare the excess by weight until no target is above its limit."""
     target, capped = {}, set()
