@@ -131,9 +131,14 @@ WITH p AS (
          TRY_CAST(regexp_extract(url, '/([0-9]+)', 1) AS BIGINT) AS shown FROM pages),
 l AS (SELECT doc_id, CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 WHEN quality IS NOT NULL THEN 0 END AS good
       FROM labels),
-h AS (SELECT host, list_aggregate(string_split(host, '.')[-2:], 'string_agg', '.') AS domain,
-             string_split(host, '.')[-1] AS suffix, count(good)::DOUBLE AS n, coalesce(sum(good), 0)::DOUBLE AS k
-      FROM p LEFT JOIN l ON l.doc_id = shown GROUP BY host),
+b AS (SELECT DISTINCT host, regexp_replace(host, '^.*@|:[0-9]*$', '', 'g') AS bare FROM p),
+b2 AS (SELECT host, bare, regexp_matches(bare, '""" + url_filter.ADDRESS + r"""') AS address, array_to_string(string_split(bare, '.')[-2:], '.') AS two,
+              array_to_string(string_split(bare, '.')[-3:], '.') AS three FROM b),
+names AS (SELECT host, CASE WHEN address THEN bare WHEN two IN (""" + ", ".join(f"'{x}'" for x in url_filter.SUFFIXES) + r""") THEN three ELSE two END AS domain,
+                 CASE WHEN address THEN '(address)' WHEN three <> two AND two IN (""" + ", ".join(f"'{x}'" for x in url_filter.SUFFIXES) + r""") THEN two
+                      ELSE string_split(bare, '.')[-1] END AS suffix FROM b2),
+h AS (SELECT host, any_value(domain) AS domain, any_value(suffix) AS suffix, count(good)::DOUBLE AS n, coalesce(sum(good), 0)::DOUBLE AS k
+      FROM p JOIN names USING (host) LEFT JOIN l ON l.doc_id = shown GROUP BY host),
 d AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM h GROUP BY 1, 2),
 s AS (SELECT suffix, sum(n) AS n, sum(k) AS k FROM d GROUP BY 1),
 s1 AS (SELECT s.*, (SELECT (sum(k) + 1) / (sum(n) + 2) FROM h) AS m FROM s),

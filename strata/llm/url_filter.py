@@ -8,6 +8,10 @@ blocked when even the upper bound of its posterior good rate
 (mean + ``z`` standard deviations) stays below ``min_good``; a host without
 labels takes its domain's, suffix's or the overall posterior.
 
+A registered domain is a suffix and one more label; suffixes of two labels are
+those listed in ``SUFFIXES`` (others count as domains of their last label), and an
+IP address is a domain of its own.  User and port are no part of either.
+
 Everything is DataFrame code.  Counting is pre-aggregated, so a host with a
 third of all pages is one partial row per task; pages meet the host table in
 one join that Spark broadcasts or splits by measured size.
@@ -41,13 +45,39 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def domain_of(host: Column) -> Column:
-    """Registered domain: the last two labels of the host."""
-    return F.substring_index(host, ".", -2)
+# Suffixes of two labels under which strangers register names.
+SUFFIXES = (
+    "co.uk", "org.uk", "ac.uk", "gov.uk", "me.uk", "com.au", "net.au", "org.au", "edu.au", "gov.au", "co.nz", "org.nz",
+    "co.jp", "ne.jp", "or.jp", "ac.jp", "go.jp", "co.kr", "or.kr", "com.cn", "net.cn", "org.cn", "com.tw", "org.tw", "com.hk",
+    "com.sg", "com.my", "co.th", "co.id", "com.vn", "com.ph", "co.in", "org.in", "com.pk", "com.br", "net.br", "org.br", "com.ar",
+    "com.mx", "com.co", "com.pe", "com.tr", "org.tr", "com.ua", "com.pl", "org.pl", "co.il", "org.il", "co.za", "org.za", "com.ng",
+    "co.ke", "com.eg", "com.sa", "github.io", "gitlab.io", "blogspot.com", "wordpress.com", "tumblr.com", "herokuapp.com",
+    "netlify.app", "vercel.app", "pages.dev", "workers.dev", "web.app", "firebaseapp.com", "appspot.com", "azurewebsites.net",
+    "cloudfront.net", "amazonaws.com", "weebly.com", "wixsite.com", "livejournal.com", "substack.com", "medium.com",
+)
+ADDRESS = r"^([0-9]{1,3}\.){3}[0-9]{1,3}$|:|\["
+ADDRESS_SUFFIX = "(address)"
+
+
+def _bare(host: Column) -> Column:
+    """Without user and port."""
+    return F.regexp_replace(host, "^.*@|:[0-9]*$", "")
 
 
 def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+    """The listed suffix of two labels that the host lies under, else its last label.
+    Addresses have a suffix of their own."""
+    bare = _bare(host)
+    two = F.substring_index(bare, ".", -2)
+    return (F.when(bare.rlike(ADDRESS), F.lit(ADDRESS_SUFFIX)).when(two.isin(*SUFFIXES) & (bare != two), two)
+            .otherwise(F.substring_index(bare, ".", -1)))
+
+
+def domain_of(host: Column) -> Column:
+    """Registered domain: the suffix and one more label.  An address is its own."""
+    bare = _bare(host)
+    two = F.substring_index(bare, ".", -2)
+    return (F.when(bare.rlike(ADDRESS), bare).when(two.isin(*SUFFIXES), F.substring_index(bare, ".", -3)).otherwise(two))
 
 
 def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:

@@ -89,6 +89,29 @@ def test_urls(spark):
     assert url_filter.filter_urls(pages.where("false"), outcomes, URL_RULES).count() == 0
 
 
+NAMES = {
+    "a.b.example.org": ("example.org", "org"), "shop.co.uk": ("shop.co.uk", "co.uk"), "www.shop.co.uk": ("shop.co.uk", "co.uk"),
+    "co.uk": ("co.uk", "uk"), "me.github.io": ("me.github.io", "github.io"), "x.me.github.io:8080": ("me.github.io", "github.io"),
+    "10.0.3.4": ("10.0.3.4", "(address)"), "u@10.1.3.4:80": ("10.1.3.4", "(address)"), "[::1]:80": ("[::1]", "(address)"),
+    "localhost": ("localhost", "localhost"), "": ("", ""), "1.2.3": ("2.3", "3"),
+}
+
+
+def test_registered_domains(spark):
+    df = spark.createDataFrame([(h,) for h in NAMES], "host string")
+    got = df.select("host", url_filter.domain_of(F.col("host")).alias("d"), url_filter.suffix_of(F.col("host")).alias("s")).collect()
+    assert {r.host: (r.d, r.s) for r in got} == NAMES
+
+
+def test_strangers_under_one_suffix_are_apart(spark):
+    bad = [(f"http://p{i}.bad.co.uk/x", 0) for i in range(30)]
+    good = [(f"http://p{i}.fine.co.uk/x", 1) for i in range(30)]
+    pages = spark.createDataFrame([(1, "http://new.bad.co.uk/"), (2, "http://new.fine.co.uk/"), (3, "http://10.0.0.1/")], "page_id long, url string")
+    outcomes = spark.createDataFrame(bad + good + [("http://10.9.0.1/", 0)] * 40, "url string, good int")
+    got = {r.page_id: (r.verdict, r.good_rate) for r in url_filter.filter_urls(pages, outcomes, ()).collect()}
+    assert got[1][0] == "block" and got[2][0] == "allow" and got[1][1] < 0.1 < 0.9 < got[2][1]
+
+
 def test_reputation_shrinks_towards_the_domain(spark):
     hosts = spark.createDataFrame([("a.bad.net", 200, 0), ("b.bad.net", 200, 4), ("new.bad.net", 0, 0), ("one.good.net", 1, 0),
                                    ("a.good.net", 300, 299), ("b.good.net", 300, 300)], "host string, n long, k long")
