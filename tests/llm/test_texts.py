@@ -1,6 +1,7 @@
 """Token counts and SentencePiece ids against the libraries themselves."""
 
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
@@ -95,3 +96,19 @@ def test_empty_table(spark):
     none = rows(spark).where("false")
     assert token_count.count_tokens(none, BPE).count() == 0
     assert pieces.encode(none, MODEL).count() == 0
+
+
+def test_other_scripts_go_through_both_tiers(spark, bpe, monkeypatch):
+    r = random.Random(2)
+    words = ["Привет", "мир", "—", "“цитата”", "日本語", "été", "don’t", "it's", "x", "<|endoftext|>", "ＡＢ", "I\u0307", "42"]
+    rows = [(i, " ".join(r.choices(words, k=r.randint(0, 50)))) for i in range(120)] + [(None, None), (500, ""), (501, "<|startoftext|>" * 3)]
+    df = spark.createDataFrame([x + ("tok", 1) for x in rows], "doc_id long, text string, token string, n int")
+    want = sorted((str(i), len(bpe.encode(t, add_special_tokens=False).ids) if t else 0) for i, t in rows)
+    got = token_count.count_tokens(df, BPE).collect()
+    assert sorted((str(g.doc_id), g.n_tokens) for g in got) == want
+    table = token_count.frequent_lengths(df, SPEC, 1000, 1000)
+    assert any(k.startswith(token_count.Splitter.MARK) for k in table)
+    # With the table no text is encoded at all.
+    lengths = token_count.Lengths(SPEC, table)
+    monkeypatch.setattr(token_count, "_count", None)
+    assert sorted((str(i), token_count.count_text(t, lengths)) for i, t in rows) == want
