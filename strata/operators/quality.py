@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from strata.operators.dedupe import latest, ordering_columns
 from strata.session import scratch_path
@@ -63,6 +63,16 @@ def observe_rules(df: DataFrame, rules: Sequence[Rule], name: str = "dq") -> tup
     return df.observe(obs, *metrics), obs
 
 
+COUNTS = "feed string, rule string, action string, n_pass bigint, n_fail bigint"
+
+
+def counts_table(spark: SparkSession, feed: str, observed: dict, rules: Sequence[Rule]) -> DataFrame:
+    """An observation's counts as rows (``COUNTS``), one a rule."""
+    rows = [(feed, r.name, r.action, observed[f"{r.name}_pass"], observed["rows"] - observed[f"{r.name}_pass"])
+            for r in rules if r.sql]
+    return spark.createDataFrame(rows, COUNTS).coalesce(1)
+
+
 def dq_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(rule, action, n_pass, n_fail): a pass is TRUE, a fail FALSE or NULL.
     Quarantine-only rules are counted by their quarantine predicate."""

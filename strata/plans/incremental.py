@@ -33,7 +33,7 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from strata.operators.dedupe import REST, latest
 from strata.operators.flatten import flatten
-from strata.operators.quality import all_pass, observe_rules, quarantine
+from strata.operators.quality import all_pass, counts_table, observe_rules, quarantine
 from strata.operators.salvage import with_salvaged
 from strata.plans.feeds import gold_flights
 from strata.session import scratch_path
@@ -44,8 +44,6 @@ from strata.spec import QUARANTINE, SILVER, FeedSpec
 from strata.streaming.ingest import ingest_feeds
 
 PART, EPOCH, PASSES = "_part", "_epoch", "_passes"
-COUNTS = "feed string, rule string, action string, n_pass bigint, n_fail bigint"
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -143,9 +141,7 @@ def start_changes(spark: SparkSession, spec: FeedSpec, bronze: str, layout: Layo
         if any(QUARANTINE in r.applies_to for r in now.rules):
             _overwrite(quarantine(staged, now.rules).select("*", at), tables.quarantine, EPOCH)
         if observed is not None:
-            got = observed.get
-            counts = [(now.name, r.name, r.action, got[f"{r.name}_pass"], got["rows"] - got[f"{r.name}_pass"]) for r in rules]
-            _overwrite(spark.createDataFrame(counts, COUNTS).coalesce(1).select("*", at), tables.metrics, EPOCH)
+            _overwrite(counts_table(spark, now.name, observed.get, rules).select("*", at), tables.metrics, EPOCH)
         done = spark.createDataFrame([(p,) for p in touched], f"{PART} bigint").coalesce(1)
         _overwrite(done.select("*", at), tables.changes, EPOCH)
         tables.epochs.append(epoch)

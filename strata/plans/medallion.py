@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.audit import SWEEP, completeness, landed_pages, newest_pages, offset_gaps, with_runs
 from strata.operators.flatten import flatten
-from strata.operators.quality import observe_rules, quarantine, silver
+from strata.operators.quality import counts_table, observe_rules, quarantine, silver
 from strata.operators.salvage import damaged_records, with_salvaged
 from strata.plans.feeds import ALL_FEEDS, gold_flights
 from strata.sources.bronze import corrupt_documents, read_bronze
@@ -38,6 +38,7 @@ class Layers:
     damaged: dict = field(default_factory=dict)
     gold: dict = field(default_factory=dict)
     metrics: dict = field(default_factory=dict)
+    counts: dict = field(default_factory=dict)
     audits: dict = field(default_factory=dict)
 
 
@@ -82,7 +83,10 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str,
         layers.staged[spec.name] = st_path
         layers.silver[spec.name] = write_version(silver(stg, spec, mode=mode, on_checked=observe), s_path)
         layers.quarantine[spec.name] = write_version(quarantine(stg, spec.rules), q_path)
-        layers.metrics[spec.name] = rule_counts(counted[0].get, spec)
+        observed = counted[0].get
+        layers.metrics[spec.name] = rule_counts(observed, spec)
+        layers.counts[spec.name] = write_version(counts_table(spark, spec.name, observed, spec.rules),
+                                                 f"{out_root}/metrics/{spec.category}_{spec.name}_full")
         bronze = read_bronze(spark, layers.bronze[spec.name], spec)
         c_path = f"{out_root}/quarantine/{spec.category}_{spec.name}_documents"
         layers.corrupt[spec.name] = write_version(corrupt_documents(bronze), c_path)

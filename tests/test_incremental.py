@@ -22,13 +22,15 @@ def files(path):
     return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
 
 
-def same_as_recompute(spark, tmp, landing, changed, n):
-    layers = refresh(spark, landing, f"{tmp}/full{n}")
+def same_as_recompute(spark, tmp, landing, changed):
+    layers = refresh(spark, landing, f"{tmp}/full")
     for spec in ALL_FEEDS:
         full = spark.read.parquet(layers.silver[spec.name])
         assert rows(changed[spec.name].read(spark), full.columns) == rows(full, full.columns), spec.name
         bad = spark.read.parquet(layers.quarantine[spec.name])
         assert rows(spark.read.schema(bad.schema).parquet(changed[spec.name].quarantine), bad.columns) == rows(bad, bad.columns)
+        counts = {r.rule: (r.action, r.n_pass, r.n_fail) for r in spark.read.parquet(layers.counts[spec.name]).collect()}
+        assert counts == layers.metrics[spec.name]
     gold = spark.read.parquet(layers.gold["fact_flights_master"])
     return rows(gold, gold.columns), gold.columns
 
@@ -40,8 +42,6 @@ def test_two_refreshes_equal_a_recompute(spark, tmp):
     first = refresh_changes(spark, landing, out, ALL_FEEDS, {"flights": days})
     gold_path = f"{out}/gold_parts"
     refresh_gold(spark, first, gold_path)
-    want, cols = same_as_recompute(spark, tmp, landing, first, 1)
-    assert rows(read_gold(spark, gold_path), cols) == want
     before, gold_before = files(first["flights"].newest), files(gold_path)
     assert len({os.path.dirname(f) for f in before}) > 2
 
@@ -51,7 +51,7 @@ def test_two_refreshes_equal_a_recompute(spark, tmp):
     second = refresh_changes(spark, landing, out, ALL_FEEDS, {"flights": days})
     assert refresh_gold(spark, second, gold_path) == touched_parts(spark, second["flights"])
     assert len(touched_parts(spark, second["flights"])) == 1 and not touched_parts(spark, second["airports"])
-    want, cols = same_as_recompute(spark, tmp, landing, second, 2)
+    want, cols = same_as_recompute(spark, tmp, landing, second)
     assert rows(read_gold(spark, gold_path), cols) == want
     for old, new in ((before, files(first["flights"].newest)), (gold_before, files(gold_path))):
         touched = f"{PART}={touched_parts(spark, second['flights'])[0]}"
