@@ -90,20 +90,20 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
-def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of undirected ``edges`` (``a``, ``b``, no nulls).
 
     Returns (``node``, ``root``) for every node of an edge; ``root`` is the
     component's smallest node.  Each round points all larger neighbours of a
     node to the smallest one (large star), then the smaller ones (small
-    star); it ends when a round changes nothing.  Minima are pre-aggregated
+    star); it ends when a round changes nothing, however many that takes.  Minima are pre-aggregated
     and stored before they are joined back, so a hub's edges can be split
     over tasks by adaptive skew handling.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
                                               F.least("a", "b").alias("b")).distinct(), f"{label}-e0")
-    seen = None
-    for i in range(rounds):
+    seen, i = None, 0
+    while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), f"{label}-l{i}")
         large = (both.where("b > a").join(low, "a").where("b > m")
@@ -116,7 +116,7 @@ def components(edges: DataFrame, label: str, rounds: int = 60) -> DataFrame:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:
             break
-        seen = state
+        seen, i = state, i + 1
     roots = now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root")
     own = now.select(F.col("b").alias("node")).distinct().join(roots.select("node"), "node", "left_anti")
     return stored(roots.unionByName(own.select("node", F.col("node").alias("root"))), f"{label}-cc")
