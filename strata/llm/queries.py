@@ -20,7 +20,7 @@ LICENSE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("gener
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of all documents without repeated 100-byte strings."""
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "_cut.*")
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "_cut.*")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

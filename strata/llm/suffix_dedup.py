@@ -25,10 +25,19 @@ moves.  Repeats inside a task are settled there, so a passage that a third of
 all documents share is one row a task, not one a document.  Ranks are 128 bits
 in step 3 and 96 bits in step 4.
 
+A name that many documents share - a line shorter than ``length`` that a third of
+them hold - keeps a row a document, as the stretches around it differ.  No task gets
+them all: whether a name has several stretches comes from a pre-aggregated minimum
+and maximum, names that occur once leave before any ranking, and ranks are taken
+within (name, stretch).
+
 Null and empty texts, and those shorter than ``length``, lose nothing.  A null
 doc_id comes after all others.  Rows that share a doc_id (or lack one) count as
-documents of their own, ordered by text.  An empty table gives an empty result.
-Other columns pass through ``remove_repeats`` untouched, whatever their names.
+documents of their own, in the order of a hash of their text, equal texts next to
+each other.  Very long texts are named in windows of ``WINDOW`` bytes, so a worker
+needs a few copies of the text and about 60 MB besides.  An empty table gives an empty
+result.  Other columns pass through ``remove_repeats`` untouched, whatever their
+names; the result's name is a parameter, and one that a column already has is an error.
 """
 
 from __future__ import annotations
@@ -46,6 +55,7 @@ from strata.llm.hashing import U, mix
 
 TOP = 64
 FLUSH = 400_000
+WINDOW = 1 << 19
 LAST = 2**63 - 1
 BYTE_NAMES = mix(np.arange(1, 257, dtype=U) * U(0x2545F4914F6CDD1D))
 
@@ -159,18 +169,21 @@ def _run_rows(length: int):
                 data = np.frombuffer(text.encode(), dtype=np.uint8) if text else np.empty(0, np.uint8)
                 if len(data) < length:
                     continue
-                name, whole, start, size, twice = runs(data, length)
-                parts.append((name, whole, np.full(len(name), doc), np.full(len(name), copy), start, size, twice))
-                held += len(name)
-                if held >= FLUSH:
-                    yield flush(parts)
-                    parts, held = [], 0
+                # Strings that begin in a window; a string's name does not depend on where windows lie.
+                for at in range(0, len(data) - length + 1, WINDOW):
+                    name, whole, start, size, twice = runs(data[at:at + WINDOW + length - 1], length)
+                    parts.append((name, whole, np.full(len(name), doc), np.full(len(name), copy), start + at, size, twice))
+                    held += len(name)
+                    if held >= FLUSH:
+                        yield flush(parts)
+                        parts, held = [], 0
         if parts:
             yield flush(parts)
 
     return run
 
 
+COPY_PARTS = 4096
 PLACE_SCHEMA = "r1 long, r2 int, doc long, copy long, start int, size int"
 
 
@@ -195,16 +208,20 @@ def _place_rows(length: int):
         for batch in batches:
             for doc, copy, text, begins, sizes in zip(batch["doc"], batch["copy"], batch["text"],
                                                       batch["begins"], batch["sizes"]):
-                h = names(np.frombuffer(text.encode(), dtype=np.uint8))[TOP]
+                data = np.frombuffer(text.encode(), dtype=np.uint8)
                 begins, sizes = np.asarray(begins, dtype=np.int64), np.asarray(sizes, dtype=np.int64)
-                at = np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-                left, right = h[at], h[at + length - TOP]
-                parts.append((mix(left * U(3) + right), mix(left + right * U(9)).astype(np.uint32),
-                              np.full(len(at), doc), np.full(len(at), copy), at))
-                held += len(at)
-                if held >= FLUSH:
-                    yield flush(parts)
-                    parts, held = [], 0
+                window = begins // WINDOW
+                for nth in np.unique(window).tolist():
+                    b, z, low = begins[window == nth], sizes[window == nth], nth * WINDOW
+                    h = names(data[low:int((b + z).max()) + length])[TOP]
+                    at = np.repeat(b - np.cumsum(z) + z, z) + np.arange(z.sum())
+                    left, right = h[at - low], h[at - low + length - TOP]
+                    parts.append((mix(left * U(3) + right), mix(left + right * U(9)).astype(np.uint32),
+                                  np.full(len(at), doc), np.full(len(at), copy), at))
+                    held += len(at)
+                    if held >= FLUSH:
+                        yield flush(parts)
+                        parts, held = [], 0
         if parts:
             yield flush(parts)
 
@@ -212,31 +229,38 @@ def _place_rows(length: int):
 
 
 def _with_place(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with a document key: ``_doc`` (the id, null last) and ``_copy``,
-    which tells rows that share an id or lack one apart."""
-    doc = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_doc")
+    """(_row, text, _doc, _copy): all of ``docs`` in a struct, whose names cannot clash,
+    and a document key: the id (null last), and a number that tells rows sharing an id
+    or lacking one apart."""
+    rows = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("text"),
+                       F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("_doc"))
     shared = docs.groupBy(id_col).count().where((F.col("count") > 1) | F.col(id_col).isNull())
     if shared.isEmpty():
-        return docs.select("*", doc, F.lit(0).cast("long").alias("_copy"))
-    part = F.pmod(F.xxhash64(text_col), F.lit(64))
-    rank = F.row_number().over(Window.partitionBy("_doc", "_part").orderBy(text_col))
-    return stored(docs.select("*", doc, part.alias("_part"))
-                  .withColumn("_copy", (rank * 64 + F.col("_part")).cast("long")).drop("_part"), "suffix-docs")
+        return rows.withColumn("_copy", F.lit(0).cast("long"))
+    # Many parts: rows without an id may be a third of the table.
+    part = F.pmod(F.xxhash64("text"), F.lit(COPY_PARTS))
+    rank = F.row_number().over(Window.partitionBy("_doc", "_part").orderBy("text"))
+    return stored(rows.withColumn("_part", part)
+                  .withColumn("_copy", (F.col("_part") * F.lit(2**40) + rank).cast("long")).drop("_part"), "suffix-docs")
 
 
-def repeated_spans(placed: DataFrame, text_col: str = "text", length: int = 100) -> DataFrame:
+def repeated_spans(placed: DataFrame, length: int = 100) -> DataFrame:
     """(_doc, _copy, begins, ends): spans of repeats, possibly overlapping, by document."""
     if not TOP <= length <= 2 * TOP:
         raise ValueError("length must be between 64 and 128")
     spark = placed.sparkSession
     ship(spark)
-    rows = (placed.select(F.col("_doc").alias("doc"), F.col("_copy").alias("copy"), F.col(text_col).alias("text"))
+    rows = (placed.select(F.col("_doc").alias("doc"), F.col("_copy").alias("copy"), "text")
             .where(F.octet_length("text") >= length))
-    found = rows.mapInPandas(_run_rows(length), RUN_SCHEMA).repartition("name")
+    # Found twice, by the same tasks over the same files: cheaper than keeping all runs on disk.
+    found = rows.mapInPandas(_run_rows(length), RUN_SCHEMA)
+    alike = (found.groupBy("name").agg(F.min("whole").alias("lo"), F.max("whole").alias("hi"), F.count("*").alias("rows"),
+                                       F.max(F.when(F.col("kind") != FIRST, 1)).alias("own")))
+    # One row of its own kind: its run does not repeat, nothing is left to settle.
+    alike = stored(alike.where("rows > 1 or own = 1").select("name", (F.col("lo") != F.col("hi")).alias("several")), "suffix-alike")
+    release(spark)
     earliest = Window.partitionBy("name", "whole").orderBy("doc", "copy", "start")
-    alike = Window.partitionBy("name")
-    ranked = (found.withColumn("nth", F.row_number().over(earliest))
-              .withColumn("several", F.min("whole").over(alike) != F.max("whole").over(alike)))
+    ranked = found.join(alike, "name").withColumn("nth", F.row_number().over(earliest))
     undecided = (F.col("kind") != REPEAT) & (F.col("nth") == 1) & (F.col("several") | (F.col("kind") == FIRST_TWICE))
     repeat = (F.col("kind") == REPEAT) | (F.col("nth") > 1)
     bytes_of = F.when(F.col("kind") == REPEAT, F.col("size")).otherwise(F.col("size") + length - 1)
@@ -248,7 +272,7 @@ def repeated_spans(placed: DataFrame, text_col: str = "text", length: int = 100)
             .agg(F.collect_list(F.struct("start", "size")).alias("r"))
             .select("doc", "copy", F.col("r.start").alias("begins"), F.col("r.size").alias("sizes")))
     places = (rows.join(todo, ["doc", "copy"]).select("doc", "copy", "text", "begins", "sizes")
-              .mapInPandas(_place_rows(length), PLACE_SCHEMA).repartition("r1"))
+              .mapInPandas(_place_rows(length), PLACE_SCHEMA))
     nth = F.row_number().over(Window.partitionBy("r1", "r2").orderBy("doc", "copy", "start"))
     more = (places.withColumn("nth", nth).where("size > 0 or nth > 1")
             .select("doc", "copy", "start", F.when(F.col("size") > 0, F.col("size")).otherwise(length).alias("size")))
@@ -261,12 +285,14 @@ def repeated_spans(placed: DataFrame, text_col: str = "text", length: int = 100)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100,
-                   with_kept: bool = False) -> DataFrame:
-    """``docs`` with a struct column ``_cut``: n_bytes, n_removed, n_spans,
+                   with_kept: bool = False, into: str = "_cut") -> DataFrame:
+    """``docs`` with a struct column ``into``: n_bytes, n_removed, n_spans,
     kept_sha256 and, ``with_kept``, ``kept`` (the remaining bytes) and
     ``kept_text`` (the remaining whole characters)."""
+    if into in docs.columns:
+        raise ValueError(f"the input already has a column {into!r}")
     placed = _with_place(docs, id_col, text_col)
-    spans = repeated_spans(placed, text_col, length)
+    spans = repeated_spans(placed, length)
     schema = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary, kept_text string" * with_kept
 
     @F.pandas_udf(schema)
@@ -289,6 +315,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             out.append(row)
         return pd.DataFrame(out, columns=[f.split()[0] for f in schema.split(", ")])
 
-    return (placed.join(spans, ["_doc", "_copy"], "left")
-            .withColumn("_cut", cut(F.col(text_col), F.col("_begins"), F.col("_ends")))
-            .drop("_doc", "_copy", "_begins", "_ends"))
+    done = placed.join(spans, ["_doc", "_copy"], "left").select("_row", cut(F.col("text"), F.col("_begins"), F.col("_ends")).alias("_done"))
+    return done.select("_row.*", F.col("_done").alias(into))

@@ -94,3 +94,37 @@ def test_kept_text_drops_cut_characters(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_dedup.remove_repeats(df).count() == 0
+
+
+def test_long_texts_are_named_in_windows(spark):
+    r = random.Random(8)
+    size = suffix_dedup.WINDOW
+    text = "".join(r.choice("abcdefgh ") for _ in range(2 * size + 5000))
+    passage = text[size - 150:size + 150]  # across a border of windows
+    text = text[:2 * size - 120] + passage + text[2 * size - 120:] + "z" * 400
+    rows = [(1, text), (2, "x" + text[size - 60:size + 200] + "y"), (3, text[:size + 77] + "!" + text[size + 77:size + 900])]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "_cut.*").collect()
+    assert sorted(tuple(g) for g in got) == sorted(expected(rows, 100))
+
+
+def test_internal_names_are_free(spark):
+    extra = ["_doc", "_copy", "_begins", "_ends", "_part", "_row", "_done", "name", "whole", "several", "text_"]
+    rows = [(i, t) + tuple(f"{c}{i}" for c in extra) for i, (_, t) in enumerate(corpus(9)[:20])] + [(3, "again") + tuple(extra)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{c} string" for c in extra))
+    got = suffix_dedup.remove_repeats(df)
+    assert got.columns == [*df.columns, "_cut"]
+    assert sorted(tuple(g)[2:-1] for g in got.collect()) == sorted(x[2:] for x in rows)
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(df.withColumnRenamed("_row", "_cut"))
+    assert "cut" in suffix_dedup.remove_repeats(df.withColumnRenamed("_row", "_cut"), into="cut").columns
+
+
+def test_a_line_that_many_documents_share(spark):
+    """A line below the length repeats nowhere in full; its name is no task's alone."""
+    r = random.Random(11)
+    line = "".join(r.choice("abcdefgh ") for _ in range(80))
+    own = lambda: "".join(r.choice("abcdefgh ") for _ in range(r.randint(60, 120)))
+    rows = [(i, own() + line + own()) for i in range(300)] + [(300, rows_text := own() + own() + line), (301, rows_text)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = suffix_dedup.remove_repeats(df).select("doc_id", "_cut.*").collect()
+    assert sorted(tuple(g) for g in got) == sorted(expected(rows, 100))
