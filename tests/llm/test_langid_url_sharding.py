@@ -186,3 +186,43 @@ def test_packing_keeps_to_the_room_and_cuts_only_what_must_be():
 
 def test_empty_table(spark):
     assert placed(spark, []) == []
+
+
+def test_full_shards_exchange_rows():
+    assert sharding.exchange({(0, 1): 10, (1, 0): 4, (2, 1): 6}, [0, 0, 0]) == {(0, 1): 4, (1, 0): 4, (2, 1): 0}
+    r = np.random.default_rng(5)
+    for _ in range(50):
+        asks = {(s, t): int(r.integers(0, 20)) for s in range(8) for t in range(8) if s != t and r.random() < 0.4}
+        free = r.integers(0, 15, 8).tolist()
+        flow = sharding.exchange(asks, free)
+        assert all(0 <= flow[k] <= asks[k] for k in asks)
+        for t in range(8):
+            gain = sum(n for k, n in flow.items() if k[1] == t) - sum(n for k, n in flow.items() if k[0] == t)
+            assert gain <= free[t]
+            # A shard with room left takes all that ask for it.
+            assert gain == free[t] or all(flow[k] == asks[k] for k in asks if k[1] == t)
+    assert sharding.exchange({(0, 1): 10}, [0, 0]) == {(0, 1): 0}
+    assert sharding.exchange({(0, 1): 10, (1, 2): 3, (2, 0): 3}, [0, 2, 0]) == {(0, 1): 5, (1, 2): 3, (2, 0): 3}
+
+
+def test_dealt_evenly(spark):
+    sizes = spark.createDataFrame([(f"g{i}", 2 + i % 5) for i in range(50)] + [("big", 500)], "gkey string, all long")
+    got = sharding.dealt(sizes, 8, 4).collect()
+    by_group, by_shard = Counter(), Counter()
+    for r in got:
+        by_group[r.gkey] += r.n
+        by_shard[r.shard] += r.n
+    assert by_group == {r.gkey: r["all"] for r in sizes.collect()}
+    assert max(by_shard.values()) - min(by_shard.values()) <= 1
+
+
+def test_propagation_leaves_little_to_pack(spark):
+    """All rows in pairs: every shard is full from the first round on."""
+    groups = spark.createDataFrame([(f"g{i}", 2) for i in range(800)], "gkey string, all long")
+    room = sharding.quotas(1600, 8)
+    done = sharding.propagate(sharding.stored(sharding.dealt(groups, 8, 4), "test-start"), room, 4).collect()
+    load = Counter()
+    for r in done:
+        load[r.shard] += r.n
+    assert all(load[s] <= room[s] for s in range(8)) and sum(load.values()) == 1600
+    assert len(done) - 800 <= 8  # cut pairs
