@@ -9,12 +9,17 @@ neighbours of sample vectors within the sample.  Partitions and router know
 directions only; true neighbours are those by inner product of the vectors as
 given, so the longer the longest vectors are, the more partitions are visited.
 
+From ``FEW`` vectors on, their number's square root is the number of partitions, up
+to ``MOST_PARTS`` (a sample of this size tells no more apart); beyond that,
+partitions grow.
+
 Index: every vector, not only the sample, goes to its most probable partition.
 Search: a query goes to its most probable partitions, and to further ones
 until they hold enough candidates; there it is compared with every vector by
 inner product in double precision.  Partitions of any size are dealt into
 blocks of ``block`` vectors and ``query_block`` queries, so a vector that a
-third of all rows repeat loads many small groups, not one.  The most
+third of all rows repeat loads many small groups, not one.  A partition's vectors
+are sent once for each block of the queries routed there, not of all queries.  The most
 probable sixteenth of the partitions is searched first; a query's k-th best score
 there is the floor that candidates of its other partitions must reach to leave
 their group.  Groups return their best ``k`` a query; the last step merges these.
@@ -31,6 +36,7 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -42,6 +48,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import HASH_RANGE, hash_share, ship, stored
 from strata.llm.vector_dedup import sound
 
+MOST_PARTS = 256
+FEW = 512
+
 
 def neighbour_graph(x: np.ndarray, degree: int) -> np.ndarray:
     """Each row's ``degree`` nearest other rows by inner product."""
@@ -137,7 +146,7 @@ def _units(x: np.ndarray) -> np.ndarray:
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, sample: int = 8192, per_partition: int = 1024,
-           aim: float = 0.97, block: int = 2048, query_block: int = 1024, seed: int = 9) -> DataFrame:
+           aim: float = 0.97, block: int = 4096, query_block: int = 4096, seed: int = 9) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of every query.
 
     ``vectors``: vec_id, embedding; ``is_query``: a condition on vec_id.
@@ -164,12 +173,12 @@ def _search(usable: DataFrame, is_query: Column, dim: int, count: int, k: int, s
     # Twice the wanted vectors by hash, then exactly the wanted ones.
     picked = usable.where(place < hash_share(count, sample)).orderBy(place, "vec_id").limit(sample)
     x = np.array([r.x for r in picked.toLocalIterator()], dtype=np.float64).reshape(-1, dim)  # at most ``sample`` vectors
-    parts = int(min(256, max(1, count // per_partition), max(1, len(x) // 32)))
+    parts = int(min(MOST_PARTS, max(1, count // per_partition, math.isqrt(count) if count >= FEW else 1), max(1, len(x) // 32)))
     if parts > 1:
         u = _units(x)
         w = fit_router(u, balanced_partition(u, neighbour_graph(u, min(12, len(u) - 1)), parts), parts)
-        # The k nearest of all vectors are the nearest few of a sample: both must be found.
-        probes = max(probes_for(x, w, n, aim) for n in (k, max(1, k * len(x) // count)))
+        # The k nearest of all vectors are so many of a sample's.
+        probes = probes_for(x, w, max(1, k * len(x) // count), aim)
     else:
         w, probes = np.zeros((dim + 1, 1)), 1
 
@@ -183,7 +192,6 @@ def _search(usable: DataFrame, is_query: Column, dim: int, count: int, k: int, s
     held = {r.part: r["count"] for r in index.groupBy("part").count().collect()}  # one row a partition
     size = np.array([held.get(p, 0) for p in range(parts)])
     asked = (index.where(is_query).groupBy("vec_id").agg(F.min("x").alias("x")))
-    n_queries = asked.count()
 
     def routed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -194,16 +202,24 @@ def _search(usable: DataFrame, is_query: Column, dim: int, count: int, k: int, s
             yield pd.DataFrame({"vec_id": batch["vec_id"], "x": batch["x"],
                                 "parts": [o[v].astype(np.int32) for o, v in zip(order, visit)]})
 
-    # Blocks: vectors and queries of a partition, each dealt by hash.
+    # Blocks: vectors and queries of a partition, each dealt by hash; a partition's vectors meet only queries routed to it.
     rows_in = F.element_at(F.lit([int(max(1, -(-n // block))) for n in size]), F.col("part") + 1)
-    query_blocks = max(1, -(-n_queries // query_block))
-    q = (asked.mapInPandas(routed, f"vec_id long, x {kind}, parts array<int>")
-         .withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")))
-    q = stored(q, "ann-queries")
+    q = stored(asked.mapInPandas(routed, f"vec_id long, x {kind}, parts array<int>"), "ann-queries")
     early = -(-parts // 16)
-    r = (index.select("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), rows_in).cast("int").alias("rb"),
-                      F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("qb"),
-                      F.lit(False).alias("asks"), "vec_id", "x", F.lit(None).cast("double").alias("floor")))
+    each = q.select("vec_id", "x", F.posexplode("parts").alias("nth", "part"))
+    late = (F.col("nth") >= early).alias("late")
+    routes = {(r.late, r.part): r["count"] for r in each.groupBy(late, "part").count().collect()}  # two rows a partition
+
+    def query_blocks(phase: bool) -> Column:
+        """How many blocks of queries visit the row's partition."""
+        return F.element_at(F.lit([-(-routes.get((phase, p), 0) // query_block) for p in range(parts)]), F.col("part") + 1)
+
+    def rows_for(phase: bool) -> DataFrame:
+        """Index rows, once for each block of queries that visits their partition."""
+        return (index.where(query_blocks(phase) > 0)
+                .select("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), rows_in).cast("int").alias("rb"),
+                        F.explode(F.sequence(F.lit(0), query_blocks(phase) - 1)).alias("qb"),
+                        F.lit(False).alias("asks"), "vec_id", "x", F.lit(None).cast("double").alias("floor")))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         rows = group[~group["asks"]].sort_values("vec_id", kind="stable")
@@ -226,18 +242,18 @@ def _search(usable: DataFrame, is_query: Column, dim: int, count: int, k: int, s
             out.append(pd.DataFrame({"query_id": query, "vec_id": ids[at[top]], "score": exact[top]}))
         return pd.concat(out)
 
-    def searched(queries: DataFrame) -> DataFrame:
-        asks = queries.select("part", F.explode(F.sequence(F.lit(0), rows_in - 1)).alias("rb"), "qb",
+    def searched(queries: DataFrame, phase: bool) -> DataFrame:
+        qb = F.pmod(F.xxhash64("vec_id"), query_blocks(phase)).cast("int").alias("qb")
+        asks = queries.select("part", F.explode(F.sequence(F.lit(0), rows_in - 1)).alias("rb"), qb,
                               F.lit(True).alias("asks"), "vec_id", "x", "floor")
-        return (asks.unionByName(r).groupBy("part", "rb", "qb")
+        return (asks.unionByName(rows_for(phase)).groupBy("part", "rb", "qb")
                 .applyInPandas(compare, "query_id long, vec_id long, score double"))
 
-    each = q.select("vec_id", "x", "qb", F.posexplode("parts").alias("nth", "part"))
-    first = stored(searched(each.where(F.col("nth") < early).withColumn("floor", F.lit(None).cast("double"))), "ann-first")
+    first = stored(searched(each.where(~late).withColumn("floor", F.lit(None).cast("double")), False), "ann-first")
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"))
     floors = (first.withColumn("n", F.row_number().over(by_score)).where(F.col("n") == k)
               .select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor")))
-    later = each.where(F.col("nth") >= early).join(floors, "vec_id", "left")
-    best = first.unionByName(searched(later)) if parts > early else first
+    later = each.where(late).join(floors, "vec_id", "left")
+    best = first.unionByName(searched(later, True)) if parts > early else first
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
