@@ -14,8 +14,8 @@ once each and texts are joined back from a table:
 
 Texts never move: no text, position or id list is shuffled.  The distinct-word
 counts are the only exchange, one row a word and task, for words that a task
-holds at least twice.  A model with a piece that does cross a marker is
-detected and its texts are segmented whole.
+holds at least twice.  A model with a piece that does cross a marker, or one
+that normalises texts, is detected and its texts are segmented whole.
 
 Null and empty texts encode to the begin and end ids alone and decode to an
 empty text.  Very long texts and words are processed whole.  Repeated rows
@@ -56,8 +56,12 @@ def _model(proto: bytes):
 
 
 def words_stay_apart(proto: bytes) -> bool:
-    """True if no piece holds a marker after another character."""
+    """True if no piece holds a marker after another character and the model takes
+    every character as it is, white space too, behind one marker."""
     model = _model(proto)
+    every = "  " + "".join(chr(c) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000) + "  "
+    if model.normalize(every) != MARK + every.replace(" ", MARK):
+        return False
     return not any(re.search(f"[^{MARK}]{MARK}", model.id_to_piece(i)) for i in range(model.get_piece_size()))
 
 

@@ -76,6 +76,16 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
                 assert sum(r.doc_id == 1 for r in rows) <= 4
 
 
+def test_rows_alike_but_for_lang_are_chosen_by_order(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "fr", "b", 33), (1, text, "de", "b", 33), (1, text, "en", "a", 33), (1, text, "de", "a", 33)]
+    for i in (0, 2):
+        docs = spark.createDataFrame(rows[i:] + rows[:i], "doc_id long, text string, lang string, source string, n_chars long")
+        docs = docs.repartition(4)
+        assert [(r.lang, r.source) for r in P.near_duplicates(spark, docs, SF).collect()] == [("de", "a")]
+        assert {(r.lang, r.source) for r in P.mix(spark, docs, SF).collect()} <= {("de", "a"), ("de", "b")}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150), (300, 300)] + [(500, 500 + i) for i in range(1, 60)]
     df = spark.createDataFrame(edges, "a long, b long")

@@ -92,6 +92,18 @@ def test_whole_text_path_for_models_whose_pieces_cross_words(model):
         assert pieces.encode_text(text, words, apart=False) == pieces.encode_text(text, words, apart=True)
 
 
+@pytest.mark.parametrize("spec", [b"\x20\x01", b"\x18\x00"], ids=["extra spaces removed", "no marker in front"])
+def test_whole_text_path_for_models_that_normalise(spec):
+    # A second normalizer_spec field of a model file overrides the first one's values.
+    proto = PROTO + b"\x1a" + bytes([len(spec)]) + spec
+    assert not pieces.words_stay_apart(proto)
+    words = pieces.WordTable(proto, {})
+    for text in ("  two  spaces ", "one", " lead"):
+        ids = np.frombuffer(pieces.encode_text(text, words, apart=False), dtype="<u4").tolist()
+        assert ids[1:-1] == words.model.encode(text)
+    assert words.model.encode(" a  b ") != pieces._model(PROTO).encode(" a  b ")
+
+
 def test_empty_table(spark):
     none = rows(spark).where("false")
     assert token_count.count_tokens(none, BPE).count() == 0
