@@ -154,19 +154,20 @@ CORRECTED_SHARE = 100
 CORRECTION = 10
 
 
-def line_record(li: DataFrame) -> Column:
+def line_record(line: Column) -> Column:
+    """A line, as a struct of its columns, as the feed's record."""
     return F.struct(
-        F.col("l_orderkey").cast("string").alias("OrderKey"),
-        F.col("l_partkey").cast("string").alias("PartKey"),
-        F.col("l_suppkey").cast("string").alias("SuppKey"),
-        F.col("l_linenumber").cast("string").alias("LineNumber"),
-        F.col("l_quantity").cast("string").alias("Quantity"),
-        F.col("l_extendedprice").cast("string").alias("ExtendedPrice"),
-        F.col("l_discount").cast("string").alias("Discount"),
-        F.col("l_tax").cast("string").alias("Tax"),
-        F.col("l_returnflag").alias("ReturnFlag"),
-        F.col("l_linestatus").alias("LineStatus"),
-        F.struct(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm'Z'").alias("DateTime")).alias("ShipDate"),
+        line["l_orderkey"].cast("string").alias("OrderKey"),
+        line["l_partkey"].cast("string").alias("PartKey"),
+        line["l_suppkey"].cast("string").alias("SuppKey"),
+        line["l_linenumber"].cast("string").alias("LineNumber"),
+        line["l_quantity"].cast("string").alias("Quantity"),
+        line["l_extendedprice"].cast("string").alias("ExtendedPrice"),
+        line["l_discount"].cast("string").alias("Discount"),
+        line["l_tax"].cast("string").alias("Tax"),
+        line["l_returnflag"].alias("ReturnFlag"),
+        line["l_linestatus"].alias("LineStatus"),
+        F.struct(F.date_format(line["l_shipdate"], "yyyy-MM-dd'T'HH:mm'Z'").alias("DateTime")).alias("ShipDate"),
     )
 
 

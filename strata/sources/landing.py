@@ -105,16 +105,23 @@ def document_name(*parts: Column | str) -> Column:
     return F.concat_ws("_", *[F.col(p) if isinstance(p, str) else p for p in parts])
 
 
+LANDING_FILE_DOCUMENTS = 10_000
+
+
 def write_landing(docs: DataFrame, path: str, text_col: str = "document",
                   folder_col: str = "folder", mode: str = "append") -> None:
-    """Write documents as JSON lines under ``folder=<date>`` sub-folders.
-
-    One document per line keeps landing files splittable; the bronze reader
-    reads such feeds with ``multiline=False``.  Single pretty-printed files
-    (``multiline=True``) are read the same way, one document per file.
+    """Write documents as gzipped JSON lines under ``folder=<date>`` sub-folders.
+
+    Pages repeat their field names in every record, so packing them (at gzip's
+    fastest level) leaves a small part of the text to store and read.  A packed file
+    is read by one task: a file holds at most ``LANDING_FILE_DOCUMENTS`` documents,
+    whatever one task writes.  The bronze reader reads such feeds with
+    ``multiline=False``.  Single pretty-printed files (``multiline=True``) are read
+    the same way, one document per file.
     """
     (docs.select(F.col(text_col).alias("value"), F.col(folder_col))
-         .write.mode(mode).partitionBy(folder_col).text(path))
+         .write.mode(mode).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+         .option("maxRecordsPerFile", LANDING_FILE_DOCUMENTS).partitionBy(folder_col).text(path))
 
 
 NAME_FOLDER = "doc_name"

@@ -20,12 +20,33 @@ from collections.abc import Callable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 
 def latest_aggregate(stream: DataFrame, keys: Sequence[str], ordering: Sequence[str]) -> DataFrame:
-    rest = [c for c in stream.columns if c not in keys]
-    picked = stream.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in ordering])).alias("_row"))
+    return _newest(stream, keys, ordering)
+
+
+def _orderable(t: DataType) -> bool:
+    if isinstance(t, StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    return _orderable(t.elementType) if isinstance(t, ArrayType) else not isinstance(t, (MapType, VariantType))
+
+
+def _newest(rows: DataFrame, keys: Sequence[str], ordering: Sequence[str]) -> DataFrame:
+    """The row of the largest ``ordering`` per key.  The ordering leads one struct that
+    holds every column once, and its maximum is the row: ``max_by`` would carry the
+    ordering a second time through every shuffle.  It remains for columns that have no
+    order (maps)."""
+    rest = [c for c in rows.columns if c not in keys]
+    first = [c for c in dict.fromkeys(ordering) if c in rest]
+    after = [c for c in rest if c not in first]
+    if all(_orderable(rows.schema[c].dataType) for c in after):
+        # Key columns are equal inside a group and order nothing.
+        row = F.max(F.struct(*first, *after)) if rest else F.first(F.struct(*keys))
+    else:
+        row = F.max_by(F.struct(*rest), F.struct(*[F.col(c) for c in ordering]))
+    picked = rows.groupBy(*keys).agg(row.alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
@@ -43,12 +64,13 @@ def start_latest(spark: SparkSession, stream: DataFrame, keys: Sequence[str],
         snap.write.mode("overwrite").parquet(out)
 
     def append_changes(batch: DataFrame, epoch: int) -> None:
+        # What a row won by is built from it after the shuffle.
         won_by = F.struct(*[F.col(c) for c in ordering]).alias(WON_BY)
-        newest = latest_aggregate(batch.select("*", won_by), keys, [WON_BY])
+        newest = latest_aggregate(batch, keys, ordering).select("*", won_by)
         changes = transform(newest) if transform else newest
         # Re-running an epoch after a failure overwrites its own partition.
         (changes.withColumn(EPOCH, F.lit(epoch).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
          .partitionBy(EPOCH).parquet(out))
 
     if mode not in ("complete", "update"):
@@ -61,10 +83,14 @@ def start_latest(spark: SparkSession, stream: DataFrame, keys: Sequence[str],
             .start())
 
 
-def _resolve(log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    rest = [c for c in log.columns if c not in keys and c != EPOCH]
-    picked = log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(WON_BY, EPOCH)).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
+def _resolve(log: DataFrame, keys: Sequence[str], ordering: Sequence[str] | None = None) -> DataFrame:
+    """The log's newest row per key.  ``ordering`` names the columns that ``WON_BY``
+    repeats; then they alone are read and shuffled, and it is built again from them."""
+    if ordering is None:
+        return _newest(log, keys, [WON_BY, EPOCH]).drop(EPOCH)
+    won_by = F.struct(*[F.col(c) for c in ordering]).alias(WON_BY)
+    rows = _newest(log.drop(WON_BY), keys, [*ordering, EPOCH])
+    return rows.select("*", won_by).select(*[c for c in log.columns if c != EPOCH])
 
 
 UPTO = "upto"
@@ -103,23 +129,26 @@ def _on_base(spark: SparkSession, log: DataFrame, base: str | None) -> DataFrame
 
 
 def read_latest(spark: SparkSession, changes: str, keys: Sequence[str],
-                base: str | None = None) -> DataFrame:
+                base: str | None = None, ordering: Sequence[str] | None = None) -> DataFrame:
     """The newest row per key from an ``update``-mode change log: the row with
     the highest ordering, then epoch (an epoch holds one row per key).  With a
     compacted ``base`` (``compact_latest``), only epochs after the one it
     covers are read (a partition filter on the epoch), so the cost of a read
-    follows the key count plus recent changes, not the whole history."""
-    return _resolve(_on_base(spark, spark.read.parquet(changes), base), keys).drop(WON_BY)
+    follows the key count plus recent changes, not the whole history.  ``ordering``,
+    that of ``start_latest``, may be given for logs written without a ``transform``:
+    their rows hold these columns, so half of the log need not be read."""
+    return _resolve(_on_base(spark, spark.read.parquet(changes), base), keys, ordering).drop(WON_BY)
 
 
 def compact_latest(spark: SparkSession, changes: str, keys: Sequence[str],
-                   base: str) -> int | None:
+                   base: str, ordering: Sequence[str] | None = None) -> int | None:
     """Write the resolved change log, up to its newest committed epoch, as a
     new version ``<base>/epoch_<n>``, then append its commit marker (one row
     in ``<base>/_committed``); return the epoch (None for an empty log).
     Readers only take marked versions, so a compaction lost half-way is
     invisible and is simply run again; versions are never rewritten with
-    other rows, and older versions and epochs can be removed by retention."""
+    other rows, and older versions and epochs can be removed by retention.
+    ``ordering`` is that of ``read_latest``."""
     log = spark.read.parquet(changes)
     upto = log.agg(F.max(EPOCH)).first()[0]
     if upto is None:
@@ -128,8 +157,8 @@ def compact_latest(spark: SparkSession, changes: str, keys: Sequence[str],
     # so looking for the newest base never probes a missing folder.
     spark.createDataFrame([], f"{UPTO} bigint").write.mode("append").parquet(_marker_path(base))
     committed = log.filter(F.col(EPOCH) <= F.lit(upto))
-    _resolve(_on_base(spark, committed, base), keys) \
-        .write.mode("overwrite").parquet(_version_path(base, upto))
+    _resolve(_on_base(spark, committed, base), keys, ordering) \
+        .write.mode("overwrite").option("compression", "zstd").parquet(_version_path(base, upto))
     spark.range(1).select(F.lit(upto).cast("bigint").alias(UPTO)) \
         .coalesce(1).write.mode("append").parquet(_marker_path(base))
     return upto
