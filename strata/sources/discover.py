@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType, VariantType
 
 from strata.functions.typed import parse
+from strata.session import scratch_path
 from strata.sources.bronze import CORRUPT, UNKNOWN
 from strata.spec import FeedSpec, Field
 
@@ -75,16 +76,30 @@ def merged_schema(records: DataFrame, text: str) -> StructType:
     return kind
 
 
-def in_document_order(records: DataFrame, text: str, schema: StructType, at: str = "$") -> StructType:
-    """``schema`` with the fields of every object in the order documents show them."""
-    node = F.col(text) if at == "$" else F.get_json_object(text, at)
-    seen = records.select(F.posexplode(F.json_object_keys(node)).alias("pos", "name")).groupBy("name").agg(F.avg("pos").alias("pos"))
-    place = {r.name: r.pos for r in seen.collect()}  # a row a field
-    fields = []
-    for f in sorted(schema.fields, key=lambda f: (place.get(f.name, 0), f.name)):
-        kind = in_document_order(records, text, f.dataType, f"{at}['{f.name}']") if isinstance(f.dataType, StructType) else f.dataType
-        fields.append(StructField(f.name, kind))
-    return StructType(fields)
+def in_document_order(records: DataFrame, text: str, schema: StructType) -> StructType:
+    """``schema`` with the fields of every object in the order documents show them.
+
+    A field's place is its average position in the objects that hold it: one aggregate
+    a field, all in one pass, and no row a field of every record."""
+    places = {}
+
+    def places_of(s: StructType, at: str) -> None:
+        names = F.json_object_keys(F.col(text) if at == "$" else F.get_json_object(text, at))
+        for f in s.fields:
+            places[f"{at}['{f.name}']"] = F.avg(F.nullif(F.array_position(names, F.lit(f.name)), F.lit(0).cast("bigint")) - 1)
+            if isinstance(f.dataType, StructType):
+                places_of(f.dataType, f"{at}['{f.name}']")
+
+    places_of(schema, "$")
+    row = records.agg(*[c.alias(f"p{i}") for i, c in enumerate(places.values())]).first() if places else ()
+    place = dict(zip(places, row))
+
+    def ordered(s: StructType, at: str) -> StructType:
+        fields = sorted(s.fields, key=lambda f: (place[f"{at}['{f.name}']"] or 0, f.name))
+        return StructType([StructField(f.name, ordered(f.dataType, f"{at}['{f.name}']") if isinstance(f.dataType, StructType) else f.dataType)
+                           for f in fields])
+
+    return ordered(schema, "$")
 
 
 def record_path(documents: DataFrame, text: str = "document") -> str:
@@ -93,33 +108,39 @@ def record_path(documents: DataFrame, text: str = "document") -> str:
     parsed = documents.select(F.try_parse_json(text).alias("v"))
     found = spark.sql("""
         SELECT r.key AS resource, p.key AS plural, s.key AS singular,
-               sum(CASE WHEN schema_of_variant(s.value) LIKE 'ARRAY%' THEN size(CAST(s.value AS array<variant>)) ELSE 1 END) AS records
+               sum(coalesce(size(try_variant_get(s.value, '$', 'array<variant>')),
+                            CASE WHEN try_variant_get(s.value, '$', 'map<string,variant>') IS NOT NULL THEN 1 END)) AS records
         FROM {docs} d, LATERAL variant_explode(try_variant_get(d.v, '$.payload', 'variant')) r,
              LATERAL variant_explode(r.value) p, LATERAL variant_explode(p.value) s
         WHERE r.key IS NOT NULL AND p.key IS NOT NULL AND s.key IS NOT NULL AND p.key <> 'Meta'
-          AND (schema_of_variant(s.value) LIKE 'ARRAY%' OR schema_of_variant(s.value) LIKE 'OBJECT%')
-        GROUP BY ALL ORDER BY records DESC, resource, plural, singular LIMIT 1""", docs=parsed).first()
+        GROUP BY ALL HAVING records IS NOT NULL ORDER BY records DESC, resource, plural, singular LIMIT 1""", docs=parsed).first()
     if found is None:
         raise ValueError("no document holds a record list")
     return f"payload.{found.resource}.{found.plural}.{found.singular}"
 
 
-# What a text leaf may be, most special first: all its values must parse.
-TEXT_KINDS = ("int", "long", "double", "ts_utc", "ts_local")
+# What a text leaf may be, most special first: all its values must parse.  Times are
+# tried where a leaf is no number, as texts that are none are slow to turn down.
+TEXT_KINDS = (("int", "long", "double"), ("ts_utc", "ts_local"))
 
 
 def text_kinds(records: DataFrame, text: str, schema: StructType) -> dict[str, str]:
     """A kind for each text leaf, by what all of its values parse as."""
     paths = [p for p, t in leaves(schema) if isinstance(t, StringType)]
     node = records.select(F.from_json(text, as_text(schema)).alias("n"))
-    parts = {}
-    for i, path in enumerate(paths):
-        value = F.col("n." + ".".join(f"`{x}`" for x in path.split(".")))
-        parts[f"v{i}"] = F.count(value)
-        for kind in TEXT_KINDS:
-            parts[f"{kind}{i}"] = F.count(parse(kind, value))
-    row = node.agg(*[c.alias(n) for n, c in parts.items()]).first() if parts else None
-    return {p: next((k for k in TEXT_KINDS if row[f"v{i}"] and row[f"{k}{i}"] == row[f"v{i}"]), "string") for i, p in enumerate(paths)}
+    found, left = {}, paths
+    for kinds in TEXT_KINDS:
+        parts = {}
+        for i, path in enumerate(left):
+            value = F.col("n." + ".".join(f"`{x}`" for x in path.split(".")))
+            parts[f"v{i}"] = F.count(value)
+            for kind in kinds:
+                parts[f"{kind}{i}"] = F.count(parse(kind, value))
+        row = node.agg(*[c.alias(n) for n, c in parts.items()]).first() if parts else None
+        for i, path in enumerate(left):
+            found[path] = next((k for k in kinds if row[f"v{i}"] and row[f"{k}{i}"] == row[f"v{i}"]), "string") if row[f"v{i}"] else None
+        left = [p for p in left if found[p] == "string"]
+    return {p: found[p] or "string" for p in paths}
 
 
 def draft_feed(documents: DataFrame, name: str, category: str, key: Sequence[str],
@@ -131,7 +152,10 @@ def draft_feed(documents: DataFrame, name: str, category: str, key: Sequence[str
     column; further ``options`` are those of ``FeedSpec``."""
     path = record_path(documents, text)
     raw = F.get_json_object(text, "$." + path)
-    records = documents.select(F.explode(record_texts(raw)).alias("record"))
+    # Cut from their documents once; the passes below read the stored records.
+    cut = scratch_path(documents.sparkSession, f"records-{name}")
+    documents.select(F.explode(record_texts(raw)).alias("record")).write.option("compression", "zstd").parquet(cut)
+    records = documents.sparkSession.read.parquet(cut)
     found = in_document_order(records, "record", merged_schema(records, "record"))
     kinds = text_kinds(records, "record", found)
 

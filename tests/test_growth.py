@@ -5,7 +5,7 @@ import gzip
 
 from pyspark.sql import functions as F
 
-from strata.sources import landing
+from strata.sources import discover, landing
 from strata.streaming.latest import compact_latest, latest_aggregate, read_latest, start_latest
 
 SCHEMA = "k long, at long, v string, m map<string,string>"
@@ -43,3 +43,15 @@ def test_newest_rows_cross_a_shuffle_once(spark, tmp, capsys):
 def test_columns_without_an_order_are_kept(spark):
     df = spark.createDataFrame([(1, 1, "a", {"x": "1"}), (1, 2, "b", {"x": "2"})], SCHEMA)
     assert [tuple(r) for r in latest_aggregate(df, ["k"], ["at"]).collect()] == [(1, 2, "b", {"x": "2"})]
+
+
+def test_records_are_cut_once_and_numbers_are_tried_first(spark, monkeypatch):
+    tried, real = [], discover.parse
+    monkeypatch.setattr(discover, "parse", lambda kind, c: tried.append(kind) or real(kind, c))
+    doc = '{"payload":{"X":{"Ys":{"Y":[{"N":"%d","T":"2024-01-01T10:00Z","E":null,"O":{"b":"%d.5","a":"x"}},{"O":{"a":"y"},"N":"7"}]}}}}'
+    docs = spark.createDataFrame([(doc % (i, i),) for i in range(3)], "document string")
+    spec = discover.draft_feed(docs, "ys", "ops", key=("N",))
+    assert [(f.path, f.kind) for f in spec.fields if f.path != "E"] == [("N", "long"), ("T", "ts_utc"), ("O.b", "double"), ("O.a", "string")]
+    assert tried.count("ts_utc") == 2 and tried.count("int") >= 4  # T and O.a only
+    records = docs.select(F.explode(F.array(F.lit('{"z":1,"a":2}'), F.lit('{"a":3}'), F.lit('{"a":1,"z":2}'))).alias("r"))
+    assert discover.in_document_order(records, "r", discover.merged_schema(records, "r")).fieldNames() == ["a", "z"]
