@@ -803,8 +803,10 @@ def _landed_run_pages(spark, d):
                       extra=[F.count(F.lit(1)).alias("total")])
     lone = ingestion_metadata("ops", spec.name, F.to_timestamp(F.lit(tf.SWEEP_TS)), tf.SCRIPT, batch_seed=F.col("route"))
     files = routes.select(envelope_json(F.col("records"), resource, plural, singular, lone, F.col("total")).alias("document"))
-    landed = landed_pages(_parsed(hubs.unionByName(files), spec), spec)
-    return newest_pages(with_runs(landed), SWEEP)
+    # The audits use the pages' metadata several times; the documents are built once.
+    path = scratch_path(spark, "run-pages")
+    write_table(landed_pages(_parsed(hubs.unionByName(files), spec), spec), path)
+    return newest_pages(with_runs(spark.read.parquet(path)), SWEEP)
 
 
 def _run_clock(df):

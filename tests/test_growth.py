@@ -5,6 +5,7 @@ import gzip
 
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from strata.sources import discover, landing
 from strata.streaming.latest import compact_latest, latest_aggregate, read_latest, start_latest
 
@@ -45,6 +46,12 @@ def test_columns_without_an_order_are_kept(spark):
     assert [tuple(r) for r in latest_aggregate(df, ["k"], ["at"]).collect()] == [(1, 2, "b", {"x": "2"})]
 
 
+def test_run_audit_builds_its_documents_once(spark, capsys):
+    queries()["q21b_run_completeness"](spark, "/root/testdata/sf0.001").explain()
+    plan = capsys.readouterr().out
+    assert "run-pages" in plan and "orders.parquet" not in plan and "from_json" not in plan
+
+
 def test_records_are_cut_once_and_numbers_are_tried_first(spark, monkeypatch):
     tried, real = [], discover.parse
     monkeypatch.setattr(discover, "parse", lambda kind, c: tried.append(kind) or real(kind, c))
