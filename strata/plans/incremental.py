@@ -78,7 +78,8 @@ class Changed:
 
 def _overwrite(df: DataFrame, path: str, *by: str) -> None:
     """Replace the partitions ``df`` has rows of, and no other."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+     .partitionBy(*by).parquet(path))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -113,7 +114,7 @@ def rewrite_parts(spark: SparkSession, staged: DataFrame, spec: FeedSpec, layout
     merged = latest(both, [PART, *spec.key], spec.order, ties)
     # Stored before its parts are replaced, as it is read from them.
     held = scratch_path(spark, f"parts-{spec.name}")
-    merged.write.parquet(held)
+    merged.write.option("compression", "zstd").parquet(held)
     _overwrite(spark.read.schema(merged.schema).parquet(held), path, PART)
     return touched
 
@@ -134,7 +135,7 @@ def start_changes(spark: SparkSession, spec: FeedSpec, bronze: str, layout: Layo
         if rules:
             rows, observed = observe_rules(rows, rules, f"{now.category}_{now.name}_{epoch}")
         path = scratch_path(spark, f"staged-{now.name}")
-        rows.write.parquet(path)
+        rows.write.option("compression", "zstd").parquet(path)
         staged = spark.read.schema(rows.schema).parquet(path)
         touched = rewrite_parts(spark, staged, now, layout, tables.newest)
         at = F.lit(epoch).cast("bigint").alias(EPOCH)

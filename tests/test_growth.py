@@ -1,11 +1,15 @@
 """What queries shuffle, write and hold grows no faster than their input."""
 
+import dataclasses
 import glob
 import gzip
 
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from strata.plans import tablefeeds
+from strata.plans.incremental import Layout, rewrite_parts
+from strata.sources.tables import evolved_schema
 from strata.sources import discover, landing
 from strata.streaming.latest import compact_latest, latest_aggregate, read_latest, start_latest
 
@@ -62,3 +66,11 @@ def test_records_are_cut_once_and_numbers_are_tried_first(spark, monkeypatch):
     assert tried.count("ts_utc") == 2 and tried.count("int") >= 4  # T and O.a only
     records = docs.select(F.explode(F.array(F.lit('{"z":1,"a":2}'), F.lit('{"a":3}'), F.lit('{"a":1,"z":2}'))).alias("r"))
     assert discover.in_document_order(records, "r", discover.merged_schema(records, "r")).fieldNames() == ["a", "z"]
+
+
+def test_parts_are_packed(spark, tmp):
+    spec = dataclasses.replace(tablefeeds.CHECKED_LINES_FEED, rules=())
+    rows = spark.createDataFrame([], evolved_schema(spark, spec)).unionByName(
+        spark.createDataFrame([(1, 2)], "l_orderkey long, l_linenumber int"), allowMissingColumns=True)
+    assert rewrite_parts(spark, rows, spec, Layout(by="l_orderkey"), tmp + "/t") == [1]
+    assert glob.glob(tmp + "/t/_part=1/*.zstd.parquet")
