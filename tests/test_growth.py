@@ -7,7 +7,7 @@ import gzip
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from strata.plans import tablefeeds
+from strata.plans import catalogue, tablefeeds
 from strata.plans.incremental import Layout, rewrite_parts
 from strata.sources.tables import evolved_schema
 from strata.sources import discover, landing
@@ -74,3 +74,10 @@ def test_parts_are_packed(spark, tmp):
         spark.createDataFrame([(1, 2)], "l_orderkey long, l_linenumber int"), allowMissingColumns=True)
     assert rewrite_parts(spark, rows, spec, Layout(by="l_orderkey"), tmp + "/t") == [1]
     assert glob.glob(tmp + "/t/_part=1/*.zstd.parquet")
+
+
+def test_lines_are_shuffled_as_they_are_typed(spark, capsys):
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    catalogue._lines_drop_documents(li, 1).explain()
+    partial = [line for line in capsys.readouterr().out.splitlines() if "partial_collect_list" in line]
+    assert partial and all("as string" not in line and "OrderKey" not in line for line in partial)
