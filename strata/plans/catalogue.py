@@ -27,7 +27,7 @@ from strata.operators.quality import (dq_metrics, expect_flags, partition_split,
 from strata.operators.salvage import salvaged_documents, with_salvaged
 from strata.plans import tablefeeds as tf
 from strata.plans.incremental import EPOCH, PART, Layout, refresh_changes, touched_parts
-from strata.session import scratch_path
+from strata.session import scratch_path, shuffle_for
 from strata.sources.bronze import envelope_schema, read_bronze, read_landing
 from strata.sources.catalog import save_bucketed
 from strata.sources.discover import appeared, draft_feed, evolve, recall, remember
@@ -349,6 +349,7 @@ Q05B_SQL = """SELECT DISTINCT l_orderkey, l_linenumber, 'payload.OrderLineResour
 def q06_explode_outer_empty(spark, d):
     orders = _t(spark, d, "orders").select("o_orderkey")
     lines = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    shuffle_for(spark, lines.count())
     # Lines are paged first (per order and block of 50 line numbers, repeats
     # collapsed map-side), so an order holding a third of all lines still
     # yields bounded pages spread over many tasks.  Pages of known orders are

@@ -10,6 +10,7 @@ from __spark_entry__ import queries
 from strata.plans import catalogue, tablefeeds
 from strata.plans.incremental import Layout, rewrite_parts
 from strata.sources.tables import evolved_schema
+from strata.session import INITIAL_PARTITIONS, shuffle_for
 from strata.sources import discover, landing
 from strata.streaming.latest import compact_latest, latest_aggregate, read_latest, start_latest
 
@@ -81,3 +82,20 @@ def test_lines_are_shuffled_as_they_are_typed(spark, capsys):
     catalogue._lines_drop_documents(li, 1).explain()
     partial = [line for line in capsys.readouterr().out.splitlines() if "partial_collect_list" in line]
     assert partial and all("as string" not in line and "OrderKey" not in line for line in partial)
+
+
+def test_partitions_follow_rows(spark, monkeypatch):
+    kept = spark.conf.get(INITIAL_PARTITIONS, None)
+    asked = []
+    monkeypatch.setattr(catalogue, "shuffle_for", lambda s, rows: asked.append(rows))
+    try:
+        catalogue.q06_explode_outer_empty(spark, "/root/testdata/sf0.001")
+        assert asked == [spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()]
+        shuffle_for(spark, 4_000_000)
+        assert spark.conf.get(INITIAL_PARTITIONS, None) == kept  # four are set
+        shuffle_for(spark, 9_000_001)
+        assert spark.conf.get(INITIAL_PARTITIONS) == "10"
+        shuffle_for(spark, 10)
+        assert spark.conf.get(INITIAL_PARTITIONS) == "10"
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS) if kept is None else spark.conf.set(INITIAL_PARTITIONS, kept)
