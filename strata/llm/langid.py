@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,8 +158,9 @@ def train(docs: DataFrame, usable: Column, per_lang: int = 200, full_langs: int
         return fit(np.empty((0, WIDTH)), np.array([], dtype=object))
     per_lang = max(1, min(per_lang, per_lang * full_langs // len(langs)))
     # Twice the wanted texts of each language by hash, its first one among them, then exactly the wanted ones.
-    share = spark.createDataFrame([(r.lang, max(r.least + 1, hash_share(r.n, per_lang))) for r in langs],
-                                  "lang string, share long")
+    # An Arrow table is local data: rows would be made by Python workers of a second kind, which stay.
+    share = spark.createDataFrame(pa.table({"lang": pa.array([r.lang for r in langs], pa.string()),
+                                            "share": [max(r.least + 1, hash_share(r.n, per_lang)) for r in langs]}))
     keyed = (known.join(F.broadcast(share), "lang").withColumn("place", place).where("place < share")
              .select("lang", "place", F.xxhash64("doc_id", "text").alias("key"), "text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "key"))
@@ -187,7 +189,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.predict(t) for t in texts], columns=["lang_pred", "score"])
 
-    return docs.withColumn("_language", predict(F.col(text)))
+    # Spark would copy a deterministic function into a filter on its result and run it twice,
+    # in two workers a task.
+    return docs.withColumn("_language", predict.asNondeterministic()(F.col(text)))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -106,3 +106,23 @@ def test_only_rows_without_a_language_go(spark, monkeypatch):
     df = spark.createDataFrame([(1, "12 34", None, "a", 5), (2, "qwx zzv", None, "a", 7), (3, "tere", "et", "a", 4)],
                                "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted((r.doc_id, r.lang) for r in P.language(spark, df, "").collect()) == [(2, "en"), (3, "et")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_language_filter_predicts_once(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert _plan(P.language(spark, docs, SF)).count("ArrowEvalPython") == 1
+
+
+def test_rows_kept_of_near_copies_cross_one_shuffle(spark):
+    text = "one two three four five six seven"
+    rows = [(7, text, "en", "b", 1), (7, text, "en", "a", 1), (None, text, "de", "a", 1), (None, "quite another text", "de", "z", 1),
+            (None, "quite another text", None, "z", 1), (9, "a third one", "en", "a", 1), (3, " ", "en", "a", 1)]
+    out = P.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), SF)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([
+        (7, text, "en", "a", 1), (None, "quite another text", None, "z", 1), (9, "a third one", "en", "a", 1), (3, " ", "en", "a", 1)], key=str)
+    # One for the rows, one for their groups' first rows and one to meet those; with names, two more.
+    assert _plan(out).split("Initial Plan")[-1].count("Exchange hashpartitioning") <= 4
