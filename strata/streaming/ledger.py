@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from strata.session import listing
 from strata.sources.bronze import bronze_schema, documents
 from strata.sources.landing import NAME_FOLDER
 from strata.spec import FeedSpec
@@ -33,8 +34,9 @@ def document_key(path: Column) -> Column:
 
 
 def _landed(spark: SparkSession, root: str) -> DataFrame:
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-            .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size")))
+    with listing(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return files.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
 
 
 def _ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -63,8 +65,9 @@ def ingest_changed(spark: SparkSession, spec: FeedSpec, landing: str, bronze: st
     if not folders:
         return 0
     entry = F.struct(_plain(F.col("path")).alias("file"), F.col("modified").alias("at"), F.col("size").alias("bytes"))
-    docs = documents(spark.read, spec, folders, also={
-        "_file": _plain(F.col("_metadata.file_path")), "_at": F.col("_metadata.file_modification_time"), "_bytes": F.col("_metadata.file_size")})
+    with listing(spark):
+        docs = documents(spark.read, spec, folders, also={
+            "_file": _plain(F.col("_metadata.file_path")), "_at": F.col("_metadata.file_modification_time"), "_bytes": F.col("_metadata.file_size")})
     wanted = todo.select(entry.alias("e")).select("e.*")
     same = (F.col("_file") == F.col("file")) & (F.col("_at") == F.col("at")) & (F.col("_bytes") == F.col("bytes"))
     _overwrite_load(docs.join(wanted, same, "left_semi").drop("_file", "_at", "_bytes").select("*", at), bronze)

@@ -14,7 +14,8 @@ from strata.plans import catalogue
 from strata.plans.feeds import AIRPORTS, FLIGHTS
 from strata.sources.bronze import read_landing
 from strata.sources.landing import name_of, write_named_landing
-from strata.streaming.ledger import LOAD, current_documents, ingest_changed, loaded_documents
+from strata.session import LISTING_TASKS
+from strata.streaming.ledger import LOAD, _landed, current_documents, ingest_changed, loaded_documents
 from tests.flight_fixtures import envelope, flight, flights_doc, names, write
 
 SF = "/root/testdata/sf0.001"
@@ -70,6 +71,22 @@ def test_a_run_lost_before_its_ledger_entry_is_replaced(spark, tmp, monkeypatch)
     assert loaded_documents(spark, bronze, FLIGHTS).count() == 2
 
 
+def test_listing_a_folder_a_document_takes_few_tasks(spark, tmp):
+    for n in range(100):
+        os.makedirs(f"{tmp}/l/folder=2024-03-01/doc_name=n{n}")
+        with open(f"{tmp}/l/folder=2024-03-01/doc_name=n{n}/page.json", "w") as f:
+            f.write("{}")
+    sc, before = spark.sparkContext, spark.conf.get(LISTING_TASKS)
+    sc.setJobGroup("listing-test", "listing")
+    files = _landed(spark, f"{tmp}/l")
+    sc.setJobGroup("listed", "")
+    status = sc.statusTracker()
+    stages = [s for j in status.getJobIdsForGroup("listing-test") for s in status.getJobInfo(j).stageIds]
+    assert 0 < sum(status.getStageInfo(s).numTasks for s in stages) <= 4 * sc.defaultParallelism
+    assert spark.conf.get(LISTING_TASKS) == before
+    assert files.count() == 100
+
+
 def test_names_reach_files(spark, tmp):
     docs = spark.createDataFrame([("{}", "2024-03-01", "FRA_0800"), ("[]", "2024-03-02", "MUC 09/00")], "document string, folder string, n string")
     write_named_landing(docs, tmp + "/l", "n")
