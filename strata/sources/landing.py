@@ -13,12 +13,21 @@ parent).  No group is ever the whole feed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import re
+import shutil
+import uuid
+import zlib
+from collections.abc import Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.keys import content_id
+from strata.session import local_folder
 
 
 def pages_by_key_range(df: DataFrame, key: str, page_size: int) -> Column:
@@ -131,12 +140,93 @@ def write_named_landing(docs: DataFrame, path: str, name_col: str, text_col: str
                         folder_col: str = "folder") -> None:
     """Write every document as a file of its own under its date folder and name
     (``folder=<date>/doc_name=<name>/``), as the feed lands its pages.  A document that
-    lands again under its name replaces the earlier file, and no other."""
+    lands again under its name replaces the earlier file, and no other.
+
+    Spark's writer does it wherever the folder is.  In a local (or mounted) one, Hadoop
+    starts a ``chmod`` process for each folder and file it makes, so there the tasks make
+    the same files themselves."""
     named = docs.select(F.col(text_col).alias("value"), F.col(folder_col).alias("folder"), F.col(name_col).alias(NAME_FOLDER))
+    if (root := local_folder(docs.sparkSession, path)) is not None:
+        _write_local(named, root)
+        return
     (named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("folder", NAME_FOLDER).text(path))
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
+
+
+def _folder_name(column: str, value: str | None) -> str:
+    """The folder Spark's writer gives a partition value."""
+    return f"{column}={_ESCAPED.sub(lambda m: f'%{ord(m[0]):02X}', value) if value else NO_VALUE}"
+
+
+CHECKED_BYTES = 512
+
+
+def _write_text(folder: str, name: str, lines: Iterable[bytes | None]) -> None:
+    """A text file, with the checksum file beside it by which Hadoop's local file system
+    checks what it reads."""
+    with open(f"{folder}/{name}", "wb") as out, open(f"{folder}/.{name}.crc", "wb") as sums:
+        sums.write(b"crc\0" + CHECKED_BYTES.to_bytes(4, "big"))
+        rest = b""
+        for line in lines:
+            data = (line or b"") + b"\n"
+            out.write(data)
+            rest += data
+            whole = len(rest) - len(rest) % CHECKED_BYTES
+            sums.write(b"".join(zlib.crc32(rest[i:i + CHECKED_BYTES]).to_bytes(4, "big") for i in range(0, whole, CHECKED_BYTES)))
+            rest = rest[whole:]
+        if rest:
+            sums.write(zlib.crc32(rest).to_bytes(4, "big"))
+
+
+def _write_local(named: DataFrame, root: str) -> None:
+    """Tasks write under a folder of their attempt, which readers do not see; once all
+    have ended, the driver moves the documents of the attempts that counted in place."""
+    run = uuid.uuid4().hex
+    staging = f"{root}/.landing-{run}"
+
+    def land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        attempt = f"{staging}/{task.taskAttemptId()}"
+        rows = ([c[i].as_py() for c in b.columns] for b in batches for i in range(b.num_rows))
+        for (day, name), same in groupby(rows, key=lambda r: (r[1], r[2])):
+            folder = f"{attempt}/{_folder_name('folder', day)}/{_folder_name(NAME_FOLDER, name)}"
+            os.makedirs(folder)
+            _write_text(folder, f"part-{task.partitionId():05d}-{run}.c000.txt", (r[0] for r in same))
+        if os.path.isdir(attempt):
+            yield pa.RecordBatch.from_pydict({"attempt": [attempt]})
+
+    # Sorted, a task's documents of one name follow each other, empty names being none.
+    texts = named.select(F.col("value").cast("binary").alias("value"),
+                         *[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("folder", NAME_FOLDER)])
+    os.makedirs(root, exist_ok=True)
+    try:
+        attempts = texts.sortWithinPartitions("folder", NAME_FOLDER).mapInArrow(land, "attempt string").collect()  # a row a task
+        placed = set()
+        for attempt in (r.attempt for r in attempts):
+            for day in sorted(os.listdir(attempt)):
+                os.makedirs(f"{root}/{day}", exist_ok=True)
+                for name in os.listdir(f"{attempt}/{day}"):
+                    _place(f"{attempt}/{day}/{name}", f"{root}/{day}/{name}", keep=(day, name) in placed)
+                    placed.add((day, name))
+    finally:
+        shutil.rmtree(staging, ignore_errors=True)
+
+
+def _place(folder: str, at: str, keep: bool) -> None:
+    """Move a document's folder to ``at``, to what is there (``keep``) or in its place."""
+    if keep:
+        for file in os.listdir(folder):
+            os.rename(f"{folder}/{file}", f"{at}/{file}")
+        return
+    if os.path.lexists(at):
+        shutil.rmtree(at)
+    os.rename(folder, at)
+
+
 def name_of(path: Column) -> Column:
     """The document name that a landed file's path carries; NULL without one."""
     return F.nullif(F.regexp_extract(path, f"/{NAME_FOLDER}=([^/]+)/", 1), F.lit(""))

@@ -3,7 +3,8 @@
 The file stream remembers paths, so a page that is fetched again under its old name
 is never reread.  Here a ledger table holds (path, modification time, size) of all
 files read; a run reads the files that have no such entry.  Listing takes no file
-contents, and only date folders that hold a changed file are opened.
+contents, and of the date folders that hold a changed file only files of the changed
+ones' times are opened.
 
 Each run is a load: bronze rows and ledger entries carry its number, both written by
 partition overwrite, bronze first.  A run that is lost before its ledger entry leaves
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from strata.session import listing
+from strata.session import listing, small_files
 from strata.sources.bronze import bronze_schema, documents
 from strata.sources.landing import NAME_FOLDER
 from strata.spec import FeedSpec
@@ -53,6 +54,11 @@ def _plain(path: Column) -> Column:
 
 def ingest_changed(spark: SparkSession, spec: FeedSpec, landing: str, bronze: str, ledger: str) -> int:
     """Read what is new or rewritten under ``landing`` into ``bronze``; the number of files."""
+    with small_files(spark):
+        return _ingest_changed(spark, spec, landing, bronze, ledger)
+
+
+def _ingest_changed(spark: SparkSession, spec: FeedSpec, landing: str, bronze: str, ledger: str) -> int:
     known = _ledger(spark, ledger)
     changed = _landed(spark, landing).join(known.drop(LOAD), ["path", "modified", "size"], "left_anti")
     load = (known.agg(F.max(LOAD)).first()[0] or 0) + 1
@@ -61,16 +67,20 @@ def ingest_changed(spark: SparkSession, spec: FeedSpec, landing: str, bronze: st
     todo_path = f"{ledger.rstrip('/')}_runs"
     _overwrite_load(changed.select("path", "modified", "size", at), todo_path)
     todo = spark.read.schema(LEDGER).parquet(todo_path).where(F.col(LOAD) == load)
-    folders = [r[0] for r in todo.select(F.regexp_extract("path", r"^(.*?)(/[^/]*=[^/]*)?/[^/]+$", 1)).distinct().collect()]
+    folders = todo.groupBy(F.regexp_extract("path", r"^(.*?)(/[^/]*=[^/]*)?/[^/]+$", 1).alias("folder")).agg(
+        F.unix_micros(F.min("modified")).alias("since"), F.unix_micros(F.max("modified")).alias("until")).collect()
     if not folders:
         return 0
     entry = F.struct(_plain(F.col("path")).alias("file"), F.col("modified").alias("at"), F.col("size").alias("bytes"))
     with listing(spark):
-        docs = documents(spark.read, spec, folders, also={
+        docs = documents(spark.read, spec, [r.folder for r in folders], also={
             "_file": _plain(F.col("_metadata.file_path")), "_at": F.col("_metadata.file_modification_time"), "_bytes": F.col("_metadata.file_size")})
+    # Literal bounds of the listed times: files outside them are left out before any is opened.
+    since, until = (F.timestamp_micros(F.lit(n)) for n in (min(r.since for r in folders), max(r.until for r in folders)))
     wanted = todo.select(entry.alias("e")).select("e.*")
     same = (F.col("_file") == F.col("file")) & (F.col("_at") == F.col("at")) & (F.col("_bytes") == F.col("bytes"))
-    _overwrite_load(docs.join(wanted, same, "left_semi").drop("_file", "_at", "_bytes").select("*", at), bronze)
+    fresh = docs.where(F.col("_at").between(since, until)).join(wanted, same, "left_semi")
+    _overwrite_load(fresh.drop("_file", "_at", "_bytes").select("*", at), bronze)
     _overwrite_load(todo, ledger)
     return todo.count()
 

@@ -13,8 +13,9 @@ from strata.operators.flatten import flatten
 from strata.plans import catalogue
 from strata.plans.feeds import AIRPORTS, FLIGHTS
 from strata.sources.bronze import read_landing
+from strata.sources import landing
 from strata.sources.landing import name_of, write_named_landing
-from strata.session import LISTING_TASKS
+from strata.session import LISTING_TASKS, OPEN_COST, local_folder
 from strata.streaming.ledger import LOAD, _landed, current_documents, ingest_changed, loaded_documents
 from tests.flight_fixtures import envelope, flight, flights_doc, names, write
 
@@ -96,6 +97,97 @@ def test_names_reach_files(spark, tmp):
     assert sorted(r.value for r in spark.read.option("recursiveFileLookup", True).text(tmp + "/l").collect()) == ["[]", "{1}"]
 
 
+def tree(root):
+    """Folders, and the texts and checksums of the files in them."""
+    found = []
+    for at, _, files in os.walk(root):
+        for f in files:
+            if not f.startswith(("_", "._")):
+                with open(f"{at}/{f}", "rb") as x:
+                    found.append((os.path.relpath(at, root), f.startswith("."), f[-4:], f.lstrip(".")[:10], x.read()))
+    return sorted(found)
+
+
+def test_local_files_are_those_of_sparks_writer(spark, tmp, monkeypatch):
+    odd = [(f"text {n}" * n, "2024-03-01", f"a{chr(n)}b") for n in range(1, 128)]
+    odd += [("x" * n, "2024-03-02", f"long{n}") for n in (0, 511, 512, 1023, 5000)]
+    odd += [("é", "2024-03-02", "Zürich"), (None, "2024-03-02", "null"), ("1", None, None), ("2", "", ""), ("3", None, "same"), ("4", None, "same")]
+    docs = spark.createDataFrame(odd, "document string, folder string, n string")
+    again = docs.where("folder = '2024-03-02' or folder is null").withColumn("document", F.concat("document", F.lit("!")))
+    for parts in (1, 3):
+        for d in (docs, again):
+            write_named_landing(d.repartition(parts, "n"), f"{tmp}/{parts}/local", "n")
+            with monkeypatch.context() as m:
+                m.setattr(landing, "local_folder", lambda *_: None)
+                write_named_landing(d.repartition(parts, "n"), f"{tmp}/{parts}/spark", "n")
+            assert tree(f"{tmp}/{parts}/local") == tree(f"{tmp}/{parts}/spark")
+        assert not [f for f in os.listdir(f"{tmp}/{parts}/local") if f.startswith(".")]
+    write_named_landing(docs.limit(0), f"{tmp}/none", "n")
+    assert os.listdir(f"{tmp}/none") == []
+    # Files of one name from several tasks lie beside each other; they go together.
+    twice = spark.createDataFrame([("1", "d", "a"), ("2", "d", "a")], "document string, folder string, n string").repartition(2)
+    for _ in range(2):
+        write_named_landing(twice, f"{tmp}/twice", "n")
+        assert sorted(r.value for r in spark.read.text(f"{tmp}/twice").collect()) == ["1", "2"]
+
+
+def test_a_write_that_fails_leaves_what_was_there(spark, tmp):
+    docs = spark.createDataFrame([(f"{n}", "d", f"n{n}") for n in range(20)], "document string, folder string, n string").repartition(4, "n")
+    write_named_landing(docs, tmp + "/l", "n")
+    before = tree(tmp + "/l")
+    with pytest.raises(Exception, match="lost"):
+        write_named_landing(docs.withColumn("document", F.when(F.col("n") == "n7", F.raise_error(F.lit("lost"))).otherwise("new")), tmp + "/l", "n")
+    assert tree(tmp + "/l") == before and os.listdir(tmp + "/l") == ["folder=d"]
+
+
+def test_local_documents_start_no_process_each(spark, tmp):
+    def started():  # processes and threads, on the whole machine
+        with open("/proc/stat") as f:
+            return next(int(x.split()[1]) for x in f if x.startswith("processes"))
+
+    docs = spark.range(400).select(F.lit("{}").alias("document"), F.lit("2024-03-01").alias("folder"), F.concat(F.lit("n"), "id").alias("n"))
+    write_named_landing(docs.where("id < 4"), tmp + "/l", "n")  # starts the Python workers
+    before = started()
+    write_named_landing(docs, tmp + "/l", "n")
+    assert started() - before < 400
+    assert spark.read.text(tmp + "/l").count() == 400
+    assert local_folder(spark, "file:" + tmp) == local_folder(spark, tmp) == tmp and local_folder(spark, "http://127.0.0.1/l") is None
+
+
+def test_one_page_files_are_read_many_a_task(spark, tmp):
+    for n in range(1000):
+        write(f"{tmp}/l", "ops", "flights", "2024-03-01", f"{n}.json", flights_doc("2024-03-01 08:00:00", str(n), [flight(number=str(n))]))
+    sc, before = spark.sparkContext, spark.conf.get(OPEN_COST)
+    sc.setJobGroup("small-files-test", "ingest")
+    assert ingest_changed(spark, FLIGHTS, f"{tmp}/l", f"{tmp}/b", f"{tmp}/ledger") == 1000
+    sc.setJobGroup("ingested", "")
+    status = sc.statusTracker()
+    stages = {s for j in status.getJobIdsForGroup("small-files-test") for s in status.getJobInfo(j).stageIds}
+    tasks = [i.numTasks for s in stages if (i := status.getStageInfo(s)) is not None]
+    assert tasks and max(tasks) <= 4 * sc.defaultParallelism
+    assert spark.conf.get(OPEN_COST) == before
+    assert loaded_documents(spark, f"{tmp}/b", FLIGHTS).count() == 1000
+
+
+def test_files_of_other_times_are_not_opened(spark, tmp):
+    land = f"{tmp}/l"
+    old = spark.createDataFrame([(json.dumps(flights_doc("2024-03-01 08:00:00", n, [flight(number=n)])), "2024-03-01", n) for n in ("1", "2")],
+                                "document string, folder string, n string")
+    write_named_landing(old, land, "n")
+    assert ingest_changed(spark, FLIGHTS, land, f"{tmp}/b", f"{tmp}/ledger") == 2
+    # Whoever opens the first file finds that it is not what its checksums are of.
+    at = f"{land}/folder=2024-03-01/doc_name=1"
+    sums = next(f for f in os.listdir(at) if f.endswith(".crc"))
+    with open(f"{at}/{sums}", "r+b") as f:
+        f.seek(8)
+        f.write(b"\0\0\0\0")
+    with pytest.raises(Exception, match="(?i)checksum"):
+        spark.read.text(at).collect()
+    write_named_landing(old.where("n = '2'"), land, "n")
+    assert ingest_changed(spark, FLIGHTS, land, f"{tmp}/b", f"{tmp}/ledger") == 1
+    assert numbers(spark, f"{tmp}/b") == [(1, 1), (2, 2)]
+
+
 def test_a_backfill_lists_its_days_only(spark, tmp, capsys):
     for day in ("2024-03-01", "2024-03-02", "2024-03-05"):
         write(tmp, "ops", "flights", day, "a.json", flights_doc(f"{day} 08:00:00", day, [flight(number=day[-2:])]))
