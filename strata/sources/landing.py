@@ -18,7 +18,7 @@ import re
 import shutil
 import uuid
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from itertools import groupby
 
@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.functions.keys import content_id
-from strata.session import local_folder
+from strata.session import file_names, local_folder
 
 
 def pages_by_key_range(df: DataFrame, key: str, page_size: int) -> Column:
@@ -154,55 +154,58 @@ def write_named_landing(docs: DataFrame, path: str, name_col: str, text_col: str
 
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-_ESCAPED = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
-
-
-def _folder_name(column: str, value: str | None) -> str:
-    """The folder Spark's writer gives a partition value."""
-    return f"{column}={_ESCAPED.sub(lambda m: f'%{ord(m[0]):02X}', value) if value else NO_VALUE}"
-
-
+ESCAPED = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
 CHECKED_BYTES = 512
 
 
-def _write_text(folder: str, name: str, lines: Iterable[bytes | None]) -> None:
-    """A text file, with the checksum file beside it by which Hadoop's local file system
-    checks what it reads."""
-    with open(f"{folder}/{name}", "wb") as out, open(f"{folder}/.{name}.crc", "wb") as sums:
-        sums.write(b"crc\0" + CHECKED_BYTES.to_bytes(4, "big"))
-        rest = b""
-        for line in lines:
-            data = (line or b"") + b"\n"
-            out.write(data)
-            rest += data
-            whole = len(rest) - len(rest) % CHECKED_BYTES
-            sums.write(b"".join(zlib.crc32(rest[i:i + CHECKED_BYTES]).to_bytes(4, "big") for i in range(0, whole, CHECKED_BYTES)))
-            rest = rest[whole:]
-        if rest:
-            sums.write(zlib.crc32(rest).to_bytes(4, "big"))
-
-
-def _write_local(named: DataFrame, root: str) -> None:
-    """Tasks write under a folder of their attempt, which readers do not see; once all
-    have ended, the driver moves the documents of the attempts that counted in place."""
-    run = uuid.uuid4().hex
-    staging = f"{root}/.landing-{run}"
+def _lander(staging: str, run: str, spelling: str = "UTF-8") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task of a local write does.  It goes to the workers whole, so that they need
+    not have this package.  ``spelling`` is how the JVM spells file names, which it lists."""
+
+    def folder_name(column: str, value: str | None) -> str:
+        """The folder Spark's writer gives a partition value."""
+        return f"{column}={ESCAPED.sub(lambda m: f'%{ord(m[0]):02X}', value) if value else NO_VALUE}"
+
+    def write_text(folder: bytes, name: bytes, lines: Iterable[bytes | None]) -> None:
+        """A text file, with the checksum file beside it by which Hadoop's local file
+        system checks what it reads."""
+        with open(b"%b/%b" % (folder, name), "wb") as out, open(b"%b/.%b.crc" % (folder, name), "wb") as sums:
+            sums.write(b"crc\0" + CHECKED_BYTES.to_bytes(4, "big"))
+            rest = b""
+            for line in lines:
+                data = (line or b"") + b"\n"
+                out.write(data)
+                rest += data
+                whole = len(rest) - len(rest) % CHECKED_BYTES
+                sums.write(b"".join(zlib.crc32(rest[i:i + CHECKED_BYTES]).to_bytes(4, "big") for i in range(0, whole, CHECKED_BYTES)))
+                rest = rest[whole:]
+            if rest:
+                sums.write(zlib.crc32(rest).to_bytes(4, "big"))
 
     def land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         attempt = f"{staging}/{task.taskAttemptId()}"
         rows = ([c[i].as_py() for c in b.columns] for b in batches for i in range(b.num_rows))
         for (day, name), same in groupby(rows, key=lambda r: (r[1], r[2])):
-            folder = f"{attempt}/{_folder_name('folder', day)}/{_folder_name(NAME_FOLDER, name)}"
+            folder = f"{attempt}/{folder_name('folder', day)}/{folder_name(NAME_FOLDER, name)}".encode(spelling, "replace")
             os.makedirs(folder)
-            _write_text(folder, f"part-{task.partitionId():05d}-{run}.c000.txt", (r[0] for r in same))
+            write_text(folder, f"part-{task.partitionId():05d}-{run}.c000.txt".encode(), (r[0] for r in same))
         if os.path.isdir(attempt):
             yield pa.RecordBatch.from_pydict({"attempt": [attempt]})
 
+    return land
+
+
+def _write_local(named: DataFrame, root: str) -> None:
+    """Tasks write under a folder of their attempt, which readers do not see; once all
+    have ended, the driver moves the documents of the attempts that counted in place."""
+    run = uuid.uuid4().hex
+    staging = f"{root}/.landing-{run}"
     # Sorted, a task's documents of one name follow each other, empty names being none.
     texts = named.select(F.col("value").cast("binary").alias("value"),
                          *[F.nullif(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("folder", NAME_FOLDER)])
     os.makedirs(root, exist_ok=True)
+    land = _lander(staging, run, file_names(named.sparkSession))
     try:
         attempts = texts.sortWithinPartitions("folder", NAME_FOLDER).mapInArrow(land, "attempt string").collect()  # a row a task
         placed = set()

@@ -3,9 +3,12 @@
 import datetime as dt
 import json
 import os
+import subprocess
+import sys
 
 import pytest
 
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
@@ -154,6 +157,21 @@ def test_local_documents_start_no_process_each(spark, tmp):
     assert local_folder(spark, "file:" + tmp) == local_folder(spark, tmp) == tmp and local_folder(spark, "http://127.0.0.1/l") is None
 
 
+def test_workers_write_documents_without_this_package(tmp):
+    task = cloudpickle.dumps(landing._lander(tmp, "run"))
+    got = subprocess.run([sys.executable, "-I", "-c", "import sys; from pyspark import cloudpickle; f = cloudpickle.loads(sys.stdin.buffer.read()); "
+                          "assert not any(m.startswith('strata') for m in sys.modules); print(f.__name__)"], input=task, capture_output=True, cwd="/", check=True)
+    assert got.stdout.strip() == b"land"
+
+
+def test_file_names_are_spelt_as_the_jvm_does(spark, tmp, monkeypatch):
+    docs = spark.createDataFrame([("1", "d", "Zürich")], "document string, folder string, n string")
+    for spelling, name in (("UTF-8", "Zürich".encode()), ("ANSI_X3.4-1968", b"Z?rich"), ("ISO-8859-1", b"Z\xfcrich")):
+        monkeypatch.setattr(landing, "file_names", lambda _: spelling)
+        write_named_landing(docs, f"{tmp}/{spelling}", "n")
+        assert os.listdir(f"{tmp}/{spelling}/folder=d".encode()) == [b"doc_name=" + name]
+
+
 def test_one_page_files_are_read_many_a_task(spark, tmp):
     for n in range(1000):
         write(f"{tmp}/l", "ops", "flights", "2024-03-01", f"{n}.json", flights_doc("2024-03-01 08:00:00", str(n), [flight(number=str(n))]))
